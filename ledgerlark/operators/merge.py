@@ -79,17 +79,16 @@ def update_from(
     key: str,
     columns: list[str],
     stamp: tuple[str, Column] | None = None,
-    few: bool = False,
 ) -> Change:
     """Set ``columns`` of the rows that ``changes`` names, one row per key.
 
     ``stamp`` names a column that records the change, on changed rows only.
-    ``few`` says that the caller has limited the changes to a handful of rows.
+    Spark broadcasts the changes if they are known to be few.
     """
     incoming = changes.select(
         F.col(key), F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns]
     )
-    joined = target.join(F.broadcast(incoming) if few else incoming, key, "left")
+    joined = target.join(incoming, key, "left")
     stamped = stamp[0] if stamp else None
 
     def value(column: str) -> Column:
@@ -123,10 +122,9 @@ def update_latest_row(target: DataFrame, id_column: str, values: dict[str, Colum
     return Change(updated.drop("_hit"), updated.where("_hit").drop("_hit"))
 
 
-def delete_using(target: DataFrame, doomed: DataFrame, key: str, few: bool = False) -> Change:
+def delete_using(target: DataFrame, doomed: DataFrame, key: str) -> Change:
     """Delete the rows whose key is in ``doomed``; rows without a key stay."""
     doomed = doomed.select(key)
-    doomed = F.broadcast(doomed) if few else doomed
     return Change(target.join(doomed, key, "left_anti"), target.join(doomed, key, "left_semi"))
 
 
@@ -137,11 +135,8 @@ def delete_where(target: DataFrame, predicate: Column) -> Change:
 
 
 def delete_preview(children: dict[str, DataFrame], doomed: DataFrame, key: str) -> DataFrame:
-    """How many rows of each table a delete by ``doomed`` would remove.
-
-    ``doomed`` is the handful of keys to be deleted.
-    """
-    doomed = F.broadcast(doomed.select(key))
+    """How many rows of each table a delete by ``doomed`` would remove."""
+    doomed = doomed.select(key)
     result = None
     for name, child in children.items():
         counted = child.join(doomed, key, "left_semi").agg(

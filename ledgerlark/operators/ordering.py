@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.session import ensure_checkpoint_dir
+from ledgerlark.session import materialise
 
 # Number of sub-groups a key is cut into where the top-n is too long for the
 # map-side cut of Spark.
@@ -27,6 +27,8 @@ def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFr
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
     if n > threshold:
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        # Without this shuffle, rows already placed by key would stay there.
+        salted = salted.repartition(*keys, "_salt")
         first = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))
         df = salted.withColumn("_place", first).where(F.col("_place") <= n).drop("_salt", "_place")
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
@@ -65,6 +67,8 @@ def first_k_varying(df: DataFrame, keys: list[str], order: str, limit: str) -> D
     """The first ``limit`` rows of each key, where the limit is a column that is
     constant within the key. Hot keys are cut per salted sub-group first."""
     salted = df.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(SALTS)))
+    # Without this shuffle, rows already placed by key would stay there.
+    salted = salted.repartition(*keys, "_salt")
     for group in ([*keys, "_salt"], keys):
         place = F.row_number().over(Window.partitionBy(*group).orderBy(order))
         salted = salted.withColumn("_place", place).where(F.col("_place") <= F.col(limit))
@@ -74,16 +78,18 @@ def first_k_varying(df: DataFrame, keys: list[str], order: str, limit: str) -> D
 def number_rows(df: DataFrame, order: list[Column], name: str, after: int | Column = 0) -> DataFrame:
     """Consecutive numbers in ``order``, starting behind ``after``.
 
-    Range partitions are sorted on their own; the checkpoint fixes their
-    borders, so that a lost executor cannot change a number already given.
+    Range partitions are sorted on their own and written out, which fixes their
+    borders: a lost executor cannot change a number already given. A running
+    id breaks ties, so that equal rows can be cut as well.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+    sort = [*order, F.col("_tie").asc()]
+    placed = materialise(
+        df.withColumn("_tie", F.monotonically_increasing_id())
+        .repartitionByRange(*sort)
+        .sortWithinPartitions(*sort)
+        .drop("_tie")
         # partition number in the upper bits, row position in the lower 33
         .withColumn("_spot", F.monotonically_increasing_id())
-        .checkpoint()
     )
     part = F.shiftright("_spot", 33)
     counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
@@ -111,17 +117,18 @@ def running_total(
     sum before a partition is added to its rows. At most one key per partition
     continues from the one before, so the carried sums are broadcast.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    placed = (
-        df.repartitionByRange(*keys, *order)
-        .withColumn("_part", F.spark_partition_id())
-        .checkpoint()
-    )
     local = F.sum(value).over(
         Window.partitionBy("_part", *keys)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    # Written with the partial sums, so that the window runs once however often
+    # the result is read.
+    placed = materialise(
+        df.repartitionByRange(*keys, *order)
+        .withColumn("_part", F.spark_partition_id())
+        .withColumn("_local", local)
+    )
     totals = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_sum"))
     earlier = F.sum("_sum").over(
         Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -130,8 +137,7 @@ def running_total(
         F.col("_carried").isNotNull()
     )
     return (
-        placed.withColumn("_local", local)
-        .join(F.broadcast(carried), ["_part", *keys], "left")
+        placed.join(F.broadcast(carried), ["_part", *keys], "left")
         .withColumn(name, F.col("_local") + F.coalesce("_carried", F.lit(0)))
         .drop("_part", "_local", "_carried")
     )

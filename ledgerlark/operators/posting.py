@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.operators.joins import resolve
 from ledgerlark.operators.ordering import first_k_varying, running_total
+from ledgerlark.session import materialise
 
 
 def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, stock: str) -> DataFrame:
@@ -98,7 +99,7 @@ def post_sales(
 
     A number is taken by a posted sale, or by the first request of the batch
     that passes all checks but the stock. All outputs follow from one decision,
-    which ``admit_in_order`` fixes in a checkpoint.
+    whose inputs are written out once.
     """
     resolved = resolve(requests, customers, {"customer_email": "email"}, ["customer_id"], "left")
     resolved = resolve(resolved, employees, {"employee_email": "email"}, ["employee_id"], "left")
@@ -110,8 +111,7 @@ def post_sales(
         "left",
     )
     used = posted.select("transaction_number").distinct().withColumn("_used", F.lit(True))
-    checked = resolved.join(used, "transaction_number", "left").withColumn(
-        "reason",
+    reason = (
         F.when(F.col("customer_id").isNull(), F.lit("customer not found"))
         .when(F.col("employee_id").isNull(), F.lit("employee not found"))
         .when(F.col("product_id").isNull(), F.lit("product not found"))
@@ -119,7 +119,22 @@ def post_sales(
             F.col("quantity").isNull() | (F.col("quantity") <= 0),
             F.lit("quantity must be greater than zero"),
         )
-        .when(F.col("_used"), F.lit("transaction number already exists")),
+        .when(F.col("_used"), F.lit("transaction number already exists"))
+    )
+    # The lookups are run once; the decisions below read their result.
+    checked = materialise(
+        resolved.join(used, "transaction_number", "left").select(
+            "seq",
+            "transaction_number",
+            "transaction_date",
+            "customer_id",
+            "employee_id",
+            "product_id",
+            "quantity",
+            "unit_price",
+            "stock_quantity",
+            reason.alias("reason"),
+        )
     )
     first = (
         checked.where(F.col("reason").isNull())
@@ -135,7 +150,7 @@ def post_sales(
                 F.lit("transaction number already exists"),
             ).otherwise(F.col("reason")),
         )
-        .drop("_used", "_first")
+        .drop("_first")
     )
     refused = checked.where(F.col("reason").isNotNull())
     admitted = admit_in_order(

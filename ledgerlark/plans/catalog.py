@@ -416,16 +416,11 @@ def quarter_by_date(spark, base):
 
 @query
 def best_per_group_tiebreak(spark, base):
-    countries = b.countries(spark, base).select("country_id", "country")
-    customers = b.customer(spark, base).select("customer_id", "country_id")
-    rentals = (
-        b.rental(spark, base)
-        .select("rental_id", "film_id", "customer_id", "amount")
-        .join(customers.join(countries, "country_id"), "customer_id")
-        .join(b.film(spark, base), "film_id")
-    )
+    customers = b.customer(spark, base).join(b.countries(spark, base), "country_id")
     names = [f" nation_{i}" for i in range(25)] + ["Atlantis", "", "NATION_3 "]
-    return table_functions.most_popular_by_country(rentals, names)
+    return table_functions.most_popular_by_country(
+        b.rental(spark, base), customers, b.film(spark, base), names
+    )
 
 
 @query
@@ -540,7 +535,6 @@ def update_from(spark, base):
         "customer_id",
         ["first_name", "last_name", "country_id"],
         stamp=("last_update", F.lit(date(2026, 1, 1))),
-        few=True,
     ).table
 
 
@@ -575,7 +569,7 @@ def delete_using(spark, base):
     lines = load(spark, base, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), money("l_extendedprice").alias("amount")
     )
-    gone_orders = merge.delete_using(orders, _me(spark, base), "customer_id", few=True)
+    gone_orders = merge.delete_using(orders, _me(spark, base), "customer_id")
     gone_lines = merge.delete_using(lines, gone_orders.affected, "o_orderkey")
 
     def count(change, table):
@@ -599,7 +593,7 @@ def delete_returning(spark, base):
     orders = load(spark, base, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("customer_id"), "o_orderstatus", "o_orderdate"
     )
-    return merge.delete_using(orders, _me(spark, base), "customer_id", few=True).affected
+    return merge.delete_using(orders, _me(spark, base), "customer_id").affected
 
 
 @query

@@ -168,15 +168,13 @@ def top_staff(
     ``payments`` holds all payments, with NULL stores where no rental is known.
     By default those count towards revenue; ``store_payments_only`` leaves them
     out. Store and address of tied last payments are the least of each, taken
-    independently. One aggregate per day, then one per person: no self-join
+    independently. One aggregate per moment, then one per person: no self-join
     for "no later payment", and no window over a busy person's payments.
     """
     rows = payments.where(dates.in_years("payment_date", year, year))
     if store_payments_only:
         rows = rows.where(F.col("store_id").isNotNull())
-    moments = rows.groupBy("staff_id", "payment_date", "store_id").agg(F.sum("amount").alias("amount"))
-    moments = moments.join(addresses, "store_id", "left")
-    per_moment = moments.groupBy("staff_id", "payment_date").agg(
+    per_moment = rows.join(addresses, "store_id", "left").groupBy("staff_id", "payment_date").agg(
         F.sum("amount").alias("amount"),
         F.min(F.when(F.col("store_address").isNotNull(), F.col("store_id"))).alias("store_id"),
         F.min("store_address").alias("store_address"),

@@ -15,6 +15,7 @@ from ledgerlark.functions import dates
 from ledgerlark.functions.text import capitalised, joined, matches
 from ledgerlark.operators.joins import or_info_row
 from ledgerlark.operators.ordering import best_rows, latest_rows, peer_numbers
+from ledgerlark.session import materialise
 from ledgerlark.sources.inline import clean_names
 
 
@@ -55,13 +56,17 @@ def revenue_by_category_this_quarter(
     return revenue_by_category(payments, film_category, category, as_of or date.today())
 
 
-def most_popular_by_country(rentals: DataFrame, names: list[str | None] | None) -> DataFrame:
+def most_popular_by_country(
+    rentals: DataFrame, customers: DataFrame, film: DataFrame, names: list[str | None] | None
+) -> DataFrame:
     """Most rented film per listed country.
 
-    ``rentals`` has one row per rental and payment: ``(country, title, rating,
-    language_name, length, release_year, rental_id, amount)``; a rental paid
-    twice counts twice, an unpaid one has a NULL amount. Ties go to revenue, then
-    to the first title. Unknown countries show ``-``.
+    ``rentals`` has one row per rental and payment: ``(rental_id, customer_id,
+    film_id, amount)``; a rental paid twice counts twice, an unpaid one has a
+    NULL amount. customers ``(customer_id, country)``; film ``(film_id, title,
+    rating, language_name, length, release_year)``, whose copies with equal
+    facts count as one. Ties go to revenue, then to the first title. Unknown
+    countries show ``-``.
     """
     if not names:
         raise ValueError("the country list is empty")
@@ -69,14 +74,24 @@ def most_popular_by_country(rentals: DataFrame, names: list[str | None] | None)
         raise ValueError("all entries of the country list are blank")
     countries = clean_names(rentals.sparkSession, names)
     facts = ["title", "rating", "language_name", "length", "release_year"]
-    statistics = (
+    living = (
         # The list of names is part of the plan, so its size is known.
-        rentals.withColumn("name", F.lower("country"))
+        customers.select("customer_id", F.lower("country").alias("name"))
         .join(F.broadcast(countries), "name", "left_semi")
+    )
+    # Counted per country and film before the rows meet the films.
+    per_film = (
+        rentals.select("rental_id", "customer_id", "film_id", "amount")
+        .join(living, "customer_id")
+        .groupBy("name", "film_id")
+        .agg(F.count("rental_id").alias("_n"), F.sum("amount").alias("_amount"))
+    )
+    statistics = (
+        per_film.join(film.select("film_id", *facts), "film_id")
         .groupBy("name", *facts)
         .agg(
-            F.count("rental_id").alias("_rentals"),
-            F.coalesce(F.sum("amount"), F.lit(0)).alias("_revenue"),
+            F.sum("_n").alias("_rentals"),
+            F.coalesce(F.sum("_amount"), F.lit(0)).alias("_revenue"),
         )
     )
     best = best_rows(
@@ -151,7 +166,8 @@ def films_in_stock(
     """
     if pattern is None or not pattern.strip(" "):
         raise ValueError("the search pattern is blank")
-    free = inventory.join(copies(inventory, rental), "inventory_id", "left_semi")
+    out = rental.where(F.col("return_date").isNull()).select("inventory_id")
+    free = inventory.join(out, "inventory_id", "left_anti")
     matched = film.where(matches("title", pattern)).join(
         free.select("film_id"), "film_id", "left_semi"
     )
@@ -177,6 +193,8 @@ def films_in_stock(
         )
         .distinct()
     )
+    # The rows are numbered and shown, but computed once.
+    rows = materialise(rows)
     numbered = peer_numbers(rows, {"_title": F.upper("title"), "_film": F.col("film_id")}, "row_num")
     result = numbered.select(
         "row_num",
@@ -190,7 +208,7 @@ def films_in_stock(
         F.lit("Movie not found or not currently in stock").alias("film_title"),
         *[F.lit("-").alias(name) for name in ("language", "customer_name", "rental_date")],
     )
-    return or_info_row(result, matched, info).orderBy("row_num")
+    return or_info_row(result, rows, info).orderBy("row_num")
 
 
 def customer_balance(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings; all of them may be changed on a live session.
 RUNTIME_SETTINGS = {
@@ -13,6 +14,9 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A join key may hold a third of all rows: let AQE cut its partition.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Do so also where the rows are grouped by the join key afterwards, at the
+    # price of one more shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Top-n per group is cut on the map side up to this n.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
@@ -24,22 +28,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder, taking it from ``spark.checkpoint.dir``.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for intermediate tables, taken from ``spark.checkpoint.dir``.
 
     Only a local-mode session without that setting gets a folder of its own;
     a cluster must name one that every executor can reach.
     """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
-        "spark.checkpoint.dir", None
+    shared = (
+        context.getCheckpointDir()
+        or spark.conf.get("spark.checkpoint.dir", None)
+        or context.getConf().get("spark.checkpoint.dir", None)
     )
     if not shared:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="ledgerlark-checkpoint-")
-    context.setCheckpointDir(shared)
+        shared = tempfile.mkdtemp(prefix="ledgerlark-")
+        context.setCheckpointDir(shared)
     return shared
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    The rows are computed once, survive the loss of executors, and later steps
+    read only the columns they need. The folder is left to its owner to clear.
+    """
+    path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

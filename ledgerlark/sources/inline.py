@@ -4,10 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def values(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """Literal rows. They are part of the plan, so Spark knows that they are few."""
+    fields = T.StructType.fromDDL(schema).fields
+    structs = [
+        F.struct(
+            *[F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(fields, row, strict=True)]
+        )
+        for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def series(spark: SparkSession, first: int, last: int, name: str = "n") -> DataFrame:
