@@ -34,16 +34,22 @@ def resolve(
 
 
 def with_child_counts(
-    parent: DataFrame, key: str, children: dict[str, DataFrame], how: str = "left"
+    parent: DataFrame,
+    key: str,
+    children: dict[str, DataFrame],
+    how: str = "left",
+    weight: str = "_rows",
 ) -> DataFrame:
     """Row count of each child per parent key.
 
     Each child is counted before the join: no fan-out of one child by the
-    other, and a hot parent brings one row per map task.
+    other, and a hot parent brings one row per map task. A child that has a
+    column ``weight`` is already counted in parts, which are added up.
     """
     result = parent
     for name, child in children.items():
-        counts = child.groupBy(key).agg(F.count("*").alias(name))
+        count = F.sum(weight) if weight in child.columns else F.count("*")
+        counts = child.groupBy(key).agg(count.alias(name))
         result = result.join(counts, key, how)
     return result.select(
         *parent.columns, *[F.coalesce(name, F.lit(0)).alias(name) for name in children]

@@ -136,7 +136,7 @@ BRAND_AUDIENCES = {"Brand#1": "All ages", "Brand#2": "13+", "Brand#3": "17+", "B
 @query
 def top_rented_mapped(spark, base):
     return rental_reports.top_rented(
-        b.film(spark, base), b.inventory(spark, base), b.rental_copies(spark, base),
+        b.film(spark, base), b.inventory(spark, base), b.copy_rentals(spark, base),
         audiences=BRAND_AUDIENCES,
     )
 
@@ -174,7 +174,7 @@ LEAST = (43, 18)
 
 def _qualifying(spark, base, k):
     return rental_reports.qualifying_customers(
-        b.customer(spark, base), b.rental(spark, base), b.payment(spark, base), LEAST, k
+        b.customer(spark, base), b.rental_counts(spark, base), b.payment(spark, base), LEAST, k
     )
 
 
@@ -414,6 +414,15 @@ def quarter_by_date(spark, base):
     return _category_revenue(spark, base, date(2000, 2, 15))
 
 
+@query
+def quarter_as_of(spark, base):
+    """The same as the view of the current quarter, on a stated day."""
+    return table_functions.revenue_by_category_this_quarter(
+        b.line_payments(spark, base), b.film_category(spark, base), b.category(spark, base),
+        as_of=date(2001, 5, 5),
+    )
+
+
 @query
 def best_per_group_tiebreak(spark, base):
     customers = b.customer(spark, base).join(b.countries(spark, base), "country_id")
@@ -423,26 +432,25 @@ def best_per_group_tiebreak(spark, base):
     )
 
 
-@query
-def like_in_stock(spark, base):
+def _matching(spark, base, pattern):
     return table_functions.films_in_stock(
         b.film(spark, base),
         b.inventory(spark, base),
-        b.rental(spark, base).select("inventory_id", "customer_id", "rental_date", "return_date"),
+        b.rental(spark, base).select("inventory_id", "customer_id", "rental_date"),
         b.customer(spark, base),
-        "%RING%",
+        pattern,
+        returns=b.copy_rentals(spark, base),
     )
 
 
+@query
+def like_in_stock(spark, base):
+    return _matching(spark, base, "%RING%")
+
+
 @query
 def like_not_found(spark, base):
-    return table_functions.films_in_stock(
-        b.film(spark, base),
-        b.inventory(spark, base),
-        b.rental(spark, base).select("inventory_id", "customer_id", "rental_date", "return_date"),
-        b.customer(spark, base),
-        "%zzzzzzzznomatch%",
-    )
+    return _matching(spark, base, "%zzzzzzzznomatch%")
 
 
 @query
@@ -452,7 +460,9 @@ def in_stock(spark, base):
 
 @query
 def not_in_stock(spark, base):
-    return table_functions.copies(b.inventory(spark, base), b.rental(spark, base), in_stock=False)
+    return table_functions.copies(
+        b.inventory(spark, base), b.copy_rentals(spark, base), in_stock=False
+    )
 
 
 @query
@@ -940,4 +950,5 @@ def scalar_masks(spark, base):
         formats.grouped_integer(price).alias("grouped"),
         formats.percent(price / 1000000).alias("percent"),
         formats.plain_percent(price / 1000).alias("plain_percent"),
+        (F.pow(F.lit(10), F.lit(7)).cast("int") + F.col("o_orderkey")).alias("shifted"),
     )

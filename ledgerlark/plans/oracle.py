@@ -476,6 +476,11 @@ FROM (SELECT DISTINCT p_type, p_brand FROM part) GROUP BY 1
 SELECT upper(p_type) AS category_name, {_double(f'sum(CAST(l_extendedprice AS {MONEY}))')} AS total_sales_revenue
 FROM lineitem JOIN part ON l_partkey = p_partkey
 WHERE date_trunc('quarter', l_shipdate) = date_trunc('quarter', DATE '2000-02-15') GROUP BY p_type
+""",
+    "quarter_as_of": f"""
+SELECT upper(p_type) AS category_name, {_double(f'sum(CAST(l_extendedprice AS {MONEY}))')} AS total_sales_revenue
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE l_shipdate >= TIMESTAMP '2001-04-01' AND l_shipdate < TIMESTAMP '2001-07-01' GROUP BY p_type
 """,
     "best_per_group_tiebreak": f"""
 WITH s AS (
@@ -684,7 +689,8 @@ WITH p AS (SELECT o_orderkey, CAST(o_totalprice AS {MONEY}) AS a FROM orders)
 SELECT o_orderkey, {_amount('a')} AS plain, format('{{:,}}', CAST(round(a, 0) AS BIGINT)) AS grouped,
        CAST(CAST(round(CAST(a AS DECIMAL(38,10)) * 0.000001, 2) AS DECIMAL(18,2)) AS VARCHAR) || ' %' AS percent,
        CASE WHEN a < 1000 THEN replace(CAST(CAST(round(CAST(a AS DECIMAL(38,10)) * 0.001, 4) AS DECIMAL(18,4)) AS VARCHAR), '0.', '.')
-            ELSE CAST(CAST(round(CAST(a AS DECIMAL(38,10)) * 0.001, 4) AS DECIMAL(18,4)) AS VARCHAR) END || ' %' AS plain_percent
+            ELSE CAST(CAST(round(CAST(a AS DECIMAL(38,10)) * 0.001, 4) AS DECIMAL(18,4)) AS VARCHAR) END || ' %' AS plain_percent,
+       10000000 + o_orderkey AS shifted
 FROM p
 """,
 }

@@ -339,9 +339,8 @@ def latest_quarter_sales(transactions: DataFrame, items: DataFrame, products: Da
             F.sum("line_total").alias("total_revenue"),
             F.countDistinct("transaction_number").alias("total_transactions"),
         )
-        .crossJoin(F.broadcast(start))
         .select(
-            "quarter_start_date",
+            lower.cast("date").alias("quarter_start_date"),
             "transaction_month",
             "category_name",
             "product_name",

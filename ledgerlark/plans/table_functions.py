@@ -156,17 +156,25 @@ def holder(inventory: DataFrame, rental: DataFrame) -> DataFrame:
 
 
 def films_in_stock(
-    film: DataFrame, inventory: DataFrame, rental: DataFrame, customer: DataFrame, pattern: str | None = "%"
+    film: DataFrame,
+    inventory: DataFrame,
+    rental: DataFrame,
+    customer: DataFrame,
+    pattern: str | None = "%",
+    returns: DataFrame | None = None,
 ) -> DataFrame:
     """Films in stock whose title matches, with their latest rentals.
 
     film ``(film_id, title, language_name)``. Rentals tied for latest give one
     row each, with a shared number. A film never rented shows a blank customer
     and ``-`` as date. No match gives one informational row.
+    ``returns`` may give ``(inventory_id, return_date)`` of the rentals where that
+    is cheaper to read than ``rental``.
     """
     if pattern is None or not pattern.strip(" "):
         raise ValueError("the search pattern is blank")
-    out = rental.where(F.col("return_date").isNull()).select("inventory_id")
+    returns = rental if returns is None else returns
+    out = returns.where(F.col("return_date").isNull()).select("inventory_id")
     free = inventory.join(out, "inventory_id", "left_anti")
     matched = film.where(matches("title", pattern)).join(
         free.select("film_id"), "film_id", "left_semi"

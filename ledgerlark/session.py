@@ -22,6 +22,21 @@ RUNTIME_SETTINGS = {
 }
 
 
+def cluster_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a session on ``cores`` cores whose largest shuffle moves
+    ``shuffle_bytes``.
+
+    Shuffles start with pieces that fit in memory; AQE joins small ones again.
+    """
+    piece = 256 * 1024**2
+    partitions = max(2 * cores, -(-shuffle_bytes // piece))
+    return RUNTIME_SETTINGS | {
+        "spark.sql.files.maxPartitionBytes": str(piece),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(piece // 2),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)

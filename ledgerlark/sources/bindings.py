@@ -35,6 +35,10 @@ def inventory_id() -> Column:
     return (F.col("l_partkey") * 100_000_000 + F.col("l_suppkey")).alias("inventory_id")
 
 
+def _returned() -> Column:
+    return F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("return_date")
+
+
 # sales star
 
 
@@ -146,9 +150,20 @@ def inventory(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def rental_copies(spark: SparkSession, base: str) -> DataFrame:
-    """The copy of each rental, without its customer."""
-    return load(spark, base, "lineitem").select(inventory_id())
+def copy_rentals(spark: SparkSession, base: str) -> DataFrame:
+    """Copy and return date of each rental, for reports that need no customer."""
+    return load(spark, base, "lineitem").select(inventory_id(), _returned())
+
+
+def rental_counts(spark: SparkSession, base: str) -> DataFrame:
+    """Rentals per order and customer.
+
+    Lines are counted per order first; the join then needs no other shuffle of
+    them.
+    """
+    lines = load(spark, base, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("_rows"))
+    orders = load(spark, base, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("customer_id", "_rows")
 
 
 def rental(spark: SparkSession, base: str) -> DataFrame:
@@ -156,7 +171,7 @@ def rental(spark: SparkSession, base: str) -> DataFrame:
         "l_orderkey",
         inventory_id(),
         F.col("l_partkey").alias("film_id"),
-        F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("return_date"),
+        _returned(),
         money("l_extendedprice").alias("amount"),
     )
     orders = load(spark, base, "orders").select(

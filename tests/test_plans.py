@@ -1,12 +1,15 @@
 """What the plans look like where it matters at scale."""
 
 import re
+import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import joins, quality
 from ledgerlark.plans.catalog import QUERIES
+from ledgerlark.session import cluster_settings
+from ledgerlark.sources import tables
 from tests.conftest import SMALL, bag
 
 
@@ -19,20 +22,17 @@ def no_broadcast(conf):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
 
 
-def test_no_query_needs_a_cartesian_product_or_python_rows(spark, no_broadcast):
-    for name, query in QUERIES.items():
-        text = plan(query(spark, SMALL))
-        assert "CartesianProduct" not in text, name
-        assert "EvalPython" not in text and "InPandas" not in text, name
+ONE_ROW = r"(HashAggregate\(keys=\[\]|SortAggregate\(key=\[\]|GlobalLimit 1|TakeOrderedAndProject\(limit=1)"
 
 
-def test_nested_loops_have_a_single_row_on_one_side(spark, no_broadcast):
-    """Only joins with a global aggregate, a LIMIT 1 or one literal row."""
+def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, no_broadcast):
+    """Nested loops only with a global aggregate, a LIMIT 1 or one literal row."""
     for name, query in QUERIES.items():
         text = plan(query(spark, SMALL))
+        assert "CartesianProduct" not in text, name
+        assert "EvalPython" not in text and "InPandas" not in text, name
         for match in re.finditer(r"BroadcastNestedLoopJoin", text):
-            below = text[match.start():]
-            assert re.search(r"(HashAggregate\(keys=\[\]|SortAggregate\(key=\[\]|GlobalLimit 1|TakeOrderedAndProject\(limit=1)", below), name
+            assert re.search(ONE_ROW, text[match.start():]), name
 
 
 @pytest.mark.parametrize("name", ["share_lag", "join_address", "quarter_by_date", "rows_frame", "weekly_cumsum"])
@@ -101,3 +101,20 @@ def test_children_are_counted_before_the_join(spark, small_pieces):
     # Map-side aggregation sits below the shuffle that feeds the join.
     assert text.count("partial_count") == 2
     assert bag(counted.agg(F.sum("n"))) == [(60000,)]
+
+
+def test_bucketed_tables_join_and_group_without_a_shuffle(spark, no_broadcast):
+    folder = tempfile.mkdtemp(prefix="ledgerlark-buckets-")
+    orders = tables.create_bucketed(
+        tables.load(spark, SMALL, "orders"), "bucketed_orders", f"{folder}/orders", "o_orderkey", 4)
+    lines = tables.create_bucketed(
+        tables.load(spark, SMALL, "lineitem"), "bucketed_lines", f"{folder}/lines", "l_orderkey", 4)
+    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("l_orderkey").count()
+    assert "Exchange" not in plan(joined)
+    assert joined.agg(F.sum("count")).first()[0] == 6000
+
+
+def test_cluster_settings_grow_with_the_shuffle():
+    small, large = cluster_settings(10**9, 8), cluster_settings(10 * 10**12, 8000)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(large["spark.sql.shuffle.partitions"]) > 37_000

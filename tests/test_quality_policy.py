@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import policy, quality
+from ledgerlark.operators.merge import add_column_backfilled
 from tests.conftest import bag, rows
 
 
@@ -59,6 +60,24 @@ def test_completeness(staff):
     assert bag(got) == [("named", 4, 3), ("staff", 4, 3)]
 
 
+# Rows per table after the clinic seed.
+CLINIC_ROWS = {
+    "appointments": 4, "bills": 4, "diagnostic_tests": 2, "doctors": 3, "manufacturers": 4,
+    "medications": 4, "patients": 4, "payments": 3, "prescription_items": 3, "prescriptions": 2,
+    "specializations": 5, "staff": 3, "staff_roles": 5, "treatments": 2,
+}
+
+
+def test_backfill_leaves_no_gap_in_any_table(spark):
+    tables = {
+        name: (add_column_backfilled(spark.range(count), "record_ts", F.current_date()), "record_ts")
+        for name, count in CLINIC_ROWS.items()
+    }
+    report = rows(quality.completeness(tables).orderBy("table_name"))
+    assert report == [(name, count, count) for name, count in CLINIC_ROWS.items()]
+    assert sum(total for _, total, _ in report) == 48
+
+
 def test_principal_sees_own_rows_only(spark, rental_db):
     payment = rental_db.payment.select("customer_id")
     who = policy.first_active_principal(rental_db.customer, rental_db.rental, payment)
