@@ -27,11 +27,14 @@ from ledgerlark.session import materialise
 
 
 def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, stock: str) -> DataFrame:
-    """Add ``admitted`` to requests with a positive ``quantity`` and a ``stock``.
+    """Each request, by product and ``seq``, with its verdict ``admitted``.
 
-    ``stock`` is the same in all rows of a product; ``seq`` is unique.
+    ``quantity`` is positive, ``stock`` the same in all rows of a product, and
+    ``seq`` unique. Only these four columns are moved.
     """
-    summed = running_total(requests, [product], [seq], quantity, "_sum")
+    summed = running_total(
+        requests.select(product, seq, quantity, stock), [product], [seq], quantity, "_sum"
+    )
     fits = F.col("_sum") <= F.col(stock)
     edges = summed.groupBy(product).agg(
         (F.first(stock) - F.coalesce(F.max(F.when(fits, F.col("_sum"))), F.lit(0))).alias("_rest")
@@ -68,10 +71,9 @@ def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, s
     )
     late = folded.select(F.explode("_taken").alias(seq), F.lit(True).alias("_late"))
     return (
-        summed.withColumn("_fits", fits)
+        summed.select(product, seq, fits.alias("_fits"))
         .join(late, seq, "left")
-        .withColumn("admitted", F.col("_fits") | F.col("_late").isNotNull())
-        .drop("_sum", "_fits", "_late")
+        .select(product, seq, (F.col("_fits") | F.col("_late").isNotNull()).alias("admitted"))
     )
 
 
@@ -119,6 +121,7 @@ def post_sales(
             F.col("quantity").isNull() | (F.col("quantity") <= 0),
             F.lit("quantity must be greater than zero"),
         )
+        .when(F.col("transaction_number").isNull(), F.lit("transaction number is missing"))
         .when(F.col("_used"), F.lit("transaction number already exists"))
     )
     # The lookups are run once; the decisions below read their result.
@@ -136,34 +139,24 @@ def post_sales(
             reason.alias("reason"),
         )
     )
-    first = (
+    # The first open request of each number, found with map-side combine.
+    first = F.min(F.struct("seq", "product_id", "quantity", "stock_quantity")).alias("_first")
+    candidates = (
         checked.where(F.col("reason").isNull())
         .groupBy("transaction_number")
-        .agg(F.min("seq").alias("_first"))
-    )
-    checked = (
-        checked.join(first, "transaction_number", "left")
-        .withColumn(
-            "reason",
-            F.when(
-                F.col("reason").isNull() & (F.col("seq") != F.col("_first")),
-                F.lit("transaction number already exists"),
-            ).otherwise(F.col("reason")),
-        )
-        .drop("_first")
+        .agg(first)
+        .select("_first.*")
     )
-    refused = checked.where(F.col("reason").isNotNull())
-    admitted = admit_in_order(
-        checked.where(F.col("reason").isNull()).drop("reason"),
-        "product_id",
-        "seq",
-        "quantity",
-        "stock_quantity",
+    verdicts = admit_in_order(
+        candidates, "product_id", "seq", "quantity", "stock_quantity"
+    ).select("seq", "admitted")
+    decided = checked.join(verdicts, "seq", "left").withColumn(
+        "reason",
+        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(F.col("admitted").isNull(), F.lit("transaction number already exists"))
+        .when(~F.col("admitted"), F.lit("not enough stock")),
     )
-    decided = admitted.withColumn(
-        "reason", F.when(~F.col("admitted"), F.lit("not enough stock"))
-    ).drop("admitted")
-    decided = decided.unionByName(refused)
+    decided = decided.drop("admitted", "stock_quantity")
     accepted = decided.where(F.col("reason").isNull())
     headers = accepted.select(
         "transaction_number", "customer_id", "employee_id", "transaction_date"

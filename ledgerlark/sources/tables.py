@@ -73,5 +73,8 @@ def append(df: DataFrame, path: str, defaults: dict | None = None) -> None:
 def truncate(spark: SparkSession, path: str) -> DataFrame:
     """Leave the table at ``path`` with its schema and without rows."""
     schema = spark.read.parquet(path).schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    nothing = spark.range(0, 0, 1, 1).select(
+        *[F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
+    )
+    nothing.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)

@@ -71,6 +71,8 @@ def posting(spark):
             (9, "T9", "ani@x.org", "mia@x.org", "samsung", "rb34", 6, date(2026, 1, 2)),
             (10, "T10", "ani@x.org", "mia@x.org", "samsung", "rb34", 5, date(2026, 1, 2)),
             (11, "T2", "ani@x.org", "mia@x.org", "lg", "f2v", 2, date(2026, 1, 2)),
+            (12, None, "ani@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
+            (13, None, "ani@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
         ],
         "seq long, transaction_number string, customer_email string, employee_email string,"
         " brand_name string, model_name string, quantity int, transaction_date date",
@@ -103,6 +105,8 @@ def test_reject_reasons(posting):
             (9, "not enough stock"),
             (10, None),
             (11, None),
+            (12, "transaction number is missing"),
+            (13, "transaction number is missing"),
         ],
         key=repr,
     )
