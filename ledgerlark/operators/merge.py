@@ -152,10 +152,17 @@ def with_generated(df: DataFrame, generated: dict[str, Column]) -> DataFrame:
 
 
 def assign_keys(
-    new_rows: DataFrame, id_column: str, order: list[Column], existing: DataFrame | None = None
+    new_rows: DataFrame,
+    id_column: str,
+    order: list[Column],
+    existing: DataFrame | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Surrogate keys behind the greatest one in use, in a stated order."""
-    numbered = number_rows(new_rows, order, id_column)
+    """Surrogate keys behind the greatest one in use, in a stated order.
+
+    ``unique`` says that no two rows are equal in that order.
+    """
+    numbered = number_rows(new_rows, order, id_column, unique=unique)
     if existing is None:
         return numbered
     last = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_last"))

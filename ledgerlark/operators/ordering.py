@@ -63,30 +63,27 @@ def latest_rows(df: DataFrame, keys: list[str], at: str, null_safe: bool = False
     return df.join(last, condition, "left_semi")
 
 
-def first_k_varying(df: DataFrame, keys: list[str], order: str, limit: str) -> DataFrame:
-    """The first ``limit`` rows of each key, where the limit is a column that is
-    constant within the key. Hot keys are cut per salted sub-group first."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(SALTS)))
-    # Without this shuffle, rows already placed by key would stay there.
-    salted = salted.repartition(*keys, "_salt")
-    for group in ([*keys, "_salt"], keys):
-        place = F.row_number().over(Window.partitionBy(*group).orderBy(order))
-        salted = salted.withColumn("_place", place).where(F.col("_place") <= F.col(limit))
-    return salted.drop("_salt", "_place")
-
-
-def number_rows(df: DataFrame, order: list[Column], name: str, after: int | Column = 0) -> DataFrame:
+def number_rows(
+    df: DataFrame,
+    order: list[Column],
+    name: str,
+    after: int | Column = 0,
+    unique: bool = False,
+) -> DataFrame:
     """Consecutive numbers in ``order``, starting behind ``after``.
 
     Range partitions are sorted on their own and written out, which fixes their
-    borders: a lost executor cannot change a number already given. A running
-    id breaks ties, so that equal rows can be cut as well.
+    borders: a lost executor cannot change a number already given. Unless the
+    order is ``unique``, rows first get a running id that breaks ties, so that any
+    number of equal rows can be cut; it is written before it is sorted by,
+    because a task that runs again might give other ids.
     """
-    sort = [*order, F.col("_tie").asc()]
+    if not unique:
+        df = materialise(df.withColumn("_tie", F.monotonically_increasing_id()))
+        order = [*order, F.col("_tie").asc()]
     placed = materialise(
-        df.withColumn("_tie", F.monotonically_increasing_id())
-        .repartitionByRange(*sort)
-        .sortWithinPartitions(*sort)
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .drop("_tie")
         # partition number in the upper bits, row position in the lower 33
         .withColumn("_spot", F.monotonically_increasing_id())
@@ -143,6 +140,14 @@ def running_total(
     )
 
 
+def first_k_varying(df: DataFrame, keys: list[str], order: str, limit: str) -> DataFrame:
+    """The first ``limit`` rows of each key, where the limit is a column that is
+    constant within the key. ``order`` is unique within the key, and rows are
+    counted as running totals are summed, so a hot key is spread."""
+    counted = running_total(df.withColumn("_one", F.lit(1)), keys, [order], "_one", "_place")
+    return counted.where(F.col("_place") <= F.col(limit)).drop("_one", "_place")
+
+
 def peer_numbers(df: DataFrame, order: dict[str, Column], name: str) -> DataFrame:
     """Number of rows up to and including the peers of each row.
 

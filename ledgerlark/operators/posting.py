@@ -6,16 +6,20 @@ running sum is not enough. The decision is still made without gathering a
 product's requests in one task:
 
 1. A running total per product admits everything up to the first request that
-   does not fit. What is left then is less than that one request.
-2. Behind it, a request of quantity q is admitted as long as q fits. The rest
-   only shrinks, so once q is refused it is refused for good, and at most
-   ``rest // q`` requests of each quantity can follow. Only those are kept:
-   their number depends on the rest, not on the number of requests.
-3. Those few are folded in order.
+   does not fit.
+2. Behind it, a request of quantity q is admitted as long as q fits in the rest.
+   The rest only shrinks, so once q is refused it is refused for good, and at
+   most ``rest // q`` requests of each quantity can follow. Others are dropped.
+3. If few requests are left per product, they are folded in order; if not, they
+   go through the same steps again, with the rest as their stock.
+
+The rest behind the first misfit is less than that one request, so with usual
+quantities the first round leaves few.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -25,6 +29,47 @@ from ledgerlark.operators.joins import resolve
 from ledgerlark.operators.ordering import first_k_varying, running_total
 from ledgerlark.session import materialise
 
+# Most requests of one product that are folded in one piece.
+FOLD_LIMIT = 1000
+
+
+def _round(pending: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Admit up to the first misfit of each product; return all requests with
+    that verdict, and those behind the misfit that may still fit."""
+    summed = running_total(pending, ["product"], ["seq"], "quantity", "_sum")
+    fits = F.col("_sum") <= F.col("stock")
+    used = F.coalesce(F.max(F.when(fits, F.col("_sum"))), F.lit(0))
+    rest = summed.groupBy("product").agg((F.first("stock") - used).alias("stock"))
+    behind = (
+        summed.where(~fits)
+        .select("product", "seq", "quantity")
+        .join(rest, "product")
+        .where(F.col("quantity") <= F.col("stock"))
+        .withColumn("_most", F.expr("stock div quantity"))
+    )
+    left = first_k_varying(behind, ["product", "quantity"], "seq", "_most").drop("_most")
+    return summed.select("product", "seq", fits.alias("fits")), left
+
+
+def _fold(few: DataFrame) -> DataFrame:
+    """Admit in order, product by product."""
+    ordered = few.groupBy("product").agg(
+        F.first("stock").alias("_rest"),
+        F.sort_array(F.collect_list(F.struct("seq", "quantity"))).alias("_requests"),
+    )
+    taken = F.aggregate(
+        "_requests",
+        F.struct(F.col("_rest").alias("rest"), F.array().cast("array<bigint>").alias("taken")),
+        lambda state, request: F.when(
+            request["quantity"] <= state["rest"],
+            F.struct(
+                (state["rest"] - request["quantity"]).alias("rest"),
+                F.concat(state["taken"], F.array(request["seq"])).alias("taken"),
+            ),
+        ).otherwise(state),
+    )["taken"]
+    return ordered.select(F.explode(taken).alias("seq"))
+
 
 def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, stock: str) -> DataFrame:
     """Each request, by product and ``seq``, with its verdict ``admitted``.
@@ -32,48 +77,28 @@ def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, s
     ``quantity`` is positive, ``stock`` the same in all rows of a product, and
     ``seq`` unique. Only these four columns are moved.
     """
-    summed = running_total(
-        requests.select(product, seq, quantity, stock), [product], [seq], quantity, "_sum"
-    )
-    fits = F.col("_sum") <= F.col(stock)
-    edges = summed.groupBy(product).agg(
-        (F.first(stock) - F.coalesce(F.max(F.when(fits, F.col("_sum"))), F.lit(0))).alias("_rest")
-    )
-    behind = (
-        summed.where(~fits)
-        .select(product, seq, quantity)
-        .join(edges, product)
-        .where(F.col(quantity) <= F.col("_rest"))
-        .withColumn("_most", F.floor(F.col("_rest") / F.col(quantity)))
-    )
-    few = first_k_varying(behind, [product, quantity], seq, "_most")
-    ordered = few.groupBy(product).agg(
-        F.first("_rest").cast("bigint").alias("_rest"),
-        F.sort_array(
-            F.collect_list(
-                F.struct(F.col(seq).cast("bigint").alias("seq"), F.col(quantity).cast("bigint").alias("qty"))
-            )
-        ).alias("_requests"),
-    )
-    folded = ordered.select(
-        product,
-        F.aggregate(
-            "_requests",
-            F.struct(F.col("_rest").alias("rest"), F.array().cast("array<bigint>").alias("taken")),
-            lambda state, request: F.when(
-                request["qty"] <= state["rest"],
-                F.struct(
-                    (state["rest"] - request["qty"]).alias("rest"),
-                    F.concat(state["taken"], F.array(request["seq"])).alias("taken"),
-                ),
-            ).otherwise(state),
-        )["taken"].alias("_taken"),
+    narrow = requests.select(
+        F.col(product).alias("product"),
+        F.col(seq).cast("bigint").alias("seq"),
+        F.col(quantity).cast("bigint").alias("quantity"),
+        F.col(stock).cast("bigint").alias("stock"),
     )
-    late = folded.select(F.explode("_taken").alias(seq), F.lit(True).alias("_late"))
-    return (
-        summed.select(product, seq, fits.alias("_fits"))
-        .join(late, seq, "left")
-        .select(product, seq, (F.col("_fits") | F.col("_late").isNotNull()).alias("admitted"))
+    judged, left = _round(narrow)
+    later = []
+    while True:
+        largest = left.groupBy("product").count().agg(F.max("count")).first()[0] or 0
+        if largest <= FOLD_LIMIT:
+            break
+        again, left = _round(left)
+        later.append(again.where("fits").select("seq"))
+    if largest:
+        later.append(_fold(left))
+    if later:
+        late = reduce(DataFrame.unionByName, later).withColumn("_late", F.lit(True))
+        judged = judged.join(late, "seq", "left")
+        judged = judged.withColumn("fits", F.col("fits") | F.col("_late").isNotNull())
+    return judged.select(
+        F.col("product").alias(product), F.col("seq").alias(seq), F.col("fits").alias("admitted")
     )
 
 

@@ -338,7 +338,7 @@ def unnest_distinct(spark, base):
 @query
 def series_delete_third(spark, base):
     """Text rows made from a series per order, of which a third is deleted."""
-    prefix = "veeeeeeery_long_string"
+    prefix = "veeeeeeery_long_string"  # fixed value
     made = (
         load(spark, base, "orders")
         .select(F.explode(F.sequence(F.col("o_orderkey") * 2 + 1, F.col("o_orderkey") * 2 + 2)).alias("n"))
@@ -632,7 +632,7 @@ def surrogate_keys(spark, base):
     known = _pairs(spark, base, "F")
     new = _pairs(spark, base, "O").join(known, ["l_partkey", "l_suppkey"], "left_anti")
     existing = load(spark, base, "orders").select(F.col("o_orderkey").alias("copy_id"))
-    return merge.assign_keys(new, "copy_id", [F.asc("l_partkey"), F.asc("l_suppkey")], existing)
+    return merge.assign_keys(new, "copy_id", [F.asc("l_partkey"), F.asc("l_suppkey")], existing, unique=True)
 
 
 def _change_log(spark, base):
@@ -690,7 +690,7 @@ def _posting(spark, base):
     orders = load(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     names = products.select("product_id", "brand_name", "model_name")
     ordered = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    requests = merge.assign_keys(lines, "seq", [F.asc(column) for column in ordered])
+    requests = merge.assign_keys(lines, "seq", [F.asc(column) for column in ordered], unique=True)
     number = F.concat_ws("-", F.lit("TX"), F.col("l_orderkey"), F.col("l_linenumber"))
     quantity = F.when(F.col("l_discount") == 0, F.lit(0)).when(
         F.col("l_tax") != 0, F.col("l_quantity").cast("int")

@@ -18,6 +18,9 @@ from ledgerlark.operators.ordering import best_rows, latest_rows, peer_numbers
 from ledgerlark.session import materialise
 from ledgerlark.sources.inline import clean_names
 
+# Fixed value: the row shown when no film matches.
+NOT_FOUND = "Movie not found or not currently in stock"
+
 
 def revenue_by_category(
     payments: DataFrame, film_category: DataFrame, category: DataFrame, when: date | None
@@ -213,7 +216,7 @@ def films_in_stock(
     )
     info = film.sparkSession.range(1).select(
         F.lit(1).cast("bigint").alias("row_num"),
-        F.lit("Movie not found or not currently in stock").alias("film_title"),
+        F.lit(NOT_FOUND).alias("film_title"),
         *[F.lit("-").alias(name) for name in ("language", "customer_name", "rental_date")],
     )
     return or_info_row(result, rows, info).orderBy("row_num")

@@ -118,7 +118,7 @@ def rental_db(spark):
         customer=table(
             "customer_id int, store_id int, first_name string, last_name string, email string, country string",
             [
-                (1, 1, "Ani", "Z", "ani@x.org", "Brazil"),
+                (1, 1, "Ada", "Z", "ada@x.org", "Brazil"),
                 (2, 1, "Ben", "Y", "ben@x.org", "Brazil"),
                 (3, 2, "Cat", "X", "cat@x.org", "United States"),
                 (4, 2, "Dan", "W", "dan@x.org", "Chile"),

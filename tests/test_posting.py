@@ -8,6 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from ledgerlark.operators import posting as posting_operator
 from ledgerlark.operators.posting import admit_in_order, post_sales
 from tests.conftest import bag
 
@@ -51,6 +52,17 @@ def test_any_order_of_quantities(spark, lines, stock):
     assert admitted_by_spark(spark, requests) == admitted_by_loop(requests)
 
 
+@pytest.mark.parametrize("limit", [0, 3])
+def test_large_quantities_take_more_rounds(spark, monkeypatch, limit):
+    """Misfits of any size, decided without folding more than ``limit`` requests."""
+    monkeypatch.setattr(posting_operator, "FOLD_LIMIT", limit)
+    rng = random.Random(5)
+    requests = [(p, i, rng.choice([1, 2, 5, 40, 900, 10**6]), 10**6 + p * 7) for i, p in
+                enumerate(rng.randrange(3) for _ in range(120))]
+    requests.insert(0, (0, 1000, 2 * 10**6, 10**6))
+    assert admitted_by_spark(spark, requests) == admitted_by_loop(requests)
+
+
 def test_later_request_fits_because_an_earlier_one_was_rejected(spark):
     requests = [(1, 1, 6, 10), (1, 2, 5, 10), (1, 3, 4, 10), (1, 4, 1, 10)]
     assert admitted_by_spark(spark, requests) == {1, 3}
@@ -60,24 +72,24 @@ def test_later_request_fits_because_an_earlier_one_was_rejected(spark):
 def posting(spark):
     requests = spark.createDataFrame(
         [
-            (1, "T1", " ANI@x.org ", "mia@x.org", " Samsung", "RB34 ", 3, date(2026, 1, 1)),
+            (1, "T1", " ADA@x.org ", "mia@x.org", " Samsung", "RB34 ", 3, date(2026, 1, 1)),
             (2, "T2", "nobody@x.org", "mia@x.org", "samsung", "rb34", 1, date(2026, 1, 1)),
-            (3, "T3", "ani@x.org", None, "samsung", "rb34", 1, date(2026, 1, 1)),
-            (4, "T4", "ani@x.org", "mia@x.org", "samsung", "f2v", 1, date(2026, 1, 1)),
-            (5, "T5", "ani@x.org", "mia@x.org", "samsung", "rb34", 0, date(2026, 1, 1)),
-            (6, "T6", "ani@x.org", "mia@x.org", "samsung", "rb34", None, date(2026, 1, 1)),
-            (7, "OLD", "ani@x.org", "mia@x.org", "samsung", "rb34", 1, date(2026, 1, 1)),
-            (8, "T1", "ani@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
-            (9, "T9", "ani@x.org", "mia@x.org", "samsung", "rb34", 6, date(2026, 1, 2)),
-            (10, "T10", "ani@x.org", "mia@x.org", "samsung", "rb34", 5, date(2026, 1, 2)),
-            (11, "T2", "ani@x.org", "mia@x.org", "lg", "f2v", 2, date(2026, 1, 2)),
-            (12, None, "ani@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
-            (13, None, "ani@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
+            (3, "T3", "ada@x.org", None, "samsung", "rb34", 1, date(2026, 1, 1)),
+            (4, "T4", "ada@x.org", "mia@x.org", "samsung", "f2v", 1, date(2026, 1, 1)),
+            (5, "T5", "ada@x.org", "mia@x.org", "samsung", "rb34", 0, date(2026, 1, 1)),
+            (6, "T6", "ada@x.org", "mia@x.org", "samsung", "rb34", None, date(2026, 1, 1)),
+            (7, "OLD", "ada@x.org", "mia@x.org", "samsung", "rb34", 1, date(2026, 1, 1)),
+            (8, "T1", "ada@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
+            (9, "T9", "ada@x.org", "mia@x.org", "samsung", "rb34", 6, date(2026, 1, 2)),
+            (10, "T10", "ada@x.org", "mia@x.org", "samsung", "rb34", 5, date(2026, 1, 2)),
+            (11, "T2", "ada@x.org", "mia@x.org", "lg", "f2v", 2, date(2026, 1, 2)),
+            (12, None, "ada@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
+            (13, None, "ada@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
         ],
         "seq long, transaction_number string, customer_email string, employee_email string,"
         " brand_name string, model_name string, quantity int, transaction_date date",
     )
-    customers = spark.createDataFrame([(1, "ani@x.org")], "customer_id long, email string")
+    customers = spark.createDataFrame([(1, "ada@x.org")], "customer_id long, email string")
     employees = spark.createDataFrame([(7, "mia@x.org")], "employee_id long, email string")
     products = spark.createDataFrame(
         [

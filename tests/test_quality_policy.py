@@ -81,7 +81,7 @@ def test_backfill_leaves_no_gap_in_any_table(spark):
 def test_principal_sees_own_rows_only(spark, rental_db):
     payment = rental_db.payment.select("customer_id")
     who = policy.first_active_principal(rental_db.customer, rental_db.rental, payment)
-    assert rows(who) == [("client_ani_z",)]
+    assert rows(who) == [("client_ada_z",)]
     own = policy.own_rows(rental_db.rental, rental_db.customer, who)
     assert {r.customer_id for r in own.collect()} == {1} and own.count() == 3
     # Another customer's rows are absent, without an error.
