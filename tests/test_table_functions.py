@@ -2,7 +2,6 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
-from pyspark.sql import functions as F
 
 from ledgerlark.plans import table_functions as tf
 from ledgerlark.plans.rental_reports import payment_facts
