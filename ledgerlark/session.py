@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,10 +43,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for intermediate tables, taken from ``spark.checkpoint.dir``.
+    """The folder for intermediate tables that every executor can reach.
 
-    Only a local-mode session without that setting gets a folder of its own;
-    a cluster must name one that every executor can reach.
+    It is the one named by ``spark.checkpoint.dir``; where that is unset, a
+    folder in the warehouse, which is shared as well.
     """
     context = spark.sparkContext
     shared = (
@@ -55,12 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
         or spark.conf.get("spark.checkpoint.dir", None)
         or context.getConf().get("spark.checkpoint.dir", None)
     )
-    if not shared:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="ledgerlark-")
-        context.setCheckpointDir(shared)
-    return shared
+    return shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
 
 
 def materialise(df: DataFrame) -> DataFrame:
