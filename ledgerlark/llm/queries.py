@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import url_filter
+from ledgerlark.llm import packing, url_filter
 from ledgerlark.sources.tables import load
 
 
@@ -14,7 +14,19 @@ def op1_url_filter(spark: SparkSession, base: str) -> DataFrame:
     return url_filter.filter_urls(load(spark, base, "pages"), rules)
 
 
-QUERIES = {"op1_url_filter": op1_url_filter}
+def vocabulary(name: str = "word_bpe_49k.json") -> str:
+    """Where the public tokenizers lie on this machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_packing(spark: SparkSession, base: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(load(spark, base, "documents"), vocabulary())
+
+
+QUERIES = {"op1_url_filter": op1_url_filter, "op10_packing": op10_packing}
 
 ORACLE = {
     "op1_url_filter": r"""
