@@ -44,36 +44,54 @@ def spans_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
 
 
-def word_table(texts: list[str], is_gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words of all texts as 64-bit hashes of their A-Z lower-cased bytes.
+def chunked(frame, chars: int = 1_000_000):
+    """Slices of a pandas frame with about so many characters of ``text`` each."""
+    sizes = frame.text.str.len().to_numpy()
+    group = (np.cumsum(sizes) - sizes) // chars
+    cuts = np.flatnonzero(np.diff(group)) + 1
+    for lo, hi in zip([0, *cuts], [*cuts, len(frame)]):
+        if hi > lo:
+            yield frame.iloc[lo:hi]
+
+
+def word_bounds(
+    texts: list[str], is_gap: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all texts, where words start and end in them, and words per text.
 
     ``is_gap`` marks the 256 byte values that separate words; words never cross
-    texts. Returns the hashes, the text each word stands in, and the number of
-    words of each text.
+    texts.
     """
     encoded = [t.encode("utf-8", "surrogatepass") for t in texts]
     gap = bytes([int(np.flatnonzero(is_gap)[0])])
     buffer = np.frombuffer(gap.join([b"", *encoded, b""]), dtype=np.uint8)
-    lower = buffer + np.uint8(32) * ((buffer >= 65) & (buffer <= 90))
     inside = ~is_gap[buffer]
     start = np.flatnonzero(inside[1:] & ~inside[:-1]) + 1
     end = np.flatnonzero(inside[:-1] & ~inside[1:]) + 1
     ends_of_texts = np.cumsum(np.array([len(t) + 1 for t in encoded], dtype=np.int64))
-    owner = np.searchsorted(ends_of_texts, start, side="right")
-    n_words = np.bincount(owner, minlength=len(texts))[: len(texts)]
-    if not len(start):
-        return np.zeros(0, np.uint64), owner, n_words
-    # Two sums of mixed (byte, place in word) pairs make one 64-bit hash.
-    place = np.arange(len(buffer), dtype=np.int64)
-    first = np.zeros(len(buffer), dtype=np.int64)
-    first[start] = start
-    place -= np.maximum.accumulate(first)
-    with np.errstate(over="ignore"):
-        code = (place.astype(np.uint64) << np.uint64(8)) | lower
-        code = mixed(code + np.uint64(0x9E3779B97F4A7C15))
-        code[~inside] = 0
-        hashes = mixed(np.add.reduceat(code, start) + (end - start).astype(np.uint64))
-    return hashes, owner, n_words
+    before = np.concatenate([[0], np.searchsorted(start, ends_of_texts, side="right")])
+    return buffer, start, end, np.diff(before)
+
+
+def word_table(texts: list[str], is_gap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of all texts as 64-bit hashes of their A-Z lower-cased bytes, and the
+    number of words of each text; see ``word_bounds``."""
+    buffer, start, end, n_words = word_bounds(texts, is_gap)
+    hashes = np.zeros(len(start), np.uint64)
+    lo = 0
+    while lo < len(start):
+        hi = max(lo + 1, int(np.searchsorted(start, start[lo] + (1 << 20))))
+        a, b = int(start[lo]), int(end[hi - 1])
+        part = buffer[a:b]
+        first = start[lo:hi] - a
+        lower = part + np.uint8(32) * ((part >= 65) & (part <= 90))
+        place = np.arange(b - a) - np.repeat(first, np.diff(np.append(first, b - a)))
+        # The sum of mixed (place in word, byte) pairs makes one 64-bit hash.
+        code = mixed(((place.astype(np.uint64) + np.uint64(1)) << np.uint64(8)) | lower)
+        code[is_gap[part]] = 0
+        hashes[lo:hi] = mixed(np.add.reduceat(code, first))
+        lo = hi
+    return hashes, n_words
 
 
 def rolled(hashes: np.ndarray, k: int) -> np.ndarray:

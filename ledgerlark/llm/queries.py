@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import packing, url_filter
+from ledgerlark.llm import decontaminate, packing, url_filter
 from ledgerlark.sources.tables import load
 
 
@@ -26,7 +26,14 @@ def op10_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_documents(load(spark, base, "documents"), vocabulary())
 
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op10_packing": op10_packing}
+def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
+    """Words of every document that stand in a window of a benchmark item."""
+    return decontaminate.find_contamination(
+        load(spark, base, "documents"), load(spark, base, "benchmark")
+    )
+
+
+QUERIES = {"op1_url_filter": op1_url_filter, "op6_decontamination": op6_decontamination, "op10_packing": op10_packing}
 
 ORACLE = {
     "op1_url_filter": r"""
@@ -45,4 +52,29 @@ fits AS (
 SELECT page_id, host, path, rule,
        coalesce((SELECT v FROM rules WHERE h || p = rule), 'allow') AS verdict
 FROM fits""",
+    "op6_decontamination": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(10, len(words)) AS n,
+         array_to_string(words[i : i + least(10, len(words)) - 1], ' ') AS win
+  FROM b, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS u(i) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT doc_id, i, n, array_to_string(words[i : i + n - 1], ' ') AS win
+  FROM w, sizes, unnest(range(1, len(words) - n + 2)) AS u(i) WHERE len(words) >= n),
+h AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT DISTINCT doc_id, i, n FROM h), unnest(range(i, i + n)) AS u(p) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS l
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM h) GROUP BY doc_id)
+SELECT w.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
 }
