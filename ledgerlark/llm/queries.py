@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import decontaminate, packing, url_filter
+from ledgerlark.llm import decontaminate, fingerprint, packing, url_filter
 from ledgerlark.sources.tables import load
 
 
@@ -33,7 +33,17 @@ def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_url_filter": op1_url_filter, "op6_decontamination": op6_decontamination, "op10_packing": op10_packing}
+def op9_fingerprints(spark: SparkSession, base: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text."""
+    return fingerprint.fingerprints(load(spark, base, "documents"))
+
+
+QUERIES = {
+    "op1_url_filter": op1_url_filter,
+    "op6_decontamination": op6_decontamination,
+    "op9_fingerprints": op9_fingerprints,
+    "op10_packing": op10_packing,
+}
 
 ORACLE = {
     "op1_url_filter": r"""
