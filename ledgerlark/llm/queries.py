@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import decontaminate, fingerprint, packing, url_filter
+from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, url_filter
 from ledgerlark.sources.tables import load
 
 
@@ -26,6 +26,11 @@ def op10_packing(spark: SparkSession, base: str) -> DataFrame:
     return packing.pack_documents(load(spark, base, "documents"), vocabulary())
 
 
+def op2_near_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Components of documents that share most of their word shingles."""
+    return near_dedup.near_duplicates(load(spark, base, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item."""
     return decontaminate.find_contamination(
@@ -40,6 +45,7 @@ def op9_fingerprints(spark: SparkSession, base: str) -> DataFrame:
 
 QUERIES = {
     "op1_url_filter": op1_url_filter,
+    "op2_near_dedup": op2_near_dedup,
     "op6_decontamination": op6_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
