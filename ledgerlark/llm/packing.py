@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import texts_of
-from ledgerlark.llm.token_ids import WordEncoder
+from ledgerlark.llm.token_ids import encoder_of
 from ledgerlark.session import materialise
 
 #: Pieces that one task packs together.
@@ -63,7 +63,7 @@ def cut_pieces(
     """
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = WordEncoder(vocabulary, by_word=by_word)
+        encoder = encoder_of(vocabulary, by_word)
         for frame in frames:
             for i in range(0, len(frame), 256):
                 part = frame.iloc[i : i + 256]

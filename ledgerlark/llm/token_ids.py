@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+from functools import lru_cache
+from string import punctuation
 
 import numpy as np
 
@@ -11,15 +13,20 @@ _STEP = 100_000
 
 
 def _cut(word: str) -> tuple[str, str]:
-    """A word and the mark behind it, if their ids are those of the whole.
+    """A word and the marks behind it, if their ids are those of the whole.
 
-    Letters end before a mark in any case, and A-Z are lower-cased by the library.
+    Letters end before marks in any case, and A-Z are lower-cased by the library.
     """
-    if len(word) > 1 and word[-1] in ".,;:?!" and word[:-1].isalpha():
-        base, tail = word[:-1], word[-1]
-    else:
-        base, tail = word, ""
-    return (base.lower() if base.isascii() and base.isalpha() else base), tail
+    base = word.rstrip(punctuation)
+    if not base.isalpha():
+        return word, ""
+    return (base.lower() if base.isascii() else base), word[len(base) :]
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str, by_word: bool = True) -> WordEncoder:
+    """One encoder for all tasks that a Python worker runs, so that it stays filled."""
+    return WordEncoder(path, by_word=by_word)
 
 
 class WordEncoder:
@@ -71,7 +78,7 @@ class WordEncoder:
         self.known.update(zip(words, range(self.n, self.n + len(words))))
         self.n += len(words)
 
-    def _learn(self, new: list[str]) -> None:
+    def _learn(self, new: set[str]) -> None:
         parts = {word: _cut(word) for word in new}
         alone = dict.fromkeys(x for base, tail in parts.values() for x in (base, tail))
         alone = [word for word in alone if word not in self.known]
@@ -119,14 +126,12 @@ class WordEncoder:
         return np.concatenate(parts), (total[ends] - total[ends - np.array(sizes, np.int64)]).astype(np.int64)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        try:
-            places = list(map(self.known.__getitem__, words))
-        except KeyError:
-            new = [w for w in dict.fromkeys(words) if w not in self.known]
-            # A new stretch may bring its word and the mark behind it as well.
+        new = set(words).difference(self.known)
+        if new:
+            # A new stretch may bring its word and the marks behind it as well.
             if self.n + 3 * len(new) > self.most:
                 self._clear()
-                new = list(dict.fromkeys(words))
+                new = set(words)
             self._learn(new)
-            places = list(map(self.known.__getitem__, words))
+        places = list(map(self.known.__getitem__, words))
         return self._gather(np.array(places, np.int64))
