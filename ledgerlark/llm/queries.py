@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, url_filter
+from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, pii, url_filter
 from ledgerlark.sources.tables import load
 
 
@@ -31,6 +31,11 @@ def op2_near_dedup(spark: SparkSession, base: str) -> DataFrame:
     return near_dedup.near_duplicates(load(spark, base, "documents"))
 
 
+def op3_pii(spark: SparkSession, base: str) -> DataFrame:
+    """Personal data in every text."""
+    return pii.find_personal_data(load(spark, base, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item."""
     return decontaminate.find_contamination(
@@ -46,6 +51,7 @@ def op9_fingerprints(spark: SparkSession, base: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_near_dedup": op2_near_dedup,
+    "op3_pii": op3_pii,
     "op6_decontamination": op6_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
