@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, pii, url_filter
+from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, pii, quality, url_filter
 from ledgerlark.sources.tables import load
 
 
@@ -36,6 +36,11 @@ def op3_pii(spark: SparkSession, base: str) -> DataFrame:
     return pii.find_personal_data(load(spark, base, "documents"))
 
 
+def op4_quality(spark: SparkSession, base: str) -> DataFrame:
+    """Quality of every document by a network over its bytes."""
+    return quality.score_quality(load(spark, base, "documents"), load(spark, base, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item."""
     return decontaminate.find_contamination(
@@ -52,6 +57,7 @@ QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_near_dedup": op2_near_dedup,
     "op3_pii": op3_pii,
+    "op4_quality": op4_quality,
     "op6_decontamination": op6_decontamination,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
