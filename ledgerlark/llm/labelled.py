@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import TypeVar
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import texts_of
 
+T = TypeVar("T")
+
 #: Documents of each label that a classifier is trained on, at most.
 PER_LABEL = 1500
 
@@ -19,8 +26,8 @@ def fold_of(id_column: str | Column, folds: int) -> Column:
 
 def sample(
     docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_label: int = PER_LABEL
-) -> tuple[list[str], list[int]]:
-    """Whole texts and labels of at most ``per_label`` documents of each label.
+) -> DataFrame:
+    """``doc_id``, whole ``text`` and ``label`` of at most ``per_label`` documents of each label.
 
     ``learn`` says of ``doc_id`` which rows may be learned from. The rows with the
     least hash of their id are taken, so that the sample does not depend on the
@@ -37,9 +44,25 @@ def sample(
         some = known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_label)
         chosen = some if chosen is None else chosen.unionByName(some)
     # At most 2 * per_label rows of two numbers.
-    rows = (
+    return (
         texts_of(docs).join(F.broadcast(chosen), "doc_id")
         .groupBy("doc_id", "label").agg(F.min("text").alias("text"))
-        .orderBy("doc_id").collect()
     )
-    return [r.text for r in rows], [r.label for r in rows]
+
+
+def trained(rows: DataFrame, fit: Callable[[list[str], list[int]], T]) -> T:
+    """What ``fit`` makes of a sample, in the order of its ids, in one task.
+
+    The sample is bounded, and so is the model that comes back. A task has one
+    thread for its linear algebra, and a lost one gives the same model again.
+    """
+
+    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [frame for frame in frames if len(frame)]
+        if parts:
+            whole = pd.concat(parts).sort_values("doc_id")
+            model = fit(whole.text.tolist(), whole.label.tolist())
+            yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    made = rows.repartition(1).mapInPandas(learn, "model binary").collect()
+    return pickle.loads(made[0].model) if made else fit([], [])

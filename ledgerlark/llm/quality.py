@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.llm.common import chunked, texts_of
-from ledgerlark.llm.labelled import PER_LABEL, fold_of, sample
+from ledgerlark.llm.labelled import PER_LABEL, fold_of, sample, trained
 
 WIDTH, STRIDE, FILTERS = 8, 2, 16
 #: Filter positions in a block, and blocks in a chunk; chunks start every CHUNK - 1 blocks.
@@ -177,7 +177,7 @@ def score_quality(
     and empty ones get a score as well; repeated rows get equal scores; extra
     columns are left out.
     """
-    net = fit(*sample(docs, labels, label, fold_of("doc_id", FOLDS) != HELD_OUT, per_label))
+    net = trained(sample(docs, labels, label, fold_of("doc_id", FOLDS) != HELD_OUT, per_label), fit)
 
     def score(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:

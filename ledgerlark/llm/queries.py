@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, pii, quality, url_filter
+from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, pii, quality, toxicity, url_filter
 from ledgerlark.sources.tables import load
 
 
@@ -48,6 +48,11 @@ def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, base: str) -> DataFrame:
+    """Toxicity of every document by a recurrent network over all its windows."""
+    return toxicity.score_toxicity(load(spark, base, "documents"), load(spark, base, "labels"))
+
+
 def op9_fingerprints(spark: SparkSession, base: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
     return fingerprint.fingerprints(load(spark, base, "documents"))
@@ -59,6 +64,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_quality": op4_quality,
     "op6_decontamination": op6_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
 }
