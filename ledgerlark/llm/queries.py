@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, pii, quality, toxicity, url_filter
+from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, pii, quality, suffix_dedup, toxicity, url_filter
 from ledgerlark.sources.tables import load
 
 
@@ -41,6 +41,11 @@ def op4_quality(spark: SparkSession, base: str) -> DataFrame:
     return quality.score_quality(load(spark, base, "documents"), load(spark, base, "labels"))
 
 
+def op5_suffix_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Bytes of every document that stand in a repeated string of 200 bytes."""
+    return suffix_dedup.remove_repeats(load(spark, base, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, base: str) -> DataFrame:
     """Words of every document that stand in a window of a benchmark item."""
     return decontaminate.find_contamination(
@@ -63,6 +68,7 @@ QUERIES = {
     "op2_near_dedup": op2_near_dedup,
     "op3_pii": op3_pii,
     "op4_quality": op4_quality,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
     "op9_fingerprints": op9_fingerprints,
