@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import mixed, rolled, seeds, texts_of, word_table
+from ledgerlark.llm.common import mixed, range_number, rolled, seeds, texts_of, word_table
 
 SAMPLES = 64
 SHINGLE = 2
@@ -139,13 +139,7 @@ def _in_order(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         "place", F.coalesce("doc_id", F.lit(-(2**63)))
     )
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [i / n for i in range(1, n)]
-    cuts = whole.agg(F.percentile_approx("place", shares, 20 * n)).first()[0] or []
-    cuts = sorted(set(cuts))
-    # Of the cuts, those below a place: the higher the place, the higher the range.
-    span = (F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c < F.col("place")))
-            if cuts else F.lit(0))
-    ranged = whole.withColumn("span", span)
+    ranged = whole.withColumn("span", range_number(whole, "place", n))
     tops = {r.span: r.top for r in ranged.groupBy("span").agg(F.max("place").alias("top")).collect()}
     order = sorted(tops, reverse=True)
     # One row for each range: the place that follows its last.

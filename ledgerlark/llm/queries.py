@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlark.llm import decontaminate, fingerprint, near_dedup, packing, pii, quality, suffix_dedup, toxicity, url_filter
+from ledgerlark.llm import (
+    decontaminate,
+    fingerprint,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+    suffix_dedup,
+    token_files,
+    toxicity,
+    url_filter,
+)
 from ledgerlark.sources.tables import load
 
 
@@ -58,6 +69,12 @@ def op7_toxicity(spark: SparkSession, base: str) -> DataFrame:
     return toxicity.score_toxicity(load(spark, base, "documents"), load(spark, base, "labels"))
 
 
+def op8_token_files(spark: SparkSession, base: str) -> DataFrame:
+    """Token ids of all documents, written to coded files and read back."""
+    files = token_files.write_tokens(load(spark, base, "documents"), vocabulary())
+    return token_files.read_tokens(files)
+
+
 def op9_fingerprints(spark: SparkSession, base: str) -> DataFrame:
     """Fingerprints of every text and of its edited text."""
     return fingerprint.fingerprints(load(spark, base, "documents"))
@@ -71,6 +88,7 @@ QUERIES = {
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_decontamination": op6_decontamination,
     "op7_toxicity": op7_toxicity,
+    "op8_token_files": op8_token_files,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
 }
