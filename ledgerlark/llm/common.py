@@ -22,6 +22,11 @@ def texts_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     )
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one, ``row``, so that their names meet no others."""
+    return F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mix of each value."""
     x = x ^ (x >> _S33)

@@ -17,8 +17,9 @@ import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
-from ledgerlark.llm.common import chunked, rolled, texts_of, word_bounds, word_table
+from ledgerlark.llm.common import chunked, rolled, texts_of, whole_row, whole_text, word_bounds, word_table
 
 WINDOW = 10
 K = 5
@@ -104,6 +105,43 @@ def find_contamination(
     row; repeated items count once per id; a null item id counts as the empty
     id. Extra columns are left out.
     """
+    whole = texts_of(docs, id_column, text_column).withColumn("text_hash", F.xxhash64("text"))
+    hits = _hits(whole, benchmark, item_column, text_column, max_sent)
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))
+    return whole.join(hits, same, "left").select("doc_id", "text", "hits").mapInPandas(
+        _extend, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint,"
+        " items_sha256 string, contaminated boolean",
+    )
+
+
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", item_column: str = "item_id",
+    text_column: str = "text", max_sent: int = MAX_SENT,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of an item."""
+    whole = texts_of(docs, id_column, text_column).withColumn("text_hash", F.xxhash64("text"))
+    found = _hits(whole, benchmark, item_column, text_column, max_sent)
+    rows = docs.select(
+        whole_row(docs), F.col(id_column).cast("bigint").alias("doc_id"),
+        F.xxhash64(whole_text(text_column)).alias("text_hash"),
+    )
+    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))
+    text = F.coalesce(F.col("row").getField(text_column), F.lit(""))
+    clean = F.col("hits").isNull() | (_count_hits(text, F.col("hits")) == 0)
+    return rows.join(found, same, "left").where(clean).select("row.*")
+
+
+@F.pandas_udf(LongType())
+def _count_hits(texts: pd.Series, hits: pd.Series) -> pd.Series:
+    return pd.Series([
+        0 if found is None else int(_marked(text, found)[0].sum()) for text, found in zip(texts, hits)
+    ], dtype="int64")
+
+
+def _hits(
+    whole: DataFrame, benchmark: DataFrame, item_column: str, text_column: str, max_sent: int
+) -> DataFrame:
+    """Of each document that shares a fingerprint: the items, and on which diagonals."""
     items = _item_rows(benchmark, item_column, text_column).persist()
     short = sorted(r.n for r in items.where(F.col("n") < WINDOW).select("n").distinct().collect())
     marks = items.select("item_id", "words", F.explode(F.arrays_zip("fps", "places")).alias("m"))
@@ -130,9 +168,8 @@ def find_contamination(
                     "fp": fp, "pos": (at - firsts[owner]).astype(np.int32),
                 })
 
-    whole = texts_of(docs, id_column, text_column).withColumn("text_hash", F.xxhash64("text"))
     # A document is its id and text, so that rows that share an id stay apart.
-    hits = (
+    return (
         whole.mapInPandas(prints, f"doc_id bigint, text_hash bigint, {_PRINT}")
         .join(marks.select("fp", "item_id", "words", "item_pos"), "fp")
         .groupBy("doc_id", "text_hash", "item_id", "words")
@@ -141,11 +178,6 @@ def find_contamination(
         .agg(F.collect_list(F.struct("item_id", "words", "diagonals")).alias("hits"))
         .withColumnsRenamed({"doc_id": "hit_id", "text_hash": "hit_hash"})
     )
-    same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))
-    return whole.join(hits, same, "left").select("doc_id", "text", "hits").mapInPandas(
-        _extend, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint,"
-        " items_sha256 string, contaminated boolean",
-    )
 
 
 def _extend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,17 +191,23 @@ def _extend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for i, (text, hits) in enumerate(zip(part.text, part.hits)):
                 if hits is None:
                     continue
-                words = word_table([text], GAPS)[0]
-                hit, found = np.zeros(len(words), bool), set()
-                for item in hits:
-                    if _mark(words, item, hit):
-                        found.add(item["item_id"])
+                hit, found = _marked(text, hits)
                 n_hit[i], n_items[i] = hit.sum(), len(found)
                 digest[i] = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
             yield pd.DataFrame({"doc_id": part.doc_id, "n_words": n_words, "n_hit": n_hit,
                                 "n_items": n_items, "items_sha256": digest, "contaminated": n_hit > 0})
 
 
+def _marked(text: str, hits: list) -> tuple[np.ndarray, set[str]]:
+    """Which words are hit, and the items that hit them."""
+    words = word_table([text], GAPS)[0]
+    hit, found = np.zeros(len(words), bool), set()
+    for item in hits:
+        if _mark(words, item, hit):
+            found.add(item["item_id"])
+    return hit, found
+
+
 def _mark(words: np.ndarray, item: dict, hit: np.ndarray) -> bool:
     """Mark the words of all runs that reach a window; whether there is one."""
     own = np.array(item["words"], np.int64).view(np.uint64)

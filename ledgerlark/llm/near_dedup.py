@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from ledgerlark.llm.common import chunked, mixed, rolled, seeds, texts_of, word_table
+from ledgerlark.llm.common import chunked, mixed, rolled, seeds, texts_of, whole_row, word_table
 from ledgerlark.llm.components import components
 from ledgerlark.session import materialise
 
@@ -126,7 +126,7 @@ def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 cuts = np.searchsorted(row[order], np.arange(1, len(part)))
                 paths = [p.tolist() for p in np.split(path[order], cuts)]
             yield pd.DataFrame({
-                "doc_id": part.doc_id, "n": sizes, "k1": k1.view(np.int64), "k2": k2.view(np.int64),
+                "doc_id": part.doc_id, "mark": part.mark, "n": sizes, "k1": k1.view(np.int64), "k2": k2.view(np.int64),
                 "tokens": [row.tobytes() if n else None for row, n in zip(tokens, sizes)], "paths": paths,
             })
 
@@ -286,27 +286,61 @@ def near_duplicates(
     share an id are judged row by row; of repeated rows each is kept or not alike.
     A null id is never kept. Extra columns are left out.
     """
-    whole = texts_of(docs, id_column, text_column)
+    return _judged(texts_of(docs, id_column, text_column)).select(
+        "doc_id", "n_shingles", "component_id", "kept", "n_links"
+    )
+
+
+def _judged(whole: DataFrame) -> DataFrame:
+    """One row per document, with the hash of its text and the component's vertex."""
     sketch = materialise(
-        whole.mapInPandas(
-            _sketch, "doc_id bigint, n bigint, k1 bigint, k2 bigint, tokens binary, paths array<bigint>"
+        whole.withColumn("mark", F.xxhash64("text")).mapInPandas(
+            _sketch, "doc_id bigint, mark bigint, n bigint, k1 bigint, k2 bigint,"
+            " tokens binary, paths array<bigint>",
         ).withColumn("row", F.monotonically_increasing_id())
     )
     join = _Join(whole, sketch)
     _run(join)
-    rows = sketch.select("doc_id", "n", "k1", "k2", "row").join(join.classes, ["k1", "k2", "n"], "left")
-    rows = rows.select("doc_id", "n", F.coalesce("v", "row").alias("v"))
+    rows = sketch.select("doc_id", "mark", "n", "k1", "k2", "row")
+    rows = rows.join(join.classes, ["k1", "k2", "n"], "left")
+    rows = rows.select("doc_id", "mark", "n", F.coalesce("v", "row").alias("v"))
     if join.labels is not None:
         known = join.labels.select(F.col("a").alias("v"), F.col("b").alias("found"))
         ends = join.links.select(F.col("a").alias("v")).union(join.links.select("b"))
         degree = ends.groupBy("v").agg(F.count("*").alias("n_links"))
         rows = rows.join(known, "v", "left").join(degree, "v", "left")
-        rows = rows.select("doc_id", "n", F.coalesce("found", "v").alias("v"), "n_links")
+        rows = rows.select("doc_id", "mark", "n", F.coalesce("found", "v").alias("v"), "n_links")
     else:
         rows = rows.withColumn("n_links", F.lit(0))
     least = rows.groupBy("v").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "v").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "mark", "v",
     )
+
+
+def keep_one(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, of which one of each component stays.
+
+    It is the one with the least id, null ids last, and with the least hash of its
+    text among rows that share the id; of repeated rows one. Texts without words all
+    stay.
+    """
+    place = F.coalesce(F.col(id_column).cast("bigint"), F.lit(2**63 - 1))
+    mark = F.xxhash64(F.coalesce(text_column, F.lit("")))
+    found = materialise(_judged(texts_of(docs, id_column, text_column)).select(
+        F.coalesce("doc_id", F.lit(2**63 - 1)).alias("_place"), F.col("mark").alias("_mark"),
+        (F.col("n_shingles") == 0).alias("bare"), "v",
+    ))
+    bare = found.where("bare").select("_place", "_mark", F.lit(False).alias("again")).distinct()
+    first = found.where(~F.col("bare")).groupBy("v").agg(
+        F.min(F.struct("_place", "_mark")).alias("one")
+    ).select("one.*")
+    copies = found.where(~F.col("bare")).groupBy("_place", "_mark").agg((F.count("*") > 1).alias("again"))
+    chosen = first.join(copies, ["_place", "_mark"]).unionByName(bare)
+    rows = docs.select(whole_row(docs), place.alias("_place"), mark.alias("_mark"))
+    rows = rows.join(chosen, ["_place", "_mark"])
+    # Only rows that are repeated as they are meet once more.
+    once, again = rows.where(~F.col("again")), rows.where("again").dropDuplicates(["_place", "_mark"])
+    return once.unionByName(again).select("row.*")

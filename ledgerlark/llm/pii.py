@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import texts_of
+from ledgerlark.llm.common import texts_of, whole_row, whole_text
 from ledgerlark.session import materialise
 
 #: In the order in which spans at one place are listed.
@@ -166,9 +166,16 @@ def _described(kind: str):
     return lambda c: _candidate(kind, c, F.col(kind))
 
 
-def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id``, base spans per kind, and candidates, for every row."""
-    out = texts_of(docs, id_column, text_column)
+def find_spans(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", whole_rows: bool = False
+) -> DataFrame:
+    """``doc_id``, base spans per kind, and candidates, for every row; with
+    ``whole_rows`` also the ``text`` and the whole ``row``."""
+    if whole_rows:
+        out = docs.select(F.lit(None).cast("bigint").alias("doc_id"), whole_text(text_column).alias("text"),
+                          whole_row(docs))
+    else:
+        out = texts_of(docs, id_column, text_column)
     for kind in KINDS:
         out = out.withColumn(f"raw_{kind}", _found(kind, BASE[kind]))
         out = out.withColumn(kind, F.filter(f"raw_{kind}", _check(kind)))
@@ -185,6 +192,7 @@ def find_spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in KINDS],
         F.array_sort(F.concat(*map(plain, KINDS))).alias("base"),
         F.concat(*[f"wide_{kind}" for kind in KINDS]).alias("wide"),
+        *(["text", "row"] if whole_rows else []),
     )
 
 
@@ -323,13 +331,51 @@ def find_personal_data(
     """
     spans = materialise(find_spans(docs, id_column, text_column))
     model = train(_cells(spans).collect(), precision=precision)
-    clear = F.filter("wide", lambda c: model.selects(c) & ~F.exists(
-        "base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])
-    ))
-    added = F.transform(clear, lambda c: F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e")))
-    return spans.withColumn("added", F.array_distinct(added)).select(
+    return spans.withColumn("added", _added(model)).select(
         "doc_id", *[f"n_{kind}" for kind in KINDS],
         F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
         _listed(F.array_sort(F.concat("base", "added"))).alias("spans"),
         F.size("added").cast("bigint").alias("n_added"),
     )
+
+
+def _added(model: Model) -> Column:
+    """The candidates that the model selects and that meet no base span."""
+    clear = F.filter("wide", lambda c: model.selects(c) & ~F.exists(
+        "base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])
+    ))
+    return F.array_distinct(F.transform(
+        clear, lambda c: F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e"))
+    ))
+
+
+def redact(docs: DataFrame, text_column: str = "text", precision: float = 0.95) -> DataFrame:
+    """The rows of ``docs`` with every span replaced by its kind, as in ``[email]``.
+
+    Spans that overlap are replaced together, by the kind of the first. Where a
+    column ``n_chars`` counted the text, it counts the new one. Rows without spans
+    stay as they are.
+    """
+    model = train(_cells(find_spans(docs, text_column=text_column)).collect(), precision=precision)
+    found = find_spans(docs, text_column=text_column, whole_rows=True)
+    names = F.array(*[F.lit(f"[{kind}]") for kind in KINDS])
+
+    def step(acc: Column, c: Column) -> Column:
+        gap = F.substring("text", acc["at"] + 1, F.greatest(c["s"] - acc["at"], F.lit(0)))
+        new = F.concat(acc["out"], gap, F.element_at(names, c["k"] + 1))
+        return F.struct(F.greatest(acc["at"], c["e"]).alias("at"),
+                        F.when(c["s"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
+
+    rest = lambda acc: F.concat(acc["out"], F.substring("text", acc["at"] + 1, F.length("text")))
+    clean = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, rest)
+    found = found.withColumn("spans", F.array_sort(F.concat("base", _added(model))))
+    found = found.select("row", F.size("spans").alias("n"), clean.alias("clean"))
+    columns = []
+    for name in docs.columns:
+        value = F.col("row").getField(name)
+        if name == text_column:
+            value = F.when(F.col("n") > 0, F.col("clean")).otherwise(value)
+        elif name == "n_chars":
+            value = F.when(F.col("n") > 0, F.length("clean").cast(docs.schema[name].dataType)).otherwise(value)
+        columns.append(value.alias(name))
+    return found.select(*columns)

@@ -17,8 +17,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
-from ledgerlark.llm.common import chunked, mixed, texts_of, word_bounds
+from ledgerlark.llm.common import chunked, mixed, texts_of, whole_text, word_bounds
 from ledgerlark.llm.labelled import fold_of, sample, trained
 
 WINDOW, HOP = 48, 36
@@ -284,3 +285,18 @@ def scorer(net: BiGru):
                 yield part.drop(columns="text").assign(score=net.scores(part.text.tolist()))
 
     return score
+
+
+def keep_clean(
+    docs: DataFrame, labels: DataFrame, text_column: str = "text", per_label: int = PER_LABEL,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that are not predicted toxic."""
+    net = learned(docs, labels, per_label=per_label)
+
+    def score(texts: pd.Series) -> pd.Series:
+        parts = [net.scores(part.text.tolist()) for part in chunked(pd.DataFrame({"text": texts}))]
+        return pd.Series(np.concatenate([np.zeros(0), *parts]))
+
+    found = F.pandas_udf(score, DoubleType())(whole_text(text_column))
+    return docs.where(found < threshold)
