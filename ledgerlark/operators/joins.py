@@ -23,11 +23,16 @@ def resolve(
     """Natural key to surrogate key: add the ``take`` columns of ``lookup``.
 
     ``on`` maps columns of ``df`` to columns of ``lookup``. Both sides are
-    compared lowered and trimmed, as equality, so the join stays hashable.
+    compared lowered and trimmed, as equality, so the join stays hashable. Where a
+    natural key repeats in the lookup, its row with the least ``take`` columns is
+    the one taken, so rows of ``df`` are never multiplied.
     """
+    keys = [f"_key{i}" for i in range(len(on))]
     keyed = lookup.select(
-        *[natural(there).alias(f"_key{i}") for i, there in enumerate(on.values())],
-        *take,
+        *[natural(there).alias(key) for key, there in zip(keys, on.values())], *take
+    )
+    keyed = keyed.groupBy(*keys).agg(F.min(F.struct(*take)).alias("_least")).select(
+        *keys, *[F.col(f"_least.{column}").alias(column) for column in take]
     )
     condition = all_of([natural(df[here]) == keyed[f"_key{i}"] for i, here in enumerate(on)])
     return df.join(keyed, condition, how).drop(*[f"_key{i}" for i in range(len(on))])

@@ -80,13 +80,16 @@ def update_from(
     columns: list[str],
     stamp: tuple[str, Column] | None = None,
 ) -> Change:
-    """Set ``columns`` of the rows that ``changes`` names, one row per key.
+    """Set ``columns`` of the rows that ``changes`` names.
 
-    ``stamp`` names a column that records the change, on changed rows only.
+    Of several changes for one key the least holds, compared by ``columns`` in
+    their order with NULL first; they are cut to one per key before the join, with
+    map-side combine, so that no target row is doubled. ``stamp`` names a column that records the change, on changed rows only.
     Spark broadcasts the changes if they are known to be few.
     """
-    incoming = changes.select(
-        F.col(key), F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns]
+    one = F.min(F.struct(*[F.col(c) for c in columns])) if columns else F.lit(None)
+    incoming = changes.groupBy(key).agg(one.alias("_new")).select(
+        F.col(key), F.lit(True).alias("_hit"), *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in columns]
     )
     joined = target.join(incoming, key, "left")
     stamped = stamp[0] if stamp else None
@@ -107,8 +110,8 @@ def update_from(
 
 def update_latest_row(target: DataFrame, id_column: str, values: dict[str, Column]) -> Change:
     """Update the row that holds the greatest id."""
-    last = F.broadcast(target.agg(F.max(id_column).alias("_last")))
-    marked = target.crossJoin(last).withColumn("_hit", F.col(id_column) == F.col("_last"))
+    last = target.agg(F.max(id_column)).scalar()
+    marked = target.withColumn("_hit", F.col(id_column) == last)
     types = dict(target.dtypes)
     updated = marked.select(
         *[
@@ -158,19 +161,12 @@ def assign_keys(
     existing: DataFrame | None = None,
     unique: bool = False,
 ) -> DataFrame:
-    """Surrogate keys behind the greatest one in use, in a stated order.
+    """Surrogate keys behind the greatest one in use, in a stated ascending order.
 
     ``unique`` says that no two rows are equal in that order.
     """
-    numbered = number_rows(new_rows, order, id_column, unique=unique)
-    if existing is None:
-        return numbered
-    last = existing.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("_last"))
-    return (
-        numbered.crossJoin(F.broadcast(last))
-        .withColumn(id_column, F.col(id_column) + F.col("_last"))
-        .drop("_last")
-    )
+    last = 0 if existing is None else existing.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    return number_rows(new_rows, order, id_column, last, unique)
 
 
 def add_column_backfilled(df: DataFrame, column: str, value: Column) -> DataFrame:

@@ -1,9 +1,9 @@
 """Top-n, ties, numbering and running totals that no single task has to hold.
 
 Spark runs an unpartitioned window in one task, and a window over a hot key in
-one task as well. The numbering helpers here range-partition the rows instead,
-so that any number of neighbouring rows, of one key or of many, is spread over
-tasks; only one small row per partition and key crosses between them.
+one task as well. The numbering helpers here cut the rows into parts by value
+instead, so that any number of neighbouring rows, of one key or of many, is spread
+over tasks; only one small row per part and key crosses between them.
 """
 
 from __future__ import annotations
@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlark.session import materialise
-
 # Number of sub-groups a key is cut into where the top-n is too long for the
 # map-side cut of Spark.
 SALTS = 64
@@ -63,46 +61,34 @@ def latest_rows(df: DataFrame, keys: list[str], at: str, null_safe: bool = False
     return df.join(last, condition, "left_semi")
 
 
-def number_rows(
-    df: DataFrame,
-    order: list[Column],
-    name: str,
-    after: int | Column = 0,
-    unique: bool = False,
-) -> DataFrame:
-    """Consecutive numbers in ``order``, starting behind ``after``.
+def _parts(df: DataFrame, key: Column) -> Column:
+    """The part of each row, counted up in the order of ``key``, a struct.
 
-    Range partitions are sorted on their own and written out, which fixes their
-    borders: a lost executor cannot change a number already given. Unless the
-    order is ``unique``, rows first get a running id that breaks ties, so that any
-    number of equal rows can be cut; it is written before it is sorted by,
-    because a task that runs again might give other ids.
+    Parts are cut at quantiles of a sample of rows, some for each shuffle
+    partition. The cuts are literals, so a row's part depends on its values alone:
+    a task that runs again gives the same parts.
     """
-    if not unique:
-        df = materialise(df.withColumn("_tie", F.monotonically_increasing_id()))
-        order = [*order, F.col("_tie").asc()]
-    placed = materialise(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .drop("_tie")
-        # partition number in the upper bits, row position in the lower 33
-        .withColumn("_spot", F.monotonically_increasing_id())
-    )
-    part = F.shiftright("_spot", 33)
-    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
-    # One row per partition, so one task and a broadcast are enough.
-    before = F.sum("_rows").over(
-        Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
-    after = after if isinstance(after, Column) else F.lit(after)
-    position = F.col("_spot").bitwiseAND((1 << 33) - 1)
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn(name, (after + F.col("_before") + position + 1).cast("bigint"))
-        .drop("_part", "_before", "_spot")
-    )
+    n = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.select(key.alias("_key"))
+    sample = keyed.orderBy(F.xxhash64("_key"), "_key").limit(20 * n).orderBy("_key").collect()
+    cuts = []
+    for i in range(1, n):
+        row = sample[i * len(sample) // n]["_key"] if sample else None
+        if row is not None and (not cuts or row != cuts[-1]):
+            cuts.append(row)
+    types = [field.dataType for field in keyed.schema["_key"].dataType.fields]
+    names = keyed.schema["_key"].dataType.names
+
+    def literal(row) -> Column:
+        return F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(row, types, names)])
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(key <= literal(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(cuts))
 
 
 def running_total(
@@ -110,36 +96,68 @@ def running_total(
 ) -> DataFrame:
     """Running sum of ``value`` per key; ``order`` is unique within the key.
 
-    A key that fills many range partitions is summed in each of them, and the
-    sum before a partition is added to its rows. At most one key per partition
-    continues from the one before, so the carried sums are broadcast.
+    Rows are cut into parts by value (see ``_parts``), so that a key of any size
+    fills many. Each part is summed on its own, and the sum before a part is added
+    to its rows. At most one key per part continues from the one before, so the
+    carried sums are as few as the parts.
     """
+    key = F.struct(*[F.col(column) for column in [*keys, *order]])
+    placed = df.withColumn("_part", _parts(df, key))
     local = F.sum(value).over(
         Window.partitionBy("_part", *keys)
         .orderBy(*order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # Written with the partial sums, so that the window runs once however often
-    # the result is read.
-    placed = materialise(
-        df.repartitionByRange(*keys, *order)
-        .withColumn("_part", F.spark_partition_id())
-        .withColumn("_local", local)
-    )
     totals = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_sum"))
+    # Without keys this is one row per part, in one task.
     earlier = F.sum("_sum").over(
         Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    carried = totals.select("_part", *keys, earlier.alias("_carried")).where(
-        F.col("_carried").isNotNull()
-    )
+    carried = totals.select(
+        F.col("_part").alias("_at"), *[F.col(k).alias(f"_of_{k}") for k in keys], earlier.alias("_carried")
+    ).where(F.col("_carried").isNotNull())
+    same = F.col("_part") == F.col("_at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_of_{k}"))
     return (
-        placed.join(F.broadcast(carried), ["_part", *keys], "left")
+        placed.withColumn("_local", local)
+        .join(F.broadcast(carried), same, "left")
         .withColumn(name, F.col("_local") + F.coalesce("_carried", F.lit(0)))
-        .drop("_part", "_local", "_carried")
+        .select(*[F.col(f"`{column}`") for column in df.columns if column != name], name)
     )
 
 
+def number_rows(
+    df: DataFrame,
+    order: list[Column],
+    name: str,
+    after: int | Column = 0,
+    unique: bool = False,
+) -> DataFrame:
+    """Consecutive numbers in ascending ``order``, starting behind ``after``.
+
+    Unless the order is ``unique``, ties are broken by a hash of the whole row, and
+    rows that are equal as a whole are counted and numbered together, so that any
+    number of them can be told apart by their numbers alone.
+    """
+    columns = df.columns
+    keyed = df.select("*", *[column.alias(f"_order{i}") for i, column in enumerate(order)])
+    keys = [f"_order{i}" for i in range(len(order))]
+    if unique:
+        counted = keyed.withColumn("_rows", F.lit(1))
+    else:
+        counted = keyed.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in columns]))
+        keys.append("_tie")
+        counted = counted.groupBy(*counted.columns).agg(F.count("*").alias("_rows"))
+    summed = running_total(counted, [], keys, "_rows", "_end")
+    after = after if isinstance(after, Column) else F.lit(after)
+    summed = summed.withColumn("_last", (after + F.col("_end")).cast("bigint"))
+    numbers = F.col("_last")
+    if not unique:
+        numbers = F.explode(F.sequence(F.col("_last") - F.col("_rows") + 1, F.col("_last")))
+    return summed.select(*[F.col(f"`{c}`") for c in columns if c != name], numbers.alias(name))
+
+
 def first_k_varying(df: DataFrame, keys: list[str], order: str, limit: str) -> DataFrame:
     """The first ``limit`` rows of each key, where the limit is a column that is
     constant within the key. ``order`` is unique within the key, and rows are

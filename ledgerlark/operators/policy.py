@@ -22,13 +22,12 @@ def first_active_principal(customer: DataFrame, rental: DataFrame, payment: Data
     )
 
 
-def own_customer(customer: DataFrame, principal: DataFrame) -> DataFrame:
-    """The customer id that belongs to the one-row relation ``principal``."""
-    named = customer.select(
-        "customer_id", principal_name(F.col("first_name"), F.col("last_name")).alias("_name")
-    )
-    who = F.broadcast(principal.select(F.lower("principal").alias("_name")).limit(1))
-    return named.join(who, "_name", "left_semi").agg(F.min("customer_id").alias("customer_id"))
+def own_customer(customer: DataFrame, principal: DataFrame) -> Column:
+    """The customer id that belongs to the one-row relation ``principal``, as a
+    scalar subquery, which is known before the tables it filters are scanned."""
+    name = principal.limit(1).select(F.lower("principal")).scalar()
+    named = customer.where(principal_name(F.col("first_name"), F.col("last_name")) == name)
+    return named.agg(F.min("customer_id")).scalar()
 
 
 def own_rows(table: DataFrame, customer: DataFrame, principal: DataFrame) -> DataFrame:
@@ -37,8 +36,7 @@ def own_rows(table: DataFrame, customer: DataFrame, principal: DataFrame) -> Dat
     Apply it before any filter of the user, so that asking for another
     customer's rows gives no rows and no error.
     """
-    own = F.broadcast(own_customer(customer, principal))
-    return table.join(own, "customer_id", "left_semi")
+    return table.where(F.col("customer_id") == own_customer(customer, principal))
 
 
 def visible(table: DataFrame, allowed: list[str], wanted: list[str] | None = None) -> DataFrame:

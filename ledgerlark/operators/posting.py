@@ -1,20 +1,22 @@
 """Posting a batch of sale requests against the stock.
 
-Requests are decided in order. A product's stock admits a request if what is
-left covers it; a rejected request leaves the stock to later ones, so a plain
-running sum is not enough. The decision is still made without gathering a
-product's requests in one task:
-
-1. A running total per product admits everything up to the first request that
-   does not fit.
-2. Behind it, a request of quantity q is admitted as long as q fits in the rest.
-   The rest only shrinks, so once q is refused it is refused for good, and at
-   most ``rest // q`` requests of each quantity can follow. Others are dropped.
-3. If few requests are left per product, they are folded in order; if not, they
-   go through the same steps again, with the rest as their stock.
-
-The rest behind the first misfit is less than that one request, so with usual
-quantities the first round leaves few.
+Requests are decided as if one came after the other. A product's stock admits a
+request if what is left covers it; a refused request leaves the stock to later ones,
+so a plain running sum is not enough. The decision is still made without gathering a
+product's requests in one task, in rounds. With R left of a product, a request is
+light up to half of R and heavy beyond. A running sum of the light ones finds the
+first heavy request that still fits, or the first light one that takes the sum past
+half of R. Before it every light request is admitted and every heavy one refused; it
+is admitted itself, and what is left then is at most half of R. So there are at most
+as many rounds as the largest stock has binary digits, and one more, however many
+requests there are.
+
+A transaction number is taken by the first request that is admitted under it, and a
+request refused for the stock frees it again. That couples the products, so the
+requests that may claim their number are found by iteration: each pass decides the
+products whose claims have changed, and a request claims its number unless an
+earlier one was admitted under it. What a pass decides is final up to the first
+request that it got wrong, so the passes end at the answer of the plain order.
 """
 
 from __future__ import annotations
@@ -22,53 +24,32 @@ from __future__ import annotations
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.joins import resolve
-from ledgerlark.operators.ordering import first_k_varying, running_total
+from ledgerlark.operators.ordering import number_rows, running_total
 from ledgerlark.session import materialise
 
-# Most requests of one product that are folded in one piece.
-FOLD_LIMIT = 1000
-
-
-def _round(pending: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Admit up to the first misfit of each product; return all requests with
-    that verdict, and those behind the misfit that may still fit."""
-    summed = running_total(pending, ["product"], ["seq"], "quantity", "_sum")
-    fits = F.col("_sum") <= F.col("stock")
-    used = F.coalesce(F.max(F.when(fits, F.col("_sum"))), F.lit(0))
-    rest = summed.groupBy("product").agg((F.first("stock") - used).alias("stock"))
-    behind = (
-        summed.where(~fits)
-        .select("product", "seq", "quantity")
-        .join(rest, "product")
-        .where(F.col("quantity") <= F.col("stock"))
-        .withColumn("_most", F.expr("stock div quantity"))
-    )
-    left = first_k_varying(behind, ["product", "quantity"], "seq", "_most").drop("_most")
-    return summed.select("product", "seq", fits.alias("fits")), left
-
 
-def _fold(few: DataFrame) -> DataFrame:
-    """Admit in order, product by product."""
-    ordered = few.groupBy("product").agg(
-        F.first("stock").alias("_rest"),
-        F.sort_array(F.collect_list(F.struct("seq", "quantity"))).alias("_requests"),
+def _round(pending: DataFrame) -> DataFrame:
+    """Pending requests with their verdict, or with what is left if they stay pending."""
+    light = 2 * F.col("quantity") <= F.col("rest")
+    weighed = pending.withColumn("_light", F.when(light, F.col("quantity")).otherwise(0))
+    summed = running_total(weighed, ["product"], ["seq"], "_light", "_sum")
+    before = F.col("rest") - F.col("_sum") + F.col("_light")
+    turns = F.when(light, 2 * F.col("_sum") > F.col("rest")).otherwise(F.col("quantity") <= before)
+    turn = summed.where(turns).groupBy("product").agg(
+        F.min(F.struct("seq", (before - F.col("quantity")).alias("left"))).alias("turn")
     )
-    taken = F.aggregate(
-        "_requests",
-        F.struct(F.col("_rest").alias("rest"), F.array().cast("array<bigint>").alias("taken")),
-        lambda state, request: F.when(
-            request["quantity"] <= state["rest"],
-            F.struct(
-                (state["rest"] - request["quantity"]).alias("rest"),
-                F.concat(state["taken"], F.array(request["seq"])).alias("taken"),
-            ),
-        ).otherwise(state),
-    )["taken"]
-    return ordered.select(F.explode(taken).alias("seq"))
+    decided = F.col("turn").isNull() | (F.col("seq") <= F.col("turn.seq"))
+    admitted = light | F.coalesce(F.col("seq") == F.col("turn.seq"), F.lit(False))
+    joined = summed.join(turn, "product", "left").select(
+        "product", "seq", "quantity",
+        F.when(decided, admitted).when(F.col("quantity") > F.col("turn.left"), False).alias("admitted"),
+        F.col("turn.left").alias("rest"),
+    )
+    return materialise(joined)
 
 
 def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, stock: str) -> DataFrame:
@@ -81,24 +62,57 @@ def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, s
         F.col(product).alias("product"),
         F.col(seq).cast("bigint").alias("seq"),
         F.col(quantity).cast("bigint").alias("quantity"),
-        F.col(stock).cast("bigint").alias("stock"),
+        F.col(stock).cast("bigint").alias("rest"),
+    )
+    verdicts = [narrow.where(F.col("quantity") > F.col("rest")).select("product", "seq", F.lit(False).alias("admitted"))]
+    pending = narrow.where(F.col("quantity") <= F.col("rest"))
+    while not pending.isEmpty():
+        judged = _round(pending)
+        verdicts.append(judged.where(F.col("admitted").isNotNull()).select("product", "seq", "admitted"))
+        pending = judged.where(F.col("admitted").isNull()).drop("admitted")
+    return reduce(DataFrame.unionByName, verdicts).select(
+        F.col("product").alias(product), F.col("seq").alias(seq), "admitted"
     )
-    judged, left = _round(narrow)
-    later = []
+
+
+def admit_with_numbers(requests: DataFrame) -> DataFrame:
+    """Each request by ``seq`` with ``claims``, whether its number was still free, and
+    ``admitted``, whether the stock covered it if so.
+
+    requests ``(seq, number, product_id, quantity, stock)``, all of them valid but
+    for number and stock.
+    """
+    requests = materialise(requests.select("seq", "number", "product_id", "quantity", "stock"))
+    rivals = materialise(
+        requests.join(
+            requests.groupBy("number").count().where(F.col("count") > 1).select("number"), "number", "left_semi"
+        ).select("seq", "number", "product_id")
+    )
+    first = rivals.groupBy("number").agg(F.min("seq").alias("seq"))
+    waiting = materialise(rivals.join(first.select("seq"), "seq", "left_anti").select("seq", "product_id"))
+    touched, verdicts = None, None
     while True:
-        largest = left.groupBy("product").count().agg(F.max("count")).first()[0] or 0
-        if largest <= FOLD_LIMIT:
+        open_now = requests.join(waiting.select("seq"), "seq", "left_anti")
+        if touched is not None:
+            open_now = open_now.join(touched, "product_id", "left_semi")
+            verdicts = verdicts.join(touched, "product_id", "left_anti")
+        fresh = admit_in_order(open_now, "product_id", "seq", "quantity", "stock")
+        verdicts = materialise(fresh if verdicts is None else verdicts.unionByName(fresh))
+        # Of the requests that share a number, those behind an admitted one wait.
+        holders = (
+            rivals.join(verdicts.where("admitted").select("seq"), "seq", "left_semi")
+            .groupBy("number").agg(F.min("seq").alias("holder"))
+        )
+        now = materialise(
+            rivals.join(holders, "number").where(F.col("seq") > F.col("holder")).select("seq", "product_id")
+        )
+        changed = now.join(waiting, "seq", "left_anti").unionByName(waiting.join(now, "seq", "left_anti"))
+        touched = materialise(changed.select("product_id").distinct())
+        waiting = now
+        if touched.isEmpty():
             break
-        again, left = _round(left)
-        later.append(again.where("fits").select("seq"))
-    if largest:
-        later.append(_fold(left))
-    if later:
-        late = reduce(DataFrame.unionByName, later).withColumn("_late", F.lit(True))
-        judged = judged.join(late, "seq", "left")
-        judged = judged.withColumn("fits", F.col("fits") | F.col("_late").isNotNull())
-    return judged.select(
-        F.col("product").alias(product), F.col("seq").alias(seq), F.col("fits").alias("admitted")
+    return requests.select("seq").join(verdicts.select("seq", "admitted"), "seq", "left").select(
+        "seq", F.col("admitted").isNotNull().alias("claims"), F.coalesce("admitted", F.lit(False)).alias("admitted")
     )
 
 
@@ -115,6 +129,10 @@ def post_sales(
     employees: DataFrame,
     products: DataFrame,
     posted: DataFrame,
+    last_id: int | Column = 0,
+    today: Column | None = None,
+    status: str = "pending",
+    payment: str = "card",
 ) -> Posting:
     """Decide on sale requests, in the order of ``seq``.
 
@@ -122,11 +140,13 @@ def post_sales(
     brand_name, model_name, quantity, transaction_date)``; customers
     ``(customer_id, email)``; employees ``(employee_id, email)``; products
     ``(product_id, brand_name, model_name, unit_price, stock_quantity)``;
-    posted ``(transaction_number)``. The natural keys are unique.
+    posted ``(transaction_number)``.
 
-    A number is taken by a posted sale, or by the first request of the batch
-    that passes all checks but the stock. All outputs follow from one decision,
-    whose inputs are written out once.
+    A number is taken by a posted sale, or by the first request that is posted
+    under it. Headers are numbered in the order of ``seq`` behind ``last_id``; a
+    request without a date gets ``today``, and ``status`` and ``payment`` are those
+    of all headers. All outputs follow from one decision, whose inputs are written
+    out once; its rounds run before this returns.
     """
     resolved = resolve(requests, customers, {"customer_email": "email"}, ["customer_id"], "left")
     resolved = resolve(resolved, employees, {"employee_email": "email"}, ["employee_id"], "left")
@@ -164,31 +184,32 @@ def post_sales(
             reason.alias("reason"),
         )
     )
-    # The first open request of each number, found with map-side combine.
-    first = F.min(F.struct("seq", "product_id", "quantity", "stock_quantity")).alias("_first")
-    candidates = (
-        checked.where(F.col("reason").isNull())
-        .groupBy("transaction_number")
-        .agg(first)
-        .select("_first.*")
+    open_requests = checked.where(F.col("reason").isNull()).select(
+        "seq", F.col("transaction_number").alias("number"), "product_id", "quantity",
+        F.col("stock_quantity").alias("stock"),
     )
-    verdicts = admit_in_order(
-        candidates, "product_id", "seq", "quantity", "stock_quantity"
-    ).select("seq", "admitted")
-    decided = checked.join(verdicts, "seq", "left").withColumn(
+    decided = checked.join(admit_with_numbers(open_requests), "seq", "left").withColumn(
         "reason",
         F.when(F.col("reason").isNotNull(), F.col("reason"))
-        .when(F.col("admitted").isNull(), F.lit("transaction number already exists"))
+        .when(~F.col("claims"), F.lit("transaction number already exists"))
         .when(~F.col("admitted"), F.lit("not enough stock")),
     )
-    decided = decided.drop("admitted", "stock_quantity")
-    accepted = decided.where(F.col("reason").isNull())
-    headers = accepted.select(
-        "transaction_number", "customer_id", "employee_id", "transaction_date"
+    decided = materialise(decided.drop("claims", "admitted", "stock_quantity"))
+    accepted = number_rows(
+        decided.where(F.col("reason").isNull()), [F.col("seq")], "sales_transaction_id", last_id, unique=True
     )
-    lines = accepted.select("transaction_number", "product_id", "quantity", "unit_price").withColumn(
-        "line_total", (F.col("quantity") * F.col("unit_price")).cast("decimal(12,2)")
+    headers = accepted.select(
+        "sales_transaction_id",
+        "transaction_number",
+        "customer_id",
+        "employee_id",
+        F.coalesce("transaction_date", F.current_date() if today is None else today).alias("transaction_date"),
+        F.lit(status).alias("transaction_status"),
+        F.lit(payment).alias("payment_method"),
     )
+    lines = accepted.select(
+        "sales_transaction_id", "transaction_number", "product_id", "quantity", "unit_price"
+    ).withColumn("line_total", (F.col("quantity") * F.col("unit_price")).cast("decimal(12,2)"))
     sold = accepted.groupBy("product_id").agg(F.sum("quantity").alias("_sold"))
     stock = (
         products.join(sold, "product_id", "left")

@@ -400,6 +400,12 @@ def string_agg_ordered(spark, base):
     return table_functions.text_lists(part, ["p_type"], "p_brand", "brands")
 
 
+@query
+def string_agg_distinct(spark, base):
+    part = load(spark, base, "part").select("p_type", "p_brand")
+    return table_functions.text_lists(part, ["p_type"], "p_brand", "brands", distinct=True)
+
+
 # Table functions
 
 
@@ -502,13 +508,37 @@ def insert_if_absent(spark, base):
         .distinct()
     )
     source = part.select(F.upper("p_name").alias("p_name"), "p_brand").distinct()
-    one_label = F.broadcast(part.agg(F.max("p_size").alias("p_size")))
+    label = part.agg(F.max("p_size")).scalar()
     change = merge.insert_if_absent(
-        catalogue, source.crossJoin(one_label), ["p_name", "p_brand"], ["p_name"], {"origin": "new"}
+        catalogue, source.withColumn("p_size", label), ["p_name", "p_brand"], ["p_name"], {"origin": "new"}
     )
     return change.table
 
 
+@query
+def insert_explicit_null(spark, base):
+    """A NULL that the source states stays; only a column it lacks takes its default."""
+    part = load(spark, base, "part").select("p_partkey", "p_brand", "p_type")
+    target = part.where(F.col("p_type") == "PROMO").select(
+        "p_partkey", F.col("p_brand").alias("brand"), F.lit("old").alias("origin")
+    )
+    source = part.select(
+        "p_partkey", F.when(F.col("p_brand") != "Brand#13", F.col("p_brand")).alias("brand")
+    )
+    return merge.insert_if_absent(
+        target, source, ["p_partkey"], defaults={"brand": "none", "origin": "new"}
+    ).table
+
+
+@query
+def update_from_repeated(spark, base):
+    """Many changes for one customer change its row once, to the least of them."""
+    changes = load(spark, base, "orders").select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("last_name")
+    )
+    return merge.update_from(b.customer(spark, base), changes, "customer_id", ["last_name"]).table
+
+
 def _line_batch(spark, base, status):
     return load(spark, base, "lineitem").where(F.col("l_linestatus") == status).select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", money("l_extendedprice").alias("price")
@@ -531,12 +561,12 @@ def on_conflict_nothing(spark, base):
 def update_from(spark, base):
     """The first qualifying customer is renamed and moved to the first nation."""
     who = _qualifying(spark, base, 1).select("customer_id")
-    where = load(spark, base, "nation").orderBy("n_nationkey").limit(1).select("n_nationkey")
-    changes = who.crossJoin(F.broadcast(where)).select(
+    where = load(spark, base, "nation").agg(F.min("n_nationkey")).scalar()
+    changes = who.select(
         "customer_id",
         F.upper(F.lit("new")).alias("first_name"),
         F.upper(F.lit("owner")).alias("last_name"),
-        F.col("n_nationkey").alias("country_id"),
+        where.alias("country_id"),
     )
     table = b.customer(spark, base).withColumn("last_update", F.lit(None).cast("date"))
     return merge.update_from(
@@ -632,7 +662,7 @@ def surrogate_keys(spark, base):
     known = _pairs(spark, base, "F")
     new = _pairs(spark, base, "O").join(known, ["l_partkey", "l_suppkey"], "left_anti")
     existing = load(spark, base, "orders").select(F.col("o_orderkey").alias("copy_id"))
-    return merge.assign_keys(new, "copy_id", [F.asc("l_partkey"), F.asc("l_suppkey")], existing, unique=True)
+    return merge.assign_keys(new, "copy_id", [F.col("l_partkey"), F.col("l_suppkey")], existing, unique=True)
 
 
 def _change_log(spark, base):
@@ -690,7 +720,7 @@ def _posting(spark, base):
     orders = load(spark, base, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     names = products.select("product_id", "brand_name", "model_name")
     ordered = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
-    requests = merge.assign_keys(lines, "seq", [F.asc(column) for column in ordered], unique=True)
+    requests = merge.assign_keys(lines, "seq", [F.col(column) for column in ordered], unique=True)
     number = F.concat_ws("-", F.lit("TX"), F.col("l_orderkey"), F.col("l_linenumber"))
     quantity = F.when(F.col("l_discount") == 0, F.lit(0)).when(
         F.col("l_tax") != 0, F.col("l_quantity").cast("int")
@@ -721,7 +751,9 @@ def _posting(spark, base):
         F.concat(F.lit("TX-"), F.col("o_orderkey").cast("string"), F.lit("-1")).alias("transaction_number")
     )
     return posting.post_sales(
-        requests, customers, employees, products.where(F.col("category_name") != "PROMO"), posted
+        requests, customers, employees, products.where(F.col("category_name") != "PROMO"), posted,
+        last_id=load(spark, base, "orders").agg(F.max("o_orderkey")).scalar(),
+        today=F.lit(date(2026, 1, 1)).cast("timestamp_ntz"),
     )
 
 
@@ -737,6 +769,11 @@ def post_sales_lines(spark, base):
     return _posting(spark, base).lines
 
 
+@query
+def post_sales_headers(spark, base):
+    return _posting(spark, base).headers
+
+
 @query
 def post_sales_stock(spark, base):
     return _posting(spark, base).stock.select("product_id", "stock_quantity")
@@ -826,6 +863,14 @@ def dq_orphans(spark, base):
     return quality.orphans(orders, "o_custkey", active, "c_custkey")
 
 
+@query
+def dq_orphans_self(spark, base):
+    """A key into the same table: the head office of a supplier, the first ones having none."""
+    supplier = load(spark, base, "supplier").where(F.col("s_acctbal") >= 0)
+    offices = supplier.select("s_suppkey", F.expr("nullif(s_suppkey div 10, 0)").alias("head_office"))
+    return quality.orphans(offices, "head_office", offices, "s_suppkey")
+
+
 @query
 def fk_set_null(spark, base):
     child = load(spark, base, "customer").select("c_custkey", "c_nationkey")
@@ -879,9 +924,20 @@ def row_policy(spark, base):
 
 @query
 def row_policy_denied(spark, base):
-    """Asking for everybody else's rows gives none."""
-    own = policy.own_rows(b.payment(spark, base), b.customer(spark, base), _principal(spark, base))
-    return own.where(F.col("customer_id") > 0)
+    """What a principal sees of its own payments and of another customer's, next to
+    what there is: nothing of the other's, and no error."""
+    payment, customer = b.payment(spark, base), b.customer(spark, base)
+    principal = _principal(spark, base)
+    own = policy.own_customer(customer, principal)
+    other = payment.where(F.col("customer_id") != own).agg(F.min("customer_id")).scalar()
+    asked = payment.where((F.col("customer_id") == own) | (F.col("customer_id") == other))
+    there = asked.groupBy("customer_id").agg(F.count("*").alias("actual_rows"))
+    seen = policy.own_rows(asked, customer, principal).groupBy("customer_id").agg(
+        F.count("*").alias("visible_rows")
+    )
+    return there.join(seen, "customer_id", "left").select(
+        "customer_id", "actual_rows", F.coalesce("visible_rows", F.lit(0)).alias("visible_rows")
+    )
 
 
 @query

@@ -47,7 +47,7 @@ def _insert(
         numbered = merge.assign_keys(
             new.drop(column),
             column,
-            [F.asc(key) for key in order],
+            [F.col(key) for key in order],
             target if used is None else used,
         )
         types = dict(target.dtypes)

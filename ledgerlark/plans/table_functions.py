@@ -15,7 +15,6 @@ from ledgerlark.functions import dates
 from ledgerlark.functions.text import capitalised, joined, matches
 from ledgerlark.operators.joins import or_info_row
 from ledgerlark.operators.ordering import best_rows, latest_rows, peer_numbers
-from ledgerlark.session import materialise
 from ledgerlark.sources.inline import clean_names
 
 # Fixed value: the row shown when no film matches.
@@ -204,8 +203,6 @@ def films_in_stock(
         )
         .distinct()
     )
-    # The rows are numbered and shown, but computed once.
-    rows = materialise(rows)
     numbered = peer_numbers(rows, {"_title": F.upper("title"), "_film": F.col("film_id")}, "row_num")
     result = numbered.select(
         "row_num",
@@ -219,7 +216,7 @@ def films_in_stock(
         F.lit(NOT_FOUND).alias("film_title"),
         *[F.lit("-").alias(name) for name in ("language", "customer_name", "rental_date")],
     )
-    return or_info_row(result, rows, info).orderBy("row_num")
+    return or_info_row(result, matched, info).orderBy("row_num")
 
 
 def customer_balance(
@@ -290,11 +287,19 @@ def rewards_report(
     return sums.where(reached)
 
 
-def text_lists(df: DataFrame, keys: list[str], value: str, name: str, separator: str = ",") -> DataFrame:
-    """The distinct values of each key as one ordered text."""
-    return (
-        df.select(*keys, value)
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.expr(f"listagg({value}, '{separator}') WITHIN GROUP (ORDER BY {value})").alias(name))
+def text_lists(
+    df: DataFrame, keys: list[str], value: str, name: str, separator: str = ",", distinct: bool = False
+) -> DataFrame:
+    """The values of each key as one ordered text, every one of them unless
+    ``distinct``; NULL values are left out.
+
+    A text of all values of a key is one row by nature. Equal values are counted
+    before they are gathered, so a key brings as many of them as differ.
+    """
+    counted = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    times = F.lit(1) if distinct else F.col("_n")
+    text = F.array_join(F.array_repeat(F.col(value).cast("string"), times.cast("int")), separator)
+    repeated = counted.withColumn("_all", F.when(F.col(value).isNotNull(), text))
+    return repeated.groupBy(*keys).agg(
+        F.expr(f"listagg(_all, '{separator}') WITHIN GROUP (ORDER BY {value})").alias(name)
     )

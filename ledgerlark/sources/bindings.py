@@ -31,8 +31,8 @@ def _name_part(column: str, part: int) -> Column:
 
 
 def inventory_id() -> Column:
-    """One number per pair of part and supplier."""
-    return (F.col("l_partkey") * 100_000_000 + F.col("l_suppkey")).alias("inventory_id")
+    """The pair of part and supplier, as text, so that no two pairs ever share one."""
+    return F.concat_ws("-", F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("inventory_id")
 
 
 def _returned() -> Column:

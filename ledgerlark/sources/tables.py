@@ -20,8 +20,8 @@ def money(column: str | Column) -> Column:
 def fit_to(source: DataFrame, target: DataFrame, defaults: dict | None = None) -> DataFrame:
     """Project ``source`` to the columns and types of ``target``.
 
-    A column the source lacks, or leaves NULL, takes its default; without a
-    default it stays NULL.
+    A column the source lacks takes its default, and is NULL without one. A column
+    it has is taken as it is: an explicit NULL stays NULL.
     """
     defaults = defaults or {}
     columns = []
@@ -29,7 +29,7 @@ def fit_to(source: DataFrame, target: DataFrame, defaults: dict | None = None) -
         default = defaults.get(field.name)
         default = default if isinstance(default, Column) else F.lit(default)
         if field.name in source.columns:
-            value = F.coalesce(F.col(field.name), default)
+            value = F.col(field.name)
         else:
             value = default
         columns.append(value.cast(field.dataType).alias(field.name))

@@ -111,10 +111,10 @@ def test_preview_equals_what_is_deleted(spark):
 
 def test_assign_keys_continue_behind_the_greatest(spark, actors):
     new = spark.createDataFrame([("b",), ("a",), ("c",)], "name string")
-    assert bag(merge.assign_keys(new, "actor_id", [F.asc("name")], actors).select("actor_id", "name")) == [
+    assert bag(merge.assign_keys(new, "actor_id", [F.col("name")], actors).select("actor_id", "name")) == [
         (3, "a"), (4, "b"), (5, "c"),
     ]
-    empty = merge.assign_keys(new, "actor_id", [F.asc("name")], actors.limit(0))
+    empty = merge.assign_keys(new, "actor_id", [F.col("name")], actors.limit(0))
     assert bag(empty.select("actor_id")) == [(1,), (2,), (3,)]
 
 
@@ -208,3 +208,29 @@ def test_validate_new_items(spark):
         ],
         key=repr,
     )
+
+
+def test_several_changes_for_one_key_change_one_row(spark):
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id int, name string, n int")
+    changes = spark.createDataFrame([(1, "z", 9), (1, "y", 8), (1, "y", 7)], "id int, name string, n int")
+    change = merge.update_from(target, changes, "id", ["name", "n"])
+    assert bag(change.table) == [(1, "y", 7), (2, "b", 2)]
+    assert bag(change.affected) == [(1, "y", 7)]
+
+
+def test_a_repeated_natural_key_does_not_multiply_rows(spark):
+    from ledgerlark.operators.joins import resolve
+
+    df = spark.createDataFrame([(1, " A "), (2, "b"), (3, None)], "i int, k string")
+    lookup = spark.createDataFrame([(7, "a"), (5, "A"), (9, "b")], "id int, name string")
+    assert bag(resolve(df, lookup, {"k": "name"}, ["id"], "left").select("i", "id")) == sorted(
+        [(1, 5), (2, 9), (3, None)], key=repr
+    )
+
+
+def test_an_explicit_null_is_kept(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, name string")
+    source = spark.createDataFrame([(2, None)], "id int, name string")
+    assert bag(merge.insert_if_absent(target, source, ["id"], defaults={"name": "x"}).table) == [(1, "a"), (2, None)]
+    lacking = source.select("id")
+    assert bag(merge.insert_if_absent(target, lacking, ["id"], defaults={"name": "x"}).table) == [(1, "a"), (2, "x")]

