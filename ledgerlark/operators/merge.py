@@ -131,6 +131,20 @@ def delete_using(target: DataFrame, doomed: DataFrame, key: str) -> Change:
     return Change(target.join(doomed, key, "left_anti"), target.join(doomed, key, "left_semi"))
 
 
+def deleted_and_left(target: DataFrame, doomed: DataFrame, key: str, amount: str) -> DataFrame:
+    """Rows and amount that ``delete_using`` takes and leaves, in one pass."""
+    hit = target.join(doomed.select(key).distinct().withColumn("_gone", F.lit(True)), key, "left")
+    gone = F.coalesce("_gone", F.lit(False))
+    money = F.col(amount)
+    sums = hit.agg(
+        F.struct(F.count_if(gone), F.coalesce(F.sum(F.when(gone, money)), F.lit(0))).alias("deleted"),
+        F.struct(F.count_if(~gone), F.coalesce(F.sum(F.when(~gone, money)), F.lit(0))).alias("left"),
+    )
+    return sums.unpivot([], ["deleted", "left"], "state", "_both").select(
+        "state", F.col("_both")["col1"].alias("row_count"), F.col("_both")["col2"].alias(amount)
+    )
+
+
 def delete_where(target: DataFrame, predicate: Column) -> Change:
     """Delete the rows for which the predicate is true, not those where it is NULL."""
     hit = F.coalesce(predicate, F.lit(False))

@@ -27,11 +27,15 @@ def sum_columns(category: str, amount: str, names: dict[str, str]) -> list[Colum
 def counts_on_spine(
     df: DataFrame, row: str, category: str, names: dict[str, str]
 ) -> DataFrame:
-    """The same counts by left-joining one aggregate per category to the rows."""
+    """The same counts by left-joining one small result per category to the rows.
+
+    The rows are counted once, per row and category; all branches read that.
+    """
     wanted = df.where(F.lower(category).isin([value.lower() for value in names]))
-    result = wanted.select(row).distinct()
+    counted = wanted.groupBy(row, F.lower(category).alias("_category")).agg(F.count("*").alias("_n"))
+    result = counted.select(row).distinct()
     for value, name in names.items():
-        counts = df.where(same_text(category, value)).groupBy(row).agg(F.count("*").alias(name))
+        counts = counted.where(F.col("_category") == value.lower()).select(row, F.col("_n").alias(name))
         result = result.join(counts, row, "left")
     return result.select(row, *[F.coalesce(name, F.lit(0)).alias(name) for name in names.values()])
 

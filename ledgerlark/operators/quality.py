@@ -84,6 +84,22 @@ def set_null_on_delete(child: DataFrame, key: str, deleted: DataFrame, deleted_k
     return joined.withColumn(key, F.when(F.col("_gone").isNull(), F.col(key))).drop("_gone")
 
 
+def completeness_by_stage(tables: dict[str, tuple[DataFrame, str, Column]]) -> DataFrame:
+    """``completeness`` before and after the named column is filled by a default;
+    each table is read once."""
+    parts = [
+        df.agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("total_rows"),
+            F.count(column).alias("before"),
+            F.count(F.coalesce(F.col(column), default)).alias("after"),
+        )
+        for name, (df, column, default) in tables.items()
+    ]
+    wide = reduce(DataFrame.unionByName, parts)
+    return wide.unpivot(["table_name", "total_rows"], ["before", "after"], "stage", "set_rows")
+
+
 def completeness(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows per table, and rows in which the named column is set."""
     parts = [

@@ -200,7 +200,7 @@ def top_staff(
 
 def top_rented(
     film: DataFrame,
-    inventory: DataFrame,
+    inventory: DataFrame | None,
     rental: DataFrame,
     k: int = 5,
     audiences: dict[str, str] | None = None,
@@ -208,14 +208,18 @@ def top_rented(
 ) -> DataFrame:
     """Most rented films and the audience their rating stands for.
 
-    Rentals are counted per copy before they meet the copies.
+    Rentals are counted per copy before they meet the copies. Rentals that name
+    their film need no ``inventory``.
     """
-    per_copy = rental.groupBy("inventory_id").agg(F.count("*").alias("_rentals"))
-    per_film = (
-        per_copy.join(inventory.select("inventory_id", "film_id"), "inventory_id")
-        .groupBy("film_id")
-        .agg(F.sum("_rentals").alias("number_of_rentals"))
-    )
+    if inventory is None:
+        per_film = rental.groupBy("film_id").agg(F.count("*").alias("number_of_rentals"))
+    else:
+        per_copy = rental.groupBy("inventory_id").agg(F.count("*").alias("_rentals"))
+        per_film = (
+            per_copy.join(inventory.select("inventory_id", "film_id"), "inventory_id")
+            .groupBy("film_id")
+            .agg(F.sum("_rentals").alias("number_of_rentals"))
+        )
     return (
         per_film.join(film.select("film_id", "title", "rating"), "film_id")
         .orderBy(F.desc("number_of_rentals"), "title", "film_id")

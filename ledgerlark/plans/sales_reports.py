@@ -203,6 +203,9 @@ def channel_share(
             F.year("time_id").alias("calendar_year"),
             "amount_sold",
         )
+        # A hot customer brings one row per channel and year.
+        .groupBy("cust_id", "channel_id", "channel_desc", "calendar_year")
+        .agg(F.sum("amount_sold").alias("amount_sold"))
         .join(regional_customers(customers, countries, regions), "cust_id")
         .groupBy("country_region_id", "country_region", "calendar_year", "channel_id", "channel_desc")
         .agg(F.sum("amount_sold").alias("amount_sold"))

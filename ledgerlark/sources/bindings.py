@@ -52,7 +52,9 @@ def sales(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def line_sales(spark: SparkSession, base: str) -> DataFrame:
+def line_sales(spark: SparkSession, base: str, buyers: DataFrame | None = None) -> DataFrame:
+    """Lines with their order's customer and date; with ``buyers`` (``cust_id``) only
+    theirs, which are found among the orders before these meet the lines."""
     lines = load(spark, base, "lineitem").select(
         "l_orderkey",
         F.col("l_partkey").alias("prod_id"),
@@ -61,6 +63,8 @@ def line_sales(spark: SparkSession, base: str) -> DataFrame:
     orders = load(spark, base, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("cust_id"), F.col("o_orderdate").alias("time_id")
     )
+    if buyers is not None:
+        orders = orders.join(buyers.select("cust_id"), "cust_id", "left_semi")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         "prod_id", "cust_id", "time_id", "amount_sold"
     )
@@ -151,8 +155,10 @@ def inventory(spark: SparkSession, base: str) -> DataFrame:
 
 
 def copy_rentals(spark: SparkSession, base: str) -> DataFrame:
-    """Copy and return date of each rental, for reports that need no customer."""
-    return load(spark, base, "lineitem").select(inventory_id(), _returned())
+    """Copy, film and return date of each rental, for reports that need no customer."""
+    return load(spark, base, "lineitem").select(
+        inventory_id(), F.col("l_partkey").alias("film_id"), _returned()
+    )
 
 
 def rental_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -166,7 +172,9 @@ def rental_counts(spark: SparkSession, base: str) -> DataFrame:
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select("customer_id", "_rows")
 
 
-def rental(spark: SparkSession, base: str) -> DataFrame:
+def rental(spark: SparkSession, base: str, renters: DataFrame | None = None) -> DataFrame:
+    """Lines as rentals; with ``renters`` (``customer_id``) only theirs, which are
+    found among the orders before these meet the lines."""
     lines = load(spark, base, "lineitem").select(
         "l_orderkey",
         inventory_id(),
@@ -179,6 +187,8 @@ def rental(spark: SparkSession, base: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("rental_date"),
     )
+    if renters is not None:
+        orders = orders.join(renters.select("customer_id"), "customer_id", "left_semi")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("rental_id"),
         "inventory_id",
