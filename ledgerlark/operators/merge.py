@@ -17,6 +17,20 @@ from ledgerlark.operators.ordering import number_rows
 from ledgerlark.sources.tables import fit_to
 
 
+# The language of a new film that states none, and what its row holds
+# beside the proposal.
+DEFAULT_LANGUAGE = "Klingon"
+NEW_ITEM = {
+    "description": "Inserted via core.new_movie()",
+    "rental_duration": 3,
+    "rental_rate": "4.99",
+    "length": 90,
+    "replacement_cost": "19.99",
+    "rating": "PG",
+    "special_features": ["Trailers"],
+}
+
+
 class Change(NamedTuple):
     table: DataFrame
     affected: DataFrame
@@ -267,18 +281,23 @@ def validate_new_items(
     languages: DataFrame,
     as_of_year: int,
     seq: str = "seq",
+    default_language: str = DEFAULT_LANGUAGE,
 ) -> DataFrame:
-    """Decide on proposed titles ``(seq, title, release_year, language)``.
+    """Decide on proposed titles ``(seq, title, release_year, language)``; proposals
+    without a ``language`` column are in ``default_language``.
 
     Checked in order: blank title, year outside 1888 .. five years ahead,
     unknown language, title taken (trimmed, any case). A missing year becomes
     the current one. A title is taken by the catalog or by the first proposal
     that passes the other checks. ``reason`` is NULL for accepted rows.
     """
+    if "language" not in proposals.columns:
+        proposals = proposals.withColumn("language", F.lit(default_language))
     titles = proposals.withColumn("_title", F.lower(F.trim("title")))
-    known = languages.select(
-        F.lower("name").alias("_language"), F.col("language_id"), F.col("name").alias("_name")
-    )
+    # Of languages that share a name the first is meant.
+    known = languages.groupBy(F.lower("name").alias("_language")).agg(
+        F.min(F.struct("language_id", F.col("name").alias("_name"))).alias("_least")
+    ).select("_language", "_least.*")
     taken = catalog.select(F.lower(F.trim("title")).alias("_title")).distinct()
     checked = (
         titles.withColumn("_language", F.lower(F.trim("language")))
@@ -308,3 +327,23 @@ def validate_new_items(
         F.coalesce("_name", "language").alias("language"),
         F.when(repeated, F.lit("title already exists")).otherwise(F.col("reason")).alias("reason"),
     )
+
+
+def new_item_rows(
+    decided: DataFrame, films: DataFrame, languages: DataFrame, stamp: Column, seq: str = "seq"
+) -> DataFrame:
+    """The film rows that the accepted proposals of ``validate_new_items`` become:
+    ids behind the greatest one in the order of ``seq``, and fixed values elsewhere."""
+    spoken = languages.groupBy(F.col("name").alias("language")).agg(F.min("language_id").alias("language_id"))
+    accepted = decided.where(F.col("reason").isNull()).join(spoken, "language")
+    numbered = assign_keys(accepted, "film_id", [F.col(seq)], films, unique=True)
+    return numbered.select(
+        "film_id", "title", F.lit(NEW_ITEM["description"]).alias("description"), "release_year",
+        "language_id", F.lit(None).cast("int").alias("original_language_id"),
+        F.lit(NEW_ITEM["rental_duration"]).alias("rental_duration"),
+        F.lit(NEW_ITEM["rental_rate"]).cast("decimal(4,2)").alias("rental_rate"),
+        F.lit(NEW_ITEM["length"]).alias("length"),
+        F.lit(NEW_ITEM["replacement_cost"]).cast("decimal(5,2)").alias("replacement_cost"),
+        F.lit(NEW_ITEM["rating"]).alias("rating"), stamp.alias("last_update"),
+        F.array(*map(F.lit, NEW_ITEM["special_features"])).alias("special_features"),
+    )

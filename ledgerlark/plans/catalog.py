@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +16,9 @@ from ledgerlark.functions.text import capitalised, joined, mapped, matches, merg
 from ledgerlark.operators import joins, merge, policy, posting, quality
 from ledgerlark.operators.ordering import peer_numbers
 from ledgerlark.plans import rental_reports, sales_reports, table_functions
-from ledgerlark.session import configure
+from ledgerlark.session import configure, shared_dir
 from ledgerlark.sources import bindings as b
-from ledgerlark.sources import inline
+from ledgerlark.sources import inline, tables
 from ledgerlark.sources.tables import load, money
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -794,6 +796,117 @@ def validate_new_items(spark, base):
     return merge.validate_new_items(catalogue, proposals, languages, 2026)
 
 
+@query
+def new_items_inserted(spark, base):
+    """The rows that accepted proposals become, in a language given or the default one."""
+    part = load(spark, base, "part")
+    films = part.where(F.col("p_size") <= 10).select(
+        F.col("p_partkey").alias("film_id"), F.concat_ws(" ", "p_name", "p_brand").alias("title")
+    )
+    proposals = part.select(
+        F.col("p_partkey").alias("seq"),
+        F.concat(F.lit(" "), F.upper(F.concat_ws(" ", "p_name", "p_brand"))).alias("title"),
+        F.when(F.col("p_size") != 12, F.lit(1860) + F.col("p_size") * 4).alias("release_year"),
+    )
+    languages = load(spark, base, "nation").select(
+        F.col("n_nationkey").alias("language_id"), F.col("n_name").alias("name")
+    )
+    decided = merge.validate_new_items(films, proposals, languages, 2026, default_language=" nation_3")
+    rows = merge.new_item_rows(decided, films, languages, F.lit(date(2026, 1, 1)))
+    return rows.withColumn("special_features", F.array_join("special_features", ","))
+
+
+# Tables written and read again
+
+
+def _fresh(spark):
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+
+
+SERIES_PREFIX = "numbered_text"
+
+
+@query
+def series_table(spark, base):
+    """As many numbered texts as orders: created, a third deleted, read back."""
+    n = load(spark, base, "orders").count()
+    texts = inline.series(spark, 1, n).select(inline.numbered_text(SERIES_PREFIX, F.col("n")).alias("col"))
+    made = tables.create_table_as(texts, _fresh(spark))
+    number = inline.suffix_number(F.col("col"), SERIES_PREFIX)
+    left = tables.create_table_as(merge.delete_where(made, number % 3 == 0).table, _fresh(spark))
+    return left.agg(
+        F.count("*").alias("row_count"), F.min(number).alias("first_number"),
+        F.max(number).alias("last_number"), F.sum(F.length("col")).alias("characters"),
+    )
+
+
+@query
+def append_reordered(spark, base):
+    """Rows with their columns in another order, and one missing, go behind the others."""
+    orders = load(spark, base, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("origin"),
+    )
+    path = _fresh(spark)
+    tables.create_table_as(orders.where(F.col("status") == "P"), path)
+    rest = orders.where(F.col("status") != "P").select("status", F.col("order_id").cast("string").alias("order_id"))
+    tables.append(rest, path, {"origin": "appended"})
+    return spark.read.parquet(path)
+
+
+@query
+def truncate_and_refill(spark, base):
+    """Rows of a table before it is truncated, after, and when it is filled again."""
+    lines = load(spark, base, "lineitem").select("l_orderkey", "l_linenumber")
+    path = _fresh(spark)
+    full = tables.create_table_as(lines, path).count()
+    empty = tables.truncate(spark, path).count()
+    tables.append(lines.where(F.col("l_linenumber") == 1), path)
+    return spark.read.parquet(path).agg(
+        F.lit(full).alias("before"), F.lit(empty).alias("truncated"), F.count("*").alias("refilled")
+    )
+
+
+@query
+def payments_of_a_month(spark, base):
+    """Payments written in one folder per month, of which one is read."""
+    payments = b.payment(spark, base).withColumn("month", dates.month_label("payment_date"))
+    written = tables.create_table_as(payments, _fresh(spark), ["month"])
+    return written.where(F.col("month") == "1997-04").select("payment_id", "customer_id", "amount", "month")
+
+
+@query
+def store_revenue_chain(spark, base):
+    """Payments to stores over rental, copy, store and address."""
+    return rental_reports.revenue_by_store(
+        rental_reports.payment_facts(
+            b.order_payments(spark, base), b.order_rentals(spark, base), b.inventory(spark, base)
+        ),
+        _addresses(spark, base), SINCE,
+    )
+
+
+@query
+def in_stock_by_film_and_store(spark, base):
+    """Copies in stock of one store, of one film, and out of the same film."""
+    copies, rentals = b.inventory(spark, base), b.copy_rentals(spark, base)
+    parts = {
+        "store": table_functions.copies(copies, rentals, store_id=7),
+        "film": table_functions.copies(copies, rentals, film_id=7),
+        "film out": table_functions.copies(copies, rentals, in_stock=False, film_id=7),
+        "film and store": table_functions.copies(copies, rentals, film_id=7, store_id=7),
+    }
+    return reduce(DataFrame.unionByName, [
+        df.select(F.lit(name).alias("asked"), "inventory_id") for name, df in parts.items()
+    ])
+
+
+@query
+def copy_holders(spark, base):
+    """Who holds each copy."""
+    return table_functions.holder(b.inventory(spark, base), b.rental(spark, base))
+
+
 # Integrity rules
 
 

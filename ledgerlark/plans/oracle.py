@@ -654,6 +654,57 @@ SELECT seq, title, coalesce(release_year, 2026) AS release_year, coalesce(n_name
        CASE WHEN r IS NULL AND row_number() OVER (PARTITION BY title, r IS NULL ORDER BY seq) > 1
             THEN 'title already exists' ELSE r END AS reason
 FROM c
+""",
+    "new_items_inserted": """
+WITH f AS (SELECT p_partkey AS film_id, lower(p_name || ' ' || p_brand) AS t FROM part WHERE p_size <= 10),
+p AS (
+    SELECT p_partkey AS seq, upper(p_name || ' ' || p_brand) AS title,
+           CASE WHEN p_size <> 12 THEN 1860 + p_size * 4 END AS release_year FROM part
+), ok AS (
+    SELECT min(seq) AS seq, title FROM p
+    WHERE (release_year IS NULL OR release_year BETWEEN 1888 AND 2031) AND lower(title) NOT IN (SELECT t FROM f)
+    GROUP BY title
+)
+SELECT (SELECT max(film_id) FROM f) + row_number() OVER (ORDER BY seq) AS film_id, p.title,
+       'Inserted via core.new_movie()' AS description, coalesce(release_year, 2026) AS release_year,
+       (SELECT min(n_nationkey) FROM nation WHERE lower(n_name) = 'nation_3') AS language_id,
+       CAST(NULL AS INTEGER) AS original_language_id, 3 AS rental_duration, CAST(4.99 AS DOUBLE) AS rental_rate,
+       90 AS length, CAST(19.99 AS DOUBLE) AS replacement_cost, 'PG' AS rating, '2026-01-01' AS last_update,
+       'Trailers' AS special_features
+FROM ok JOIN p USING (seq)
+""",
+    "series_table": """
+SELECT count(*) AS row_count, min(n) AS first_number, max(n) AS last_number,
+       CAST(sum(length('NUMBERED_TEXT' || n)) AS BIGINT) AS characters
+FROM (SELECT unnest(range(1, (SELECT count(*) FROM orders) + 1)) AS n) WHERE n % 3 <> 0
+""",
+    "append_reordered": """
+SELECT o_orderkey AS order_id, o_orderstatus AS status,
+       CASE WHEN o_orderstatus = 'P' THEN o_orderpriority ELSE 'appended' END AS origin FROM orders
+""",
+    "truncate_and_refill": """
+SELECT count(*) AS before, 0 AS truncated, count(*) FILTER (l_linenumber = 1) AS refilled FROM lineitem
+""",
+    "payments_of_a_month": f"""
+SELECT o_orderkey AS payment_id, o_custkey AS customer_id, {_double(f'CAST(o_totalprice AS {MONEY})')} AS amount,
+       '1997-04' AS month FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1997-04'
+""",
+    "store_revenue_chain": f"""
+WITH r AS (SELECT l_orderkey, (min({{'p': l_partkey, 's': l_suppkey}})).s AS store_id FROM lineitem GROUP BY 1)
+SELECT store_id, store_address, {_double(f'sum(CAST(o_totalprice AS {MONEY}))')} AS revenue
+FROM orders JOIN r ON o_orderkey = l_orderkey JOIN ({_store_address}) USING (store_id)
+WHERE o_orderdate >= TIMESTAMP '1997-04-01' GROUP BY 1, 2
+""",
+    "in_stock_by_film_and_store": f"""
+WITH c AS (SELECT l_partkey || '-' || l_suppkey AS inventory_id, l_partkey AS f, l_suppkey AS s,
+                  bool_or(l_linestatus <> 'F') AS is_out FROM lineitem GROUP BY 1, 2, 3)
+SELECT 'store' AS asked, inventory_id FROM c WHERE NOT is_out AND s = 7
+UNION ALL SELECT 'film', inventory_id FROM c WHERE NOT is_out AND f = 7
+UNION ALL SELECT 'film out', inventory_id FROM c WHERE is_out AND f = 7
+UNION ALL SELECT 'film and store', inventory_id FROM c WHERE NOT is_out AND f = 7 AND s = 7
+""",
+    "copy_holders": f"""
+SELECT inventory_id, min(customer_id) FILTER (return_date IS NULL) AS held_by FROM ({RENTAL}) GROUP BY 1
 """,
     "dq_check_rules": _rules,
     "dq_unique": """

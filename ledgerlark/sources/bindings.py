@@ -218,6 +218,22 @@ def payment(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
+def order_rentals(spark: SparkSession, base: str) -> DataFrame:
+    """One rental per order: of the copy of its least line."""
+    lines = load(spark, base, "lineitem").groupBy("l_orderkey").agg(
+        F.min(F.struct("l_partkey", "l_suppkey")).alias("_least")
+    )
+    return lines.select(F.col("l_orderkey").alias("rental_id"), "_least.*").select("rental_id", inventory_id())
+
+
+def order_payments(spark: SparkSession, base: str) -> DataFrame:
+    """One payment per order for its rental."""
+    return load(spark, base, "orders").select(
+        F.col("o_orderkey").alias("rental_id"), money("o_totalprice").alias("amount"),
+        F.col("o_orderdate").alias("payment_date"),
+    )
+
+
 def line_payments(spark: SparkSession, base: str) -> DataFrame:
     """One payment per line, on the ship date, in the supplier's store."""
     return load(spark, base, "lineitem").select(
