@@ -91,18 +91,23 @@ def _parts(df: DataFrame, key: Column) -> Column:
     return search(0, len(cuts))
 
 
+def part_numbers(df: DataFrame, keys: list[str], order: list[str]) -> Column:
+    """The parts that ``running_total`` cuts rows into, to be kept for further totals."""
+    return _parts(df, F.struct(*[F.col(column) for column in [*keys, *order]]))
+
+
 def running_total(
-    df: DataFrame, keys: list[str], order: list[str], value: str, name: str
+    df: DataFrame, keys: list[str], order: list[str], value: str, name: str, part: str | None = None
 ) -> DataFrame:
     """Running sum of ``value`` per key; ``order`` is unique within the key.
 
     Rows are cut into parts by value (see ``_parts``), so that a key of any size
     fills many. Each part is summed on its own, and the sum before a part is added
     to its rows. At most one key per part continues from the one before, so the
-    carried sums are as few as the parts.
+    carried sums are as few as the parts. ``part`` may name a column of part numbers
+    that were found before.
     """
-    key = F.struct(*[F.col(column) for column in [*keys, *order]])
-    placed = df.withColumn("_part", _parts(df, key))
+    placed = df.withColumn("_part", F.col(part) if part else part_numbers(df, keys, order))
     local = F.sum(value).over(
         Window.partitionBy("_part", *keys)
         .orderBy(*order)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.operators.joins import resolve
-from ledgerlark.operators.ordering import number_rows, running_total
+from ledgerlark.operators.ordering import number_rows, part_numbers, running_total
 from ledgerlark.session import materialise
 
 
@@ -36,7 +36,7 @@ def _round(pending: DataFrame) -> DataFrame:
     """Pending requests with their verdict, or with what is left if they stay pending."""
     light = 2 * F.col("quantity") <= F.col("rest")
     weighed = pending.withColumn("_light", F.when(light, F.col("quantity")).otherwise(0))
-    summed = running_total(weighed, ["product"], ["seq"], "_light", "_sum")
+    summed = running_total(weighed, ["product"], ["seq"], "_light", "_sum", part="part")
     before = F.col("rest") - F.col("_sum") + F.col("_light")
     turns = F.when(light, 2 * F.col("_sum") > F.col("rest")).otherwise(F.col("quantity") <= before)
     turn = summed.where(turns).groupBy("product").agg(
@@ -45,7 +45,7 @@ def _round(pending: DataFrame) -> DataFrame:
     decided = F.col("turn").isNull() | (F.col("seq") <= F.col("turn.seq"))
     admitted = light | F.coalesce(F.col("seq") == F.col("turn.seq"), F.lit(False))
     joined = summed.join(turn, "product", "left").select(
-        "product", "seq", "quantity",
+        "product", "seq", "quantity", "part",
         F.when(decided, admitted).when(F.col("quantity") > F.col("turn.left"), False).alias("admitted"),
         F.col("turn.left").alias("rest"),
     )
@@ -66,6 +66,8 @@ def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, s
     )
     verdicts = [narrow.where(F.col("quantity") > F.col("rest")).select("product", "seq", F.lit(False).alias("admitted"))]
     pending = narrow.where(F.col("quantity") <= F.col("rest"))
+    # The parts of the running totals are cut once for all rounds.
+    pending = pending.withColumn("part", part_numbers(pending, ["product"], ["seq"]))
     while not pending.isEmpty():
         judged = _round(pending)
         verdicts.append(judged.where(F.col("admitted").isNotNull()).select("product", "seq", "admitted"))
