@@ -8,7 +8,7 @@ from string import punctuation
 
 import numpy as np
 
-# So many stretches are looked up at once; the table holds three times as many.
+# So many stretches are looked up at once.
 _STEP = 100_000
 
 
@@ -29,13 +29,26 @@ def encoder_of(path: str, by_word: bool = True) -> WordEncoder:
     return WordEncoder(path, by_word=by_word)
 
 
+class _Places(dict):
+    """A number for every stretch, in the order in which they are first met."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        place = self[word] = len(self)
+        self.fresh.append(word)
+        return place
+
+
 class WordEncoder:
     """Ids of ``tokenizers`` for whole texts.
 
     No rule of the vocabularies used here reaches across a space or a line end,
     so the ids of a text are those of its stretches between them. A stretch is
     encoded by the library when it is first met and kept in a table of at most
-    ``most`` stretches, which starts again when it is full. Vocabularies of which
+    about ``most`` stretches, which starts again when it is full. Vocabularies of which
     that does not hold (byte-level ones, where a space belongs to the word behind
     it) take ``by_word=False`` and are encoded text by text.
     """
@@ -53,10 +66,10 @@ class WordEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.at = np.zeros(self.most + 1, np.int64)  # where each stretch's ids end
-        self.n = 0
+        self.places = _Places()
+        self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
+        # Where the ids of each stretch start, and how many there are.
+        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
     def _ids(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all stretches, one after the other, and the number of each."""
@@ -69,38 +82,50 @@ class WordEncoder:
         each = [np.array(e.ids, np.uint32) for e in found]
         return np.concatenate([np.zeros(0, np.uint32), *each]), np.array([len(i) for i in each])
 
-    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
-        first = int(self.at[self.n])
-        while first + len(ids) > len(self.flat):
+    def _add(self, places: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[first : first + len(ids)] = ids
-        self.at[self.n + 1 : self.n + 1 + len(words)] = first + np.cumsum(counts)
-        self.known.update(zip(words, range(self.n, self.n + len(words))))
-        self.n += len(words)
-
-    def _learn(self, new: set[str]) -> None:
-        parts = {word: _cut(word) for word in new}
-        alone = dict.fromkeys(x for base, tail in parts.values() for x in (base, tail))
-        alone = [word for word in alone if word not in self.known]
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.start[places] = self.used + np.cumsum(counts) - counts
+        self.size[places] = counts
+        self.used += len(ids)
+
+    def _learn(self) -> None:
+        """Ids of all stretches met for the first time."""
+        places = self.places
+        new, places.fresh = places.fresh, []
+        letters, others, joint, parts = [], [], [], []
+        for word in new:
+            base, tail = _cut(word)
+            if tail or base != word:
+                joint.append(places[word])
+                parts += (places[base], places[tail])
+            else:
+                (letters if word.isalpha() else others).append(word)
+        # Words and marks that were only met as parts.
+        for word in places.fresh:
+            (letters if word.isalpha() else others).append(word)
+        places.fresh = []
+        while len(places) > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
         # Letters alone are one word to the library, so their ids end where a word ends.
-        letters = [word for word in alone if word.isalpha()]
-        others = [word for word in alone if not word.isalpha()]
         for i in range(0, len(letters), 5000):
-            self._add(letters[i : i + 5000], *self._ids(letters[i : i + 5000]))
+            some = letters[i : i + 5000]
+            self._add(np.array([places[w] for w in some]), *self._ids(some))
         if others:
             found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-            self._add(others, np.concatenate([np.array(e.ids, np.uint32) for e in found]),
+            self._add(np.array([places[w] for w in others]),
+                      np.concatenate([np.array(e.ids, np.uint32) for e in found]),
                       np.array([len(e.ids) for e in found]))
-        joint = [word for word in new if word not in self.known]
         if joint:
-            pairs = np.array([self.known[x] for word in joint for x in parts[word]], np.int64)
-            ids, n = self._gather(pairs)
-            self._add(joint, ids, n[::2] + n[1::2])
+            ids, n = self._gather(np.array(parts))
+            self._add(np.array(joint), ids, n[::2] + n[1::2])
 
     def _gather(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        first, n = self.at[place], self.at[place + 1] - self.at[place]
+        n = self.size[place]
         ends = np.cumsum(n)
-        within = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first - ends + n, n)
+        within = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.start[place] - ends + n, n)
         return self.flat[within], n
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -126,12 +151,9 @@ class WordEncoder:
         return np.concatenate(parts), (total[ends] - total[ends - np.array(sizes, np.int64)]).astype(np.int64)
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        new = set(words).difference(self.known)
-        if new:
-            # A new stretch may bring its word and the marks behind it as well.
-            if self.n + 3 * len(new) > self.most:
-                self._clear()
-                new = set(words)
-            self._learn(new)
-        places = list(map(self.known.__getitem__, words))
-        return self._gather(np.array(places, np.int64))
+        if len(self.places) > self.most:
+            self._clear()
+        found = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
+        if self.places.fresh:
+            self._learn()
+        return self._gather(found)
