@@ -97,7 +97,8 @@ def regions(data: np.ndarray, first: np.ndarray, size: np.ndarray, length: int =
         anchor = (least[start] & _LOW).astype(np.int64)
         own = text[start]
         base = lo - first[own]
-        yield hashes[anchor], own, start + base, end + base, anchor + base
+        # Other anchors may share what is left of a hash; it only chooses what is sorted.
+        yield hashes[anchor] >> np.uint64(16), own, start + base, end + base, anchor + base
 
 
 class _Texts:
@@ -182,7 +183,7 @@ def encode_run(suffixes: dict[bytes, dict[bytes, list[tuple]]]) -> bytes:
         before = right
     head = np.array(numbers, np.int64)
     body = head.tobytes() + b"".join(blob)
-    return len(head).to_bytes(8, "little") + zstandard.ZstdCompressor(level=1).compress(body)
+    return len(head).to_bytes(8, "little") + zstandard.ZstdCompressor(level=3).compress(body)
 
 
 def decode_run(run: bytes) -> Iterator[tuple[int, bytes, list[tuple[bytes, list[tuple]]]]]:
@@ -435,7 +436,7 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    packer = zstandard.ZstdCompressor(level=3)
+    packer = zstandard.ZstdCompressor(level=9)
     for frame in frames:
         yield frame.drop(columns="raw").assign(packed=[packer.compress(raw) for raw in frame.raw])
 
@@ -463,7 +464,8 @@ def remove_repeats(
         F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("raw"),
     )
     keys = ["place", "mark"]
-    repeated = (
+    # Written, so that both sides of the join on a frequent anchor can be split.
+    repeated = materialise(
         whole.select("raw").mapInPandas(_counts(length, gram), "h bigint, n bigint")
         .groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > 1)
     )
