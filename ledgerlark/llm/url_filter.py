@@ -152,7 +152,10 @@ def _sent(read: DataFrame, verdicts: dict[str, str], lengths: list[int], default
                 if i not in best or len(rule) > len(best[i]):
                     best[i] = rule
             rule, verdict = _decide(best, verdicts, len(frame), default)
-            yield frame.assign(rule=rule, verdict=verdict)
+            yield pd.DataFrame({
+                "page_id": frame.page_id, "host": frame.host.tolist(), "path": frame.path.tolist(),
+                "rule": rule, "verdict": verdict,
+            })
 
     kind = dict(read.dtypes)["page_id"]
     return read.mapInPandas(
@@ -179,7 +182,8 @@ def _dealt(read: DataFrame, listed: DataFrame, lengths: list[int], default: str)
         verdicts = dict(zip(rules.rule, rules.verdict))
         hit = array.probe(list(wanted.rule))
         kept = wanted[hit >= 0]
-        return pd.DataFrame({"rule": kept.rule, "verdict": [verdicts[r] for r in kept.rule]})
+        found = kept.rule.tolist()
+        return pd.DataFrame({"rule": found, "verdict": [verdicts[r] for r in found]}, dtype=object)
 
     distinct = asked.select("rule").distinct().withColumn("shard", shard("rule"))
     hits = (
