@@ -33,14 +33,15 @@ _BYTES = BLOCK * STRIDE
 
 def laid_out(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts, each padded with zeros to whole chunks, and the chunks
-    of each. A filter never sees bytes of two texts."""
+    of each. A filter that reaches beyond a text's last block only sees the zeros that
+    every text starts with, never bytes of two texts."""
     parts, n_chunks = [], []
     for text in texts:
         raw = text.encode("utf-8", "surrogatepass")
         blocks = -(-(len(raw) + WIDTH) // _BYTES)
         chunks = max(1, -(-(blocks - 1) // (CHUNK - 1)))
         size = ((CHUNK - 1) * chunks + 1) * _BYTES
-        parts.append(raw + bytes(size - len(raw)))
+        parts.append(bytes(WIDTH) + raw + bytes(size - WIDTH - len(raw)))
         n_chunks.append(chunks)
     return (np.frombuffer(b"".join([*parts, bytes(WIDTH)]), np.uint8),
             np.array(n_chunks, np.int64))
@@ -92,7 +93,8 @@ class ByteNet:
         start = np.cumsum(n_chunks) - n_chunks
         mean = np.add.reduceat(pooled, start) / n_chunks[:, None]
         most = np.maximum.reduceat(pooled, start)
-        logit = np.concatenate([mean, most], 1).astype(np.float64) @ self.out + self.shift[0]
+        features = np.concatenate([mean, most], 1).astype(np.float64)
+        logit = (features * self.out).sum(1) + self.shift[0]
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
     def gradients(self, texts: list[str], labels: np.ndarray) -> list[np.ndarray]:
@@ -115,7 +117,8 @@ class ByteNet:
         delta = ((p - labels) / len(texts)).astype(np.float32)
         d_features = delta[:, None] * self.out
         d_pooled = (d_features[:, :FILTERS] / n_chunks[:, None])[doc]
-        d_pooled += d_features[doc, FILTERS:] * (pooled == most[doc])
+        best = pooled == most[doc]
+        d_pooled += d_features[doc, FILTERS:] * best / np.add.reduceat(best, first, dtype=np.int64)[doc]
         d_pooled *= pooled > 0
         # Each pooled response comes from one position, and so from WIDTH table rows.
         block = start[:, None] + which
