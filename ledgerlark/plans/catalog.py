@@ -16,7 +16,8 @@ from ledgerlark.functions.text import capitalised, joined, mapped, matches, merg
 from ledgerlark.operators import joins, merge, policy, posting, quality
 from ledgerlark.operators.ordering import peer_numbers
 from ledgerlark.plans import rental_reports, sales_reports, table_functions
-from ledgerlark.session import configure, shared_dir
+from ledgerlark.plans.loading import load_favourites
+from ledgerlark.session import configure, materialise, shared_dir
 from ledgerlark.sources import bindings as b
 from ledgerlark.sources import inline, tables
 from ledgerlark.sources.tables import load, money
@@ -907,6 +908,45 @@ def copy_holders(spark, base):
     return table_functions.holder(b.inventory(spark, base), b.rental(spark, base))
 
 
+# The load
+
+LOAD_OWNER = {"first_name": "NEW", "last_name": "OWNER", "email": "new@x.org"}
+LOAD_STEPS = ["film", "film_category", "actor", "film_actor", "inventory", "customer",
+              "deleted_payment", "deleted_rental", "rental", "payment"]
+
+
+def _load(spark, base, given):
+    return load_favourites(
+        given, *b.load_sources(spark, base), LOAD_OWNER, 2, (8, 8), date(2026, 1, 1), "nation_3"
+    )
+
+
+def _counts(parts):
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.lit(name).alias("name"), F.count("*").alias("row_count")) for name, df in parts.items()
+    ])
+
+
+@query
+def load_steps(spark, base):
+    """Rows that each step of the load writes or deletes, in a first and a second run."""
+    first = _load(spark, base, b.load_tables(spark, base))
+    # What the first run left is written, as its tables would be.
+    left = {name: materialise(df) for name, df in first.tables.items()}
+    second = _load(spark, base, left)
+    runs = [
+        _counts({step: load_run.affected[step] for step in LOAD_STEPS}).select(F.lit(i).alias("run"), "*")
+        for i, load_run in ((1, first), (2, second))
+    ]
+    return runs[0].unionByName(runs[1])
+
+
+@query
+def load_tables(spark, base):
+    """Rows of each table after the load."""
+    return _counts(_load(spark, base, b.load_tables(spark, base)).tables)
+
+
 # Integrity rules
 
 

@@ -96,9 +96,10 @@ def load_favourites(
     stamp: Column = F.lit(as_of)
     stamped = {"last_update": stamp}
 
-    spoken = tables["language"].where(F.upper("name") == language.upper())
-    spoken = spoken.agg(F.min("language_id").alias("language_id")).where("language_id is not null")
-    films = favourites.withColumn("title", F.upper("title")).crossJoin(F.broadcast(spoken))
+    spoken = tables["language"].where(F.upper("name") == language.upper()).agg(F.min("language_id"))
+    films = favourites.withColumns(
+        {"title": F.upper("title"), "language_id": spoken.scalar()}
+    ).where(F.col("language_id").isNotNull())
     _insert(tables, affected, "film", films, ["title", "release_year"], ["title"], stamped,
             ("film_id", ["title", "release_year"]))
 
@@ -122,11 +123,10 @@ def load_favourites(
         tables["customer"], tables["rental"], tables["payment"], least, k=1
     ).select("customer_id")
     affected["qualified"] = qualified
-    home = tables["address"].agg(F.min("address_id").alias("address_id"))
+    home = tables["address"].agg(F.min("address_id")).scalar()
     renamed = (
-        qualified.join(F.broadcast(present.select(F.lit(1).alias("_present"))), F.lit(True), "left_anti")
-        .crossJoin(F.broadcast(home))
-        .withColumns({column: F.lit(value) for column, value in owner.items()})
+        qualified.where(present.agg(F.min("customer_id")).scalar().isNull())
+        .withColumns({column: F.lit(value) for column, value in owner.items()} | {"address_id": home})
     )
     change = merge.update_from(
         tables["customer"], materialise(renamed), "customer_id", [*owner, "address_id"],
@@ -155,7 +155,8 @@ def load_favourites(
         .select("film_id", "rental_date", "return_date")
         .join(copies.select("film_id", "inventory_id", "store_id"), "film_id")
         .join(clerk, "store_id")
-        .crossJoin(F.broadcast(me))
+        .withColumn("customer_id", me.agg(F.min("customer_id")).scalar())
+        .where(F.col("customer_id").isNotNull())
     )
     visit = ["customer_id", "inventory_id", "rental_date"]
     _insert(tables, affected, "rental", rented, visit, [], stamped,

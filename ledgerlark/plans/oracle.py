@@ -295,6 +295,27 @@ _rules = " UNION ALL ".join([
     }),
 ])
 
+# Favourites are parts of size 3 and 4; those of size 4 are films already.
+_load = """
+WITH fav AS (SELECT * FROM part WHERE p_size IN (3, 4)),
+pairs AS (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem JOIN fav ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey),
+me AS (SELECT min(k) AS k FROM (
+    SELECT o_custkey AS k FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1 HAVING count(*) >= 8)),
+mine AS (SELECT count(*) AS n FROM orders JOIN me ON o_custkey = k),
+step AS (
+    SELECT 'film' AS name, (SELECT count(*) FROM fav WHERE p_size = 3) AS row_count
+    UNION ALL SELECT 'film_category', (SELECT count(*) FROM fav)
+    UNION ALL SELECT 'actor', (SELECT count(DISTINCT l_suppkey) FROM pairs JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal < 0)
+    UNION ALL SELECT 'film_actor', (SELECT count(*) FROM pairs)
+    UNION ALL SELECT 'inventory', (SELECT count(*) FROM fav)
+    UNION ALL SELECT 'customer', (SELECT count(k) FROM me)
+    UNION ALL SELECT 'deleted_payment', (SELECT n FROM mine)
+    UNION ALL SELECT 'deleted_rental', (SELECT n FROM mine)
+    UNION ALL SELECT 'rental', (SELECT count(*) FROM fav)
+    UNION ALL SELECT 'payment', (SELECT count(*) FROM fav)
+)
+"""
+
 ORACLE: dict[str, str] = {
     "filter_join_sort": _titles,
     "in_subquery": _titles,
@@ -705,6 +726,25 @@ UNION ALL SELECT 'film and store', inventory_id FROM c WHERE NOT is_out AND f =
 """,
     "copy_holders": f"""
 SELECT inventory_id, min(customer_id) FILTER (return_date IS NULL) AS held_by FROM ({RENTAL}) GROUP BY 1
+""",
+    "load_steps": _load + "SELECT 1 AS run, name, row_count FROM step UNION ALL SELECT 2, name, 0 FROM step",
+    "load_tables": _load + """
+SELECT name, old + coalesce((SELECT row_count FROM step s WHERE s.name = t.name), 0)
+         - coalesce((SELECT row_count FROM step s WHERE s.name = 'deleted_' || t.name), 0) AS row_count
+FROM (
+    SELECT 'language' AS name, (SELECT count(*) FROM nation) AS old
+    UNION ALL SELECT 'address', (SELECT count(*) FROM nation)
+    UNION ALL SELECT 'category', (SELECT count(DISTINCT p_type) FROM part)
+    UNION ALL SELECT 'film', (SELECT count(*) FROM part WHERE p_size > 3)
+    UNION ALL SELECT 'film_category', (SELECT count(*) FROM part WHERE p_size > 4)
+    UNION ALL SELECT 'actor', (SELECT count(*) FROM supplier WHERE s_acctbal >= 0)
+    UNION ALL SELECT 'film_actor', (SELECT count(*) FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 4))
+    UNION ALL SELECT 'inventory', (SELECT count(*) FROM part WHERE p_size > 4)
+    UNION ALL SELECT 'store', (SELECT count(*) FROM supplier WHERE s_suppkey <= 2)
+    UNION ALL SELECT 'customer', (SELECT count(*) FROM customer) - (SELECT count(k) FROM me)
+    UNION ALL SELECT 'rental', (SELECT count(*) FROM orders)
+    UNION ALL SELECT 'payment', (SELECT count(*) FROM orders)
+) t
 """,
     "dq_check_rules": _rules,
     "dq_unique": """

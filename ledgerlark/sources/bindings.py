@@ -315,3 +315,85 @@ def store_products(spark: SparkSession, base: str) -> DataFrame:
         F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"),
         (F.col("p_size") * 10).alias("stock_quantity"),
     )
+
+
+# the load: a catalogue of the larger parts, and the smallest ones as favourites
+
+FAVOURITE_SIZES = (3, 4)
+
+
+def _load_title() -> Column:
+    return F.concat_ws(" ", F.upper("p_name"), F.col("p_partkey").cast("string"))
+
+
+def load_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
+    """The tables that the load changes. Parts of a favourite size have no genre,
+    no cast and no copy yet, and those of the first of these sizes no film either;
+    suppliers with debts are not known as actors."""
+    never = F.lit(None).cast("date").alias("last_update")
+    part, orders = load(spark, base, "part"), load(spark, base, "orders")
+    old = part.where(F.col("p_size") > FAVOURITE_SIZES[1])
+    kinds = part.groupBy("p_type").agg(F.min("p_partkey").alias("category_id"))
+    nation, supplier = load(spark, base, "nation"), load(spark, base, "supplier")
+    return {
+        "language": nation.select(F.col("n_nationkey").alias("language_id"), F.col("n_name").alias("name")),
+        "category": kinds.select("category_id", F.col("p_type").alias("name")),
+        "film": part.where(F.col("p_size") > FAVOURITE_SIZES[0]).select(
+            F.col("p_partkey").alias("film_id"), _load_title().alias("title"),
+            (F.lit(FIRST_RELEASE) + F.col("p_size")).alias("release_year"), F.lit(0).alias("language_id"),
+            F.col("p_size").alias("rental_duration"), F.col("p_retailprice").cast("decimal(10,2)").alias("rental_rate"),
+            F.col("p_size").alias("length"), F.col("p_brand").alias("rating"), never,
+        ),
+        "film_category": old.join(kinds, "p_type").select(
+            F.col("p_partkey").alias("film_id"), "category_id", never),
+        "actor": supplier.where(F.col("s_acctbal") >= 0).select(
+            F.col("s_suppkey").alias("actor_id"), F.upper(_name_part("s_name", 1)).alias("first_name"),
+            _name_part("s_name", 2).alias("last_name"), never,
+        ),
+        "film_actor": load(spark, base, "lineitem").select("l_partkey", "l_suppkey").distinct().join(
+            old.select(F.col("p_partkey").alias("l_partkey")), "l_partkey", "left_semi"
+        ).select(F.col("l_suppkey").alias("actor_id"), F.col("l_partkey").alias("film_id"), never),
+        "inventory": old.select(
+            F.col("p_partkey").alias("inventory_id"), F.col("p_partkey").alias("film_id"),
+            F.lit(1).cast("bigint").alias("store_id"), never,
+        ),
+        "store": supplier.where(F.col("s_suppkey") <= 2).select(
+            F.col("s_suppkey").alias("store_id"), F.col("s_nationkey").alias("address_id"),
+            (F.col("s_suppkey") + 10).alias("manager_staff_id"),
+        ),
+        "address": nation.select(F.col("n_nationkey").alias("address_id")),
+        "customer": load(spark, base, "customer").select(
+            F.col("c_custkey").alias("customer_id"), _name_part("c_name", 1).alias("first_name"),
+            _name_part("c_name", 2).alias("last_name"), F.lower("c_name").alias("email"),
+            F.col("c_nationkey").alias("address_id"), never,
+        ),
+        "rental": orders.select(
+            F.col("o_orderkey").alias("rental_id"), F.col("o_orderdate").alias("rental_date"),
+            F.lit(0).cast("bigint").alias("inventory_id"), F.col("o_custkey").alias("customer_id"),
+            F.lit(None).cast("timestamp_ntz").alias("return_date"), F.lit(1).cast("bigint").alias("staff_id"), never,
+        ),
+        "payment": orders.select(
+            F.col("o_orderkey").alias("payment_id"), F.col("o_custkey").alias("customer_id"),
+            F.lit(1).cast("bigint").alias("staff_id"), F.col("o_orderkey").alias("rental_id"),
+            F.col("o_totalprice").cast("decimal(10,2)").alias("amount"), F.col("o_orderdate").alias("payment_date"),
+        ),
+    }
+
+
+def load_sources(spark: SparkSession, base: str) -> tuple[DataFrame, DataFrame]:
+    """Favourites, in another case than the catalogue, and their cast."""
+    part = load(spark, base, "part").where(F.col("p_size").isin(*FAVOURITE_SIZES))
+    year = (F.lit(FIRST_RELEASE) + F.col("p_size")).alias("release_year")
+    rented = F.lit("2017-01-10 10:00:00").cast("timestamp_ntz")
+    favourites = part.select(
+        F.lower(_load_title()).alias("title"), year, F.col("p_size").alias("rental_duration"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("rental_rate"), F.col("p_size").alias("length"),
+        F.col("p_brand").alias("rating"), F.lower("p_type").alias("category_name"),
+        rented.alias("rental_date"), (rented + F.expr("INTERVAL '7' DAY")).alias("return_date"),
+    )
+    pairs = load(spark, base, "lineitem").select("l_partkey", "l_suppkey").distinct()
+    cast = pairs.join(part, F.col("l_partkey") == F.col("p_partkey")).join(
+        load(spark, base, "supplier"), F.col("l_suppkey") == F.col("s_suppkey")
+    ).select(_load_title().alias("title"), year, _name_part("s_name", 1).alias("first_name"),
+             _name_part("s_name", 2).alias("last_name"))
+    return favourites, cast
