@@ -132,7 +132,7 @@ class ByteNet:
                 (delta @ features).astype(np.float32), np.array([delta.sum()], np.float32)]
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 16, least_steps: int = 600,
+def fit(texts: list[str], labels: list[int], epochs: int = 24, least_steps: int = 600,
         batch: int = 64, rate: float = 0.01, seed: int = SEED) -> ByteNet:
     """A network trained by Adam. Both labels weigh as they do in the sample; without
     rows, or with one label alone, the network gives nearly that label's share."""
