@@ -61,8 +61,9 @@ def latest_rows(df: DataFrame, keys: list[str], at: str, null_safe: bool = False
     return df.join(last, condition, "left_semi")
 
 
-def _parts(df: DataFrame, key: Column) -> Column:
-    """The part of each row, counted up in the order of ``key``, a struct.
+def _parts(df: DataFrame, key: Column) -> Column | None:
+    """The part of each row, counted up in the order of ``key``, a struct; None if
+    there is one part only, as with a single row.
 
     Parts are cut at quantiles of a sample of rows, some for each shuffle
     partition. The cuts are literals, so a row's part depends on its values alone:
@@ -88,12 +89,13 @@ def _parts(df: DataFrame, key: Column) -> Column:
         middle = (low + high) // 2
         return F.when(key <= literal(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
 
-    return search(0, len(cuts))
+    return search(0, len(cuts)) if cuts else None
 
 
 def part_numbers(df: DataFrame, keys: list[str], order: list[str]) -> Column:
     """The parts that ``running_total`` cuts rows into, to be kept for further totals."""
-    return _parts(df, F.struct(*[F.col(column) for column in [*keys, *order]]))
+    part = _parts(df, F.struct(*[F.col(column) for column in [*keys, *order]]))
+    return F.lit(0) if part is None else part
 
 
 def running_total(
@@ -107,12 +109,14 @@ def running_total(
     carried sums are as few as the parts. ``part`` may name a column of part numbers
     that were found before.
     """
-    placed = df.withColumn("_part", F.col(part) if part else part_numbers(df, keys, order))
-    local = F.sum(value).over(
-        Window.partitionBy("_part", *keys)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    found = F.col(part) if part else _parts(df, F.struct(*[F.col(c) for c in [*keys, *order]]))
+    kept = [F.col(f"`{column}`") for column in df.columns if column != name]
+    upto = Window.unboundedPreceding, Window.currentRow
+    if found is None:
+        whole = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
+        return df.select(*kept, F.sum(value).over(whole).alias(name))
+    placed = df.withColumn("_part", found)
+    local = F.sum(value).over(Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(*upto))
     totals = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_sum"))
     # Without keys this is one row per part, in one task.
     earlier = F.sum("_sum").over(
@@ -128,7 +132,7 @@ def running_total(
         placed.withColumn("_local", local)
         .join(F.broadcast(carried), same, "left")
         .withColumn(name, F.col("_local") + F.coalesce("_carried", F.lit(0)))
-        .select(*[F.col(f"`{column}`") for column in df.columns if column != name], name)
+        .select(*kept, name)
     )
 
 
