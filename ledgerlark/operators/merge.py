@@ -291,7 +291,8 @@ def validate_new_items(
     the current one. A title is taken by the catalog or by the first proposal
     that passes the other checks. ``reason`` is NULL for accepted rows.
     """
-    if "language" not in proposals.columns:
+    stated = "language" in proposals.columns
+    if not stated:
         proposals = proposals.withColumn("language", F.lit(default_language))
     titles = proposals.withColumn("_title", F.lower(F.trim("title")))
     # Of languages that share a name the first is meant.
@@ -299,10 +300,15 @@ def validate_new_items(
         F.min(F.struct("language_id", F.col("name").alias("_name"))).alias("_least")
     ).select("_language", "_least.*")
     taken = catalog.select(F.lower(F.trim("title")).alias("_title")).distinct()
+    if stated:
+        spoken = titles.withColumn("_language", F.lower(F.trim("language"))).join(known, "_language", "left")
+    else:
+        # One language for all rows is looked up once.
+        wanted = known.where(F.col("_language") == default_language.strip().lower())
+        least = wanted.agg(F.min(F.struct("language_id", "_name"))).scalar()
+        spoken = titles.withColumns({"language_id": least["language_id"], "_name": least["_name"]})
     checked = (
-        titles.withColumn("_language", F.lower(F.trim("language")))
-        .join(known, "_language", "left")
-        .join(taken.withColumn("_taken", F.lit(True)), "_title", "left")
+        spoken.join(taken.withColumn("_taken", F.lit(True)), "_title", "left")
         .withColumn(
             "reason",
             F.when(F.col("_title").isNull() | (F.col("_title") == ""), F.lit("title is blank"))
