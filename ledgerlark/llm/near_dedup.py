@@ -54,6 +54,8 @@ LEAF = 8
 WIDE, BLOCK = 16384, 4096
 #: Full sets that a task holds to confirm pairs with, and four times as many partners.
 VERIFY = 1000
+#: Characters of text worked on at once.
+PART = 400_000
 #: Classes of a cluster whose full sets meet in one task, from either side.
 SETS = 1000
 #: Bits of a sketch.
@@ -147,7 +149,7 @@ def sketches(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for part in chunked(frame):
+        for part in chunked(frame, PART):
             hashes, sizes = shingle_sets(part.text.tolist())
             full = np.flatnonzero(sizes > 0)
             tokens = np.zeros((len(part), TOKENS), np.uint64)
@@ -180,7 +182,7 @@ def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for part in chunked(frame):
+        for part in chunked(frame, PART):
             hashes, sizes = shingle_sets(part.text.tolist())
             with np.errstate(over="ignore"):
                 rows = [
@@ -283,8 +285,8 @@ def _link(block: pd.DataFrame) -> pd.DataFrame:
         # What is connected by now needs no look.
         spots = place[len(here) + found]
         found = found[forest.label[spots] != forest.label[place[i]]]
-        for lo in range(0, len(found), 500):
-            some = found[lo : lo + 500]
+        for lo in range(0, len(found), 100):
+            some = found[lo : lo + 100]
             linked = some[_shares(sets[i], [others[j] for j in some])]
             if len(linked):
                 kept = forest.join(place[i], place[len(here) + linked])
@@ -306,8 +308,8 @@ def _verify(block: pd.DataFrame) -> pd.DataFrame:
     a, b = pairs.a.to_numpy(np.int64), pairs.b.to_numpy(np.int64)
     linked = np.zeros(len(a), bool)
     cuts = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, int)
-    # One set against up to 500 others at once.
-    starts = [i for lo, hi in zip(cuts, [*cuts[1:], len(a)]) for i in range(lo, hi, 500)]
+    # One set against up to 100 others at once.
+    starts = [i for lo, hi in zip(cuts, [*cuts[1:], len(a)]) for i in range(lo, hi, 100)]
     for lo, hi in zip(starts, [*starts[1:], len(a)]):
         linked[lo:hi] = _shares(sets[a[lo]], [sets[v] for v in b[lo:hi]])
     return pd.DataFrame({"a": a[linked], "b": b[linked]})
