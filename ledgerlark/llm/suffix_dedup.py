@@ -21,7 +21,11 @@ or another, is removed. Not every suffix has to be sorted for that:
 
 Texts travel compressed. An anchor that more than ``HOT`` regions share would gather
 them all in one task, so its regions are cut into their single strings, which are
-dealt out by their bytes instead; equal ones still meet.
+dealt out by their bytes instead; equal ones still meet. That a string is repeated
+needs two occurrences only: where two meet, in a run or later, their ranges are given
+out, and the string goes on alone, marked as repeated by having no references. A run
+so gives on at most one occurrence of a string, and the runs of a part are merged
+``FAN`` at a time, in rounds, so no task holds more than about ``FAN`` of them.
 """
 
 from __future__ import annotations
@@ -33,6 +37,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +52,13 @@ STEP = 1 << 19
 HOT = 100_000
 #: Bytes of text whose regions are sorted into one run.
 RUN_BYTES = 24 << 20
+#: Runs of single strings that meet in one task.
+FAN = 64
+#: Ranges of single strings that are given out together.
+GIVEN = 1 << 17
+
+#: Runs of regions have no number, ranges have no part.
+RUNS = "part int, number bigint, run binary, place bigint, mark bigint, span bigint"
 
 _TABLE = seeds(256, 5)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -208,18 +220,61 @@ def decode_run(run: bytes) -> Iterator[tuple[int, bytes, list[tuple[bytes, list[
         yield shared, right, sides
 
 
+def _meet(sides: dict[bytes, list[tuple]], left: bytes, refs: list[tuple], given: list[tuple]) -> bool:
+    """Puts a single string to those that share its suffix, and says if it is new there.
+
+    A string met again goes to ``given`` with every occurrence not given out before,
+    and is kept without references.
+    """
+    known = sides.get(left)
+    if known is None:
+        sides[left] = refs
+        return True
+    given.extend((*ref, len(left)) for ref in known + refs)
+    sides[left] = []
+    return False
+
+
+def _given(given: list[tuple], length: int) -> pd.DataFrame:
+    """Ranges of single strings; those of one document that start next to each other are
+    one, as far as its size fits its code."""
+    place, mark, a, ahead = np.array(given, np.int64).reshape(-1, 4).T
+    start = a - ahead
+    order = np.lexsort((start, mark, place))
+    place, mark, start = place[order], mark[order], start[order]
+    new = np.ones(len(start), bool)
+    new[1:] = ((place[1:] != place[:-1]) | (mark[1:] != mark[:-1])
+               | (start[1:] > start[:-1] + 1) | (start[1:] >> 19 != start[:-1] >> 19))
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start))[: len(first)] - 1
+    span = (start[first] << 20) | (start[last] - start[first] + length)
+    return pd.DataFrame({"part": np.int32(-1), "number": np.int64(-1), "run": None,
+                         "place": place[first], "mark": mark[first], "span": span})
+
+
+def _written(parts: list[int], number: int, runs: list[bytes]) -> pd.DataFrame:
+    return pd.DataFrame({"part": np.array(parts, np.int32), "number": np.int64(number), "run": runs,
+                         "place": np.int64(0), "mark": np.int64(0), "span": np.int64(0)})
+
+
 def _runs(parts: int, length: int, gram: int):
+    """Runs of regions, runs of the single strings behind frequent anchors, and the
+    ranges of single strings that are repeated within their run."""
+
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_runs: list[dict] = [{} for _ in range(parts)]
+        single: list[dict] = [{} for _ in range(parts)]
+        given: list[tuple] = []
+        context = TaskContext.get()
+        number = (context.partitionId() if context else 0) << 32
         held = 0
 
-        def close() -> pd.DataFrame:
-            full = [p for p in range(parts) if open_runs[p]]
-            out = pd.DataFrame({"part": np.array(full, np.int32),
-                                "run": [encode_run(open_runs[p]) for p in full]})
-            for p in full:
-                open_runs[p] = {}
-            return out
+        def close() -> Iterator[pd.DataFrame]:
+            for some, n in ((open_runs, -1), (single, number)):
+                full = [p for p in range(parts) if some[p]]
+                yield _written(full, n, [encode_run(some[p]) for p in full])
+                for p in full:
+                    some[p] = {}
 
         unpack = zstandard.ZstdDecompressor()
         for frame in frames:
@@ -229,20 +284,28 @@ def _runs(parts: int, length: int, gram: int):
                     hot, code = code & 1, code >> 1
                     s, reach, ahead = code >> 16, (code >> 8) & 255, code & 255
                     e, a = s + reach, s + ahead
-                    if hot:
-                        cuts = [(p, p) for p in range(s, e + 1)]
-                    else:
-                        cuts = [(s, e)]
-                    for p, q in cuts:
-                        key = raw[p : p + length] if hot else raw[a : a + gram]
-                        run = open_runs[xxhash.xxh64_intdigest(key) % parts]
-                        sides = run.setdefault(raw[a : q + length], {})
-                        sides.setdefault(raw[p:a], []).append((place, mark, a))
-                    held += length + 24 * len(cuts)
+                    if not hot:
+                        run = open_runs[xxhash.xxh64_intdigest(raw[a : a + gram]) % parts]
+                        sides = run.setdefault(raw[a : e + length], {})
+                        sides.setdefault(raw[s:a], []).append((place, mark, a))
+                        held += length + 24
+                        continue
+                    for p in range(s, e + 1):
+                        run = single[xxhash.xxh64_intdigest(raw[p : p + length]) % parts]
+                        sides = run.setdefault(raw[a : p + length], {})
+                        if _meet(sides, raw[p:a], [(place, mark, a)], given):
+                            held += length + 24
+                    if len(given) >= GIVEN:
+                        yield _given(given, length)
+                        given.clear()
+                    if held >= RUN_BYTES:
+                        yield from close()
+                        number, held = number + 1, 0
                 if held >= RUN_BYTES:
-                    yield close()
-                    held = 0
-        yield close()
+                    yield from close()
+                    number, held = number + 1, 0
+        yield from close()
+        yield _given(given, length)
 
     return make
 
@@ -403,6 +466,51 @@ def _merge(length: int, gram: int):
     return merge
 
 
+def _merge_single(length: int, last: bool):
+    """Ranges of the single strings that meet, and one run of all of them unless this
+    is the last round."""
+
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        kept: dict[bytes, dict[bytes, list[tuple]]] = {}
+        given: list[tuple] = []
+        before, own = None, {}
+        for _, suffix, sides in LoserTree([decode_run(run) for run in frame.run]):
+            if suffix != before:
+                before, own = suffix, {}
+                if not last:
+                    kept[suffix] = own
+            for left, refs in sides:
+                _meet(own, left, refs, given)
+        out = _given(given, length)
+        if not last:
+            run = _written([frame.part.iloc[0]], frame.salt.iloc[0], [encode_run(kept)])
+            out = pd.concat([out, run], ignore_index=True)
+        return out
+
+    return merge
+
+
+def _single_ranges(written: DataFrame, length: int, fan: int) -> DataFrame | None:
+    """The ranges of repeated single strings, if there are any such strings."""
+    ranges = None
+    while True:
+        own = written.where("part < 0").select("place", "mark", "span")
+        ranges = own if ranges is None else ranges.unionByName(own)
+        runs = written.where("part >= 0 AND number >= 0").select("part", "number", "run")
+        most = runs.groupBy("part").count().agg(F.max("count")).first()[0]
+        if most is None:
+            return None
+        groups = -(-most // fan)
+        met = (
+            runs.select("part", "run", F.pmod(F.xxhash64("number"), F.lit(groups)).alias("salt"))
+            .groupBy("part", "salt")
+            .applyInPandas(_merge_single(length, groups == 1), RUNS)
+        )
+        if groups == 1:
+            return ranges.unionByName(met.select("place", "mark", "span"))
+        written = materialise(met)
+
+
 # -- step 4 ---------------------------------------------------------------------
 
 
@@ -448,6 +556,7 @@ def remove_repeats(
     length: int = LENGTH,
     gram: int = GRAM,
     hot: int = HOT,
+    fan: int = FAN,
 ) -> DataFrame:
     """n_bytes, n_removed, n_spans and kept_sha256 of every document.
 
@@ -459,6 +568,8 @@ def remove_repeats(
     """
     if gram & (gram - 1) or not 0 <= length - gram < 256:
         raise ValueError("gram must be a power of two and length - gram in 0..255")
+    if fan < 2:
+        raise ValueError("at least two runs must meet")
     whole = texts_of(docs, id_column, text_column).select(
         "doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("place"),
         F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("raw"),
@@ -482,13 +593,16 @@ def remove_repeats(
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = materialise(
         packed.select(*keys, "packed").join(found, keys)
-        .mapInPandas(_runs(parts, length, gram), "part int, run binary")
+        .mapInPandas(_runs(parts, length, gram), RUNS)
     )
     ranges = (
-        runs.groupBy("part")
+        runs.where("part >= 0 AND number < 0").select("part", "run").groupBy("part")
         .applyInPandas(_merge(length, gram), "place bigint, mark bigint, span bigint")
-        .groupBy(*keys).agg(F.collect_list("span").alias("spans"))
     )
+    single = _single_ranges(runs, length, fan)
+    if single is not None:
+        ranges = ranges.unionByName(single)
+    ranges = ranges.groupBy(*keys).agg(F.collect_list("span").alias("spans"))
     return packed.join(ranges, keys, "left").select("doc_id", "packed", "spans").mapInPandas(
         _cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     )

@@ -5,9 +5,12 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
+import zstandard
 
 from ledgerlark.llm.suffix_dedup import HOT, LoserTree, decode_run, encode_run, regions, remove_repeats, united
+from ledgerlark.llm.suffix_dedup import _runs as make_runs
 
 
 def brute(rows, length):
@@ -63,6 +66,43 @@ def test_production_length(make):
     assert Counter(map(tuple, got.collect())) == brute(enumerate(texts), 200)
 
 
+def hot_frame(text: bytes, copies: int) -> pd.DataFrame:
+    """Copies of a text whose anchors are all frequent."""
+    found = [r for r in regions(np.frombuffer(text, np.uint8), np.array([0]), np.array([len(text)]), 20, 8)]
+    codes = np.concatenate([((s << 16) | ((e - s) << 8) | (a - s)) * 2 + 1 for _, _, s, e, a in found])
+    return pd.DataFrame({"place": range(copies), "mark": 1, "regions": [codes] * copies,
+                         "packed": [zstandard.ZstdCompressor().compress(text)] * copies})
+
+
+def test_a_run_gives_on_one_occurrence_of_a_frequent_string():
+    text = bytes(random.Random(4).randbytes(300))
+    out = pd.concat(list(make_runs(4, 20, 8)(iter([hot_frame(text, 400)]))))
+    strings = Counter()
+    for run in out.run.dropna():
+        for _, right, sides in decode_run(run):
+            for left, refs in sides:
+                strings[left + right] += 1
+                assert len(refs) <= 1
+    assert strings == Counter(text[p : p + 20] for p in range(281))
+    ranges = out[out.part < 0]
+    assert Counter(ranges.place) == Counter(range(400)) and set(ranges.span) == {300}
+
+
+@pytest.mark.parametrize("copies, fan", [(40, 2), (40, 64), (3, 2), (1, 2)])
+def test_frequent_strings_meet_in_rounds(make, copies, fan):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    shared, once = noise(150), [noise(60) for _ in range(12)]
+    texts = [shared] * copies + [noise(5) + shared[20:90] + noise(9), *once, *(t[10:45] for t in once[:6])]
+    got = remove_repeats(make(texts), length=20, gram=8, hot=0, fan=fan)
+    assert Counter(map(tuple, got.collect())) == brute(enumerate(texts), 20)
+
+
+def test_at_least_two_runs_meet(make):
+    with pytest.raises(ValueError):
+        remove_repeats(make(["x"]), fan=1)
+
+
 def test_odd_documents(odd, nothing):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     assert Counter(map(tuple, remove_repeats(odd).collect())) == brute(rows, 200)
