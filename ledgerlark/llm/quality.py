@@ -149,17 +149,12 @@ def fit(texts: list[str], labels: list[int], epochs: int = 24, least_steps: int
     batches = -(-len(y) // batch)
     epochs = max(epochs, -(-least_steps // batches))
     step, steps = 0, epochs * batches
-    # Of a long text another part is seen in every epoch.
-    seen = 24 * (CHUNK - 1) * _BYTES
     for _ in range(epochs):
         order = rng.permutation(len(y))
         for lo in range(0, len(y), batch):
             rows = order[lo : lo + batch]
-            some = []
-            for i in rows:
-                spare = len(texts[i]) - seen
-                begin = int(rng.integers(0, spare + 1)) if spare > 0 else 0
-                some.append(texts[i][begin : begin + seen])
+            # Where a text shows its label is not known, so it is seen whole.
+            some = [texts[i] for i in rows]
             step += 1
             pace = rate * (1 - 0.9 * step / steps)
             for p, g, m, v in zip(state, net.gradients(some, y[rows]), first, second):

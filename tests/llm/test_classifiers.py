@@ -148,3 +148,15 @@ def test_convolution_gradients():
         places = np.argwhere(np.abs(grad) > 1e-3)
         for at in map(tuple, places[:: max(1, len(places) // 4)][:4]):
             assert abs(numeric(loss, getattr(net, name), at, 1e-5) - grad[at]) < 1e-2 * abs(grad[at]) + 1e-5
+
+
+def test_quality_trains_on_whole_texts(monkeypatch):
+    seen, gradients = [], quality.ByteNet.gradients
+
+    def spy(net, texts, y):
+        seen.append(sorted(map(len, texts)))
+        return gradients(net, texts, y)
+
+    monkeypatch.setattr(quality.ByteNet, "gradients", spy)
+    quality.fit(["a" * 20_000, "b" * 9], [1, 0], epochs=2, least_steps=2)
+    assert seen == [[9, 20_000]] * 2
