@@ -12,6 +12,7 @@ from ledgerlark.llm import (
     pii,
     quality,
     suffix_dedup,
+    token_counts,
     token_files,
     toxicity,
     url_filter,
@@ -80,6 +81,11 @@ def op9_fingerprints(spark: SparkSession, base: str) -> DataFrame:
     return fingerprint.fingerprints(load(spark, base, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, base: str) -> DataFrame:
+    """Bytes and tokens of every text."""
+    return token_counts.count_tokens(load(spark, base, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_near_dedup": op2_near_dedup,
@@ -91,6 +97,7 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op12_token_counts": op12_token_counts,
 }
 
 ORACLE = {
