@@ -34,7 +34,11 @@ CACHE = 500_000
 CACHE_CHARS = 256
 
 #: White space as byte-level vocabularies see it (fixed values).
-SPACE = "\t-\r \x85\xa0  -     　"
+SPACE = "\t-\r \x85\xa0" + "".join(
+    f"{chr(first)}-{chr(last)}"
+    for first, last in [(0x1680, 0x1680), (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F),
+                        (0x205F, 0x205F), (0x3000, 0x3000)]
+)
 #: How byte-level vocabularies cut (fixed values).
 CUT = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+"
