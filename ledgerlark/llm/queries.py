@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlark.llm import (
+    ball_codes,
     decontaminate,
     fingerprint,
     near_dedup,
     packing,
     pii,
     quality,
+    resampling,
     suffix_dedup,
     token_counts,
     token_files,
@@ -86,6 +88,16 @@ def op12_token_counts(spark: SparkSession, base: str) -> DataFrame:
     return token_counts.count_tokens(load(spark, base, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_vector_codes(spark: SparkSession, base: str) -> DataFrame:
+    """Codes of all vectors, 16 parts of 64 entries each."""
+    return ball_codes.vector_codes(load(spark, base, "embeddings"))
+
+
+def op13_resampling(spark: SparkSession, base: str) -> DataFrame:
+    """A quarter of the documents, drawn towards the benchmark's words."""
+    return resampling.resample(load(spark, base, "documents"), load(spark, base, "benchmark"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_near_dedup": op2_near_dedup,
@@ -97,7 +109,9 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op11_vector_codes": op11_vector_codes,
     "op12_token_counts": op12_token_counts,
+    "op13_resampling": op13_resampling,
 }
 
 ORACLE = {
@@ -142,4 +156,90 @@ its AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS l
 SELECT w.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(l, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op11_vector_codes": r"""
+WITH kept AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id, embedding) AS r,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x
+  FROM kept, unnest(range(16)) AS u(p)),
+c0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM parts WHERE r <= 64),
+"""
+    + "".join(
+        f"""
+a{i} AS MATERIALIZED (
+  SELECT r, p, least % 64 AS e, least // 64 AS d
+  FROM (SELECT r, parts.p, min(CAST(list_inner_product(x, x) - 2 * list_inner_product(x, c)
+               + list_inner_product(c, c) AS BIGINT) * 64 + e) AS least
+        FROM parts JOIN c{i} ON parts.p = c{i}.p GROUP BY r, parts.p)),
+"""
+        + (f"""
+m{i} AS (
+  SELECT p, e, list(m ORDER BY k) AS c
+  FROM (SELECT p, e, k, floor(sum(x[k]) / count(*)) AS m
+        FROM a{i} JOIN parts USING (r, p), unnest(range(1, len(x) + 1)) AS u(k) GROUP BY p, e, k)
+  GROUP BY p, e),
+c{i + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (p, e)),
+""" if i < 2 else "")
+        for i in range(3)
+    )
+    + r"""
+digest AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, k)) AS s
+  FROM (SELECT p, e, unnest(c) AS x, unnest(range(len(c))) AS k FROM c2)),
+codes AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d) AS error FROM a2 GROUP BY r)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error,
+       CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, s AS codebooks_sha256
+FROM kept JOIN codes USING (r), digest""",
+    "op13_resampling": r"""
+WITH RECURSIVE texts AS (
+  SELECT 'd' AS side, doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
+  UNION ALL SELECT 'b', NULL, row_number() OVER (), coalesce(text, '') FROM benchmark),
+words AS MATERIALIZED (
+  SELECT side, doc_id, r, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts),
+feats AS MATERIALIZED (
+  SELECT side, r, unnest(w) AS f FROM words
+  UNION ALL
+  SELECT side, r, w[i] || ' ' || w[i + 1] FROM words, unnest(range(1, len(w))) AS u(i)),
+table_of AS MATERIALIZED (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                          b) ORDER BY b) AS t
+  FROM range(256) AS u(b)),
+names AS MATERIALIZED (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM feats)),
+crc AS (
+  SELECT f, h, 0 AS i, CAST(4294967295 AS BIGINT) AS c FROM names
+  UNION ALL
+  SELECT f, h, i + 1,
+         xor(c >> 8, t[1 + (xor(c, CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)) & 255)])
+  FROM crc, table_of WHERE 2 * i < length(h)),
+buckets AS MATERIALIZED (SELECT f, xor(c, 4294967295) % 10000 AS b FROM crc WHERE 2 * i = length(h)),
+counts AS (
+  SELECT b, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+  FROM feats JOIN buckets USING (f) GROUP BY b),
+totals AS (SELECT CAST(sum(s) AS DOUBLE) AS s_all, CAST(sum(t) AS DOUBLE) AS t_all FROM counts),
+gain AS (
+  SELECT b, CAST(floor(1000 * ln((t + 1) * (s_all + 10000) / ((s + 1) * (t_all + 10000)))) AS BIGINT) AS g
+  FROM counts, totals),
+mean AS (
+  SELECT r, count(*) AS n_features, CAST(floor(sum(g) / count(*)) AS BIGINT) AS weight
+  FROM feats JOIN buckets USING (f) JOIN gain USING (b) WHERE side = 'd' GROUP BY r),
+scored AS (
+  SELECT doc_id, r, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || coalesce(
+           CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM words LEFT JOIN mean USING (r) WHERE side = 'd'),
+placed AS (
+  SELECT *, n_words >= 20 AS able,
+         row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+         count(*) OVER (PARTITION BY n_words >= 20) AS n
+  FROM scored)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN able AND place <= 25 * n // 100 THEN place END AS rank
+FROM placed""",
 }
