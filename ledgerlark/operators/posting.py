@@ -2,21 +2,25 @@
 
 Requests are decided as if one came after the other. A product's stock admits a
 request if what is left covers it; a refused request leaves the stock to later ones,
-so a plain running sum is not enough. The decision is still made without gathering a
-product's requests in one task, in rounds. With R left of a product, a request is
-light up to half of R and heavy beyond. A running sum of the light ones finds the
-first heavy request that still fits, or the first light one that takes the sum past
-half of R. Before it every light request is admitted and every heavy one refused; it
-is admitted itself, and what is left then is at most half of R. So there are at most
-as many rounds as the largest stock has binary digits, and one more, however many
-requests there are.
+so a plain running sum is not enough. The requests of a product are folded in order where
+they are few. A product with more than ``FOLD`` of them is decided in rounds, without
+gathering its requests in one task. With R left of a product, a request is light up to half of
+R and heavy beyond. A running sum of the light ones finds the first heavy request that
+still fits, or the first light one that takes the sum past half of R. Before it every
+light request is admitted and every heavy one refused; it is admitted itself, and what is
+left then is at most half of R. So there are at most as many rounds as the largest
+stock has binary digits, and one more, however many requests there are.
 
 A transaction number is taken by the first request that is admitted under it, and a
-request refused for the stock frees it again. That couples the products, so the
-requests that may claim their number are found by iteration: each pass decides the
-products whose claims have changed, and a request claims its number unless an
-earlier one was admitted under it. What a pass decides is final up to the first
-request that it got wrong, so the passes end at the answer of the plain order.
+request refused for the stock frees it again. That couples the products: whether a
+request behind the first of its number may claim it hangs on requests for other products,
+and those on claims in turn. The claims are found in passes. A pass decides the products
+with the claims supposed so far, and notes for every request what would become of it if
+the claim ahead of it in its product were the other way round. So each claim follows from one
+other claim by a function of a single truth value, and composing these functions, two links
+at a time, settles chains of any length in logarithmically many joins. The next pass
+supposes the claims found. What a pass decides is final at least up to the first claim
+that was wrong, and a pass that finds the claims it supposed ends the search.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ from ledgerlark.operators.joins import resolve
 from ledgerlark.operators.ordering import number_rows, part_numbers, running_total
 from ledgerlark.session import materialise
 
+#: Requests of one product that are folded in one task; more of them are decided in rounds.
+FOLD = 1000
+
 
 def _round(pending: DataFrame) -> DataFrame:
     """Pending requests with their verdict, or with what is left if they stay pending."""
@@ -77,6 +84,158 @@ def admit_in_order(requests: DataFrame, product: str, seq: str, quantity: str, s
     )
 
 
+#: What is known of a request when its product is decided with the claims supposed: whether
+#: it is ``admitted``; whether there is ``room`` for it, claim or not; the claim in doubt
+#: ``ahead`` of it in its product, if any; that claim as supposed; and whether it would be
+#: admitted if that claim were the ``other`` way round.
+_FATE = "seq bigint, claims boolean, admitted boolean, room boolean, ahead bigint, ahead_claims boolean, other boolean"
+
+
+def _fold(requests: DataFrame) -> DataFrame:
+    """Fates of the requests of products that have few, each product in one fold."""
+    grouped = requests.groupBy("product").agg(
+        F.max("stock").alias("stock"),
+        F.array_sort(F.collect_list(F.struct("seq", "quantity", "claims", "doubtful"))).alias("in_order"),
+    )
+
+    def sold(flag: Column, request: Column) -> Column:
+        return F.when(flag, request["quantity"]).otherwise(F.lit(0))
+
+    def step(state: Column, request: Column) -> Column:
+        room = request["quantity"] <= state["rest"]
+        admitted = request["claims"] & room
+        other = F.when(state["ahead"].isNull(), admitted).otherwise(
+            request["claims"] & (request["quantity"] <= state["other_rest"])
+        )
+        fate = F.struct(
+            request["seq"].alias("seq"), request["claims"].alias("claims"), admitted.alias("admitted"),
+            room.alias("room"), state["ahead"].alias("ahead"), state["ahead_claims"].alias("ahead_claims"),
+            other.alias("other"),
+        )
+        return F.struct(
+            (state["rest"] - sold(admitted, request)).alias("rest"),
+            F.when(request["doubtful"], state["rest"] - sold(~request["claims"] & room, request))
+            .otherwise(state["other_rest"] - sold(other, request)).alias("other_rest"),
+            F.when(request["doubtful"], request["seq"]).otherwise(state["ahead"]).alias("ahead"),
+            F.when(request["doubtful"], request["claims"]).otherwise(state["ahead_claims"]).alias("ahead_claims"),
+            F.concat(state["fates"], F.array(fate)).alias("fates"),
+        )
+
+    start = F.struct(
+        F.col("stock").alias("rest"),
+        F.lit(None).cast("bigint").alias("other_rest"),
+        F.lit(None).cast("bigint").alias("ahead"),
+        F.lit(None).cast("boolean").alias("ahead_claims"),
+        F.array().cast(f"array<struct<{_FATE.replace(' bigint', ':bigint').replace(' boolean', ':boolean')}>>").alias("fates"),
+    )
+    folded = grouped.select("product", F.aggregate("in_order", start, step)["fates"].alias("fates"))
+    return folded.select("product", F.inline("fates"))
+
+
+def _rounds(requests: DataFrame) -> DataFrame:
+    """Fates of the requests of products that have many; see ``admit_in_order``."""
+    verdicts = admit_in_order(requests.where("claims"), "product", "seq", "quantity", "stock")
+    rows = materialise(
+        requests.join(verdicts, ["product", "seq"], "left")
+        .withColumn("admitted", F.coalesce("admitted", F.lit(False)))
+        .withColumn("sold", F.when(F.col("admitted"), F.col("quantity")).otherwise(0))
+        .withColumn("one", F.col("doubtful").cast("bigint"))
+    )
+    part = part_numbers(rows, ["product"], ["seq"])
+    rows = running_total(rows.withColumn("part", part), ["product"], ["seq"], "sold", "upto", part="part")
+    rows = running_total(rows, ["product"], ["seq"], "one", "segment", part="part")
+    rows = materialise(
+        rows.withColumn("rest", F.col("stock") - F.col("upto") + F.col("sold"))
+        .withColumn("room", F.col("quantity") <= F.col("rest"))
+        .withColumn("segment", F.col("segment") - F.col("one"))
+    )
+    # What would be left behind each doubtful claim if it were the other way round.
+    heads = rows.where("doubtful").select(
+        "product", (F.col("segment") + 1).alias("segment"), F.col("seq").alias("ahead"),
+        F.col("claims").alias("ahead_claims"),
+        (F.col("rest") - F.when(~F.col("claims") & F.col("room"), F.col("quantity")).otherwise(0)).alias("other_rest"),
+    )
+    rows = materialise(rows.join(heads, ["product", "segment"], "left"))
+    others = admit_in_order(
+        rows.where(F.col("claims") & F.col("ahead").isNotNull()), "ahead", "seq", "quantity", "other_rest"
+    ).select("seq", F.col("admitted").alias("other"))
+    other = F.when(F.col("ahead").isNull(), F.col("admitted")).otherwise(F.coalesce("other", F.lit(False)))
+    return rows.join(others, "seq", "left").withColumn("other", other).select(
+        "product", "seq", "claims", "admitted", "room", "ahead", "ahead_claims", "other"
+    )
+
+
+def _fates(requests: DataFrame, any_large: bool) -> DataFrame:
+    few = _fold(requests.where(~F.col("large")))
+    return few.unionByName(_rounds(requests.where("large"))) if any_large else few
+
+
+def _links(state: DataFrame) -> DataFrame:
+    """Each doubtful claim as a function of one other: ``f0`` is what it is if the claim
+    ``parent`` is not there, ``f1`` if it is; without a parent both are what is found.
+
+    ``state`` holds the fates of all requests that share a number, with ``number`` and
+    ``doubtful``. A claim falls with the first request admitted under its number; where
+    there is none so far, it would fall with the first that could be.
+    """
+    own = F.col("doubtful") & F.col("room")
+    could = ~F.col("admitted") & (own | (F.col("claims") & F.col("other")))
+    numbers = state.groupBy("number").agg(
+        F.min(F.when(F.col("admitted"), F.col("seq"))).alias("holder"),
+        F.min(F.when(could, F.col("seq"))).alias("maybe"),
+    )
+    claims = state.where("doubtful").select("seq", "product", "number").join(numbers, "number")
+    held = F.coalesce(F.col("holder") < F.col("seq"), F.lit(False))
+    claims = claims.select(
+        "seq", "product", (~held).alias("found"),
+        F.when(held, F.col("holder")).when(F.col("maybe") < F.col("seq"), F.col("maybe")).alias("rival"),
+    )
+    rivals = state.select(
+        F.col("seq").alias("rival"), own.alias("own"), "ahead", "ahead_claims", "other"
+    )
+    joined = claims.join(rivals, "rival", "left")
+    parent = F.when(F.col("own"), F.col("rival")).otherwise(F.col("ahead"))
+    # The claim if its parent is as supposed, and if it is the other way round.
+    same, turned = F.col("found"), ~F.col("other")
+    f0 = F.when(F.col("own"), True).when(F.col("ahead_claims"), turned).otherwise(same)
+    f1 = F.when(F.col("own"), False).when(F.col("ahead_claims"), same).otherwise(turned)
+    linked = joined.select(
+        "seq", "product", "found", parent.alias("parent"),
+        F.coalesce(f0, F.col("found")).alias("f0"), F.coalesce(f1, F.col("found")).alias("f1"),
+    )
+    settled = F.col("parent").isNull() | (F.col("f0") == F.col("f1"))
+    return linked.select(
+        "seq", "product", "found",
+        F.when(~settled, F.col("parent")).alias("parent"),
+        F.when(F.col("parent").isNull(), F.col("found")).otherwise(F.col("f0")).alias("f0"),
+        F.when(F.col("parent").isNull(), F.col("found")).otherwise(F.col("f1")).alias("f1"),
+    )
+
+
+def _composed(links: DataFrame) -> DataFrame:
+    """All claims as truth values ``claims``: every step puts a parent's own function in place of
+    the parent, so a chain of n links is settled in about log2(n) steps."""
+    while not links.where(F.col("parent").isNotNull()).isEmpty():
+        above = links.select(
+            F.col("seq").alias("parent"), F.col("parent").alias("next"), F.col("f0").alias("p0"), F.col("f1").alias("p1")
+        )
+        joined = links.join(above, "parent", "left")
+
+        def through(value: str, own: str) -> Column:
+            found = F.when(F.col(value), F.col("f1")).otherwise(F.col("f0"))
+            return F.when(F.col("parent").isNull(), F.col(own)).otherwise(found)
+
+        stepped = joined.select(
+            "seq", "product", "next", through("p0", "f0").alias("f0"), through("p1", "f1").alias("f1")
+        )
+        links = materialise(
+            stepped.select(
+                "seq", "product", F.when(F.col("f0") != F.col("f1"), F.col("next")).alias("parent"), "f0", "f1"
+            )
+        )
+    return links.select("seq", "product", F.col("f0").alias("claims"))
+
+
 def admit_with_numbers(requests: DataFrame) -> DataFrame:
     """Each request by ``seq`` with ``claims``, whether its number was still free, and
     ``admitted``, whether the stock covered it if so.
@@ -84,38 +243,52 @@ def admit_with_numbers(requests: DataFrame) -> DataFrame:
     requests ``(seq, number, product_id, quantity, stock)``, all of them valid but
     for number and stock.
     """
-    requests = materialise(requests.select("seq", "number", "product_id", "quantity", "stock"))
-    rivals = materialise(
-        requests.join(
-            requests.groupBy("number").count().where(F.col("count") > 1).select("number"), "number", "left_semi"
-        ).select("seq", "number", "product_id")
-    )
-    first = rivals.groupBy("number").agg(F.min("seq").alias("seq"))
-    waiting = materialise(rivals.join(first.select("seq"), "seq", "left_anti").select("seq", "product_id"))
-    touched, verdicts = None, None
-    while True:
-        open_now = requests.join(waiting.select("seq"), "seq", "left_anti")
-        if touched is not None:
-            open_now = open_now.join(touched, "product_id", "left_semi")
-            verdicts = verdicts.join(touched, "product_id", "left_anti")
-        fresh = admit_in_order(open_now, "product_id", "seq", "quantity", "stock")
-        verdicts = materialise(fresh if verdicts is None else verdicts.unionByName(fresh))
-        # Of the requests that share a number, those behind an admitted one wait.
-        holders = (
-            rivals.join(verdicts.where("admitted").select("seq"), "seq", "left_semi")
-            .groupBy("number").agg(F.min("seq").alias("holder"))
-        )
-        now = materialise(
-            rivals.join(holders, "number").where(F.col("seq") > F.col("holder")).select("seq", "product_id")
+    narrow = requests.select(
+        F.col("seq").cast("bigint").alias("seq"), "number", F.col("product_id").alias("product"),
+        F.col("quantity").cast("bigint").alias("quantity"), F.col("stock").cast("bigint").alias("stock"),
+    )
+    shared = narrow.groupBy("number").agg(F.count("*").alias("_n"), F.min("seq").alias("_first"))
+    many = narrow.groupBy("product").agg(F.count("*").alias("_n")).where(F.col("_n") > FOLD)
+    flagged = (
+        narrow.join(shared.where(F.col("_n") > 1).drop("_n"), "number", "left")
+        .join(many.select("product", F.lit(True).alias("large")), "product", "left")
+    )
+    flagged = materialise(
+        flagged.select(
+            "seq", "number", "product", "quantity", "stock",
+            F.coalesce("large", F.lit(False)).alias("large"),
+            F.col("_first").isNotNull().alias("shares"),
+            F.coalesce(F.col("seq") > F.col("_first"), F.lit(False)).alias("doubtful"),
         )
-        changed = now.join(waiting, "seq", "left_anti").unionByName(waiting.join(now, "seq", "left_anti"))
-        touched = materialise(changed.select("product_id").distinct())
-        waiting = now
-        if touched.isEmpty():
-            break
-    return requests.select("seq").join(verdicts.select("seq", "admitted"), "seq", "left").select(
-        "seq", F.col("admitted").isNotNull().alias("claims"), F.coalesce("admitted", F.lit(False)).alias("admitted")
     )
+    any_large = not flagged.where("large").isEmpty()
+    rivals = flagged.where("shares").select("seq", "number", "doubtful")
+    # At first the first request under each number is supposed to get it.
+    claims = flagged.where("doubtful").select("seq", "product", F.lit(False).alias("claims"))
+    open_now, verdicts, touched, state = flagged, [], [], None
+    while True:
+        supposed = claims.select("seq", F.col("claims").alias("_claims"))
+        open_now = open_now.join(supposed, "seq", "left").withColumn("claims", F.coalesce("_claims", F.lit(True)))
+        fresh = materialise(_fates(open_now, any_large))
+        verdicts.append(fresh.select("product", "seq", "claims", "admitted"))
+        state_now = fresh.join(rivals, "seq")
+        if state is not None:
+            state_now = state_now.unionByName(state.join(touched[-1], "product", "left_anti"))
+        state = materialise(state_now)
+        links = materialise(_links(state))
+        if links.join(supposed, "seq").where(F.col("found") != F.col("_claims")).isEmpty():
+            break
+        claims = _composed(links)
+        wrong = claims.join(supposed, "seq").where(F.col("claims") != F.col("_claims"))
+        touched.append(materialise(wrong.select("product").distinct()))
+        open_now = flagged.join(touched[-1], "product", "left_semi")
+    # The last verdict on each product holds.
+    last = []
+    for i, verdict in enumerate(verdicts):
+        for later in touched[i:]:
+            verdict = verdict.join(later, "product", "left_anti")
+        last.append(verdict.select("seq", "claims", "admitted"))
+    return reduce(DataFrame.unionByName, last)
 
 
 class Posting(NamedTuple):

@@ -207,3 +207,66 @@ def test_headers_lines_and_stock_agree(posting):
         key=repr,
     )
     assert bag(posting.stock.select("product_id", "stock_quantity")) == [(1, 0), (2, 7), (3, 4)]
+
+
+def chain(n):
+    """Alternately refused for stock and admitted, each because of the one before."""
+    requests = [(0, "N1", 0, 5, 1)]
+    for i in range(1, n):
+        requests += [(2 * i - 1, f"N{i}", i, 1, 1), (2 * i, f"N{i + 1}", i, 1, 1)]
+    return requests
+
+
+def counted(spark, monkeypatch, requests):
+    """The verdicts, and the numbers of passes and of compositions they took."""
+    passes, steps = [], []
+    fates, materialise = posting_operator._fates, posting_operator.materialise
+    monkeypatch.setattr(posting_operator, "_fates", lambda *a: passes.append(1) or fates(*a))
+    monkeypatch.setattr(
+        posting_operator, "materialise",
+        lambda df: (steps.append(1) if "f1" in df.columns else None) or materialise(df),
+    )
+    df = spark.createDataFrame(requests, "seq long, number string, product_id long, quantity int, stock int")
+    got = {r.seq: (r.claims, r.admitted) for r in posting_operator.admit_with_numbers(df).collect()}
+    return got, len(passes), len(steps)
+
+
+@pytest.mark.parametrize("n", [2, 9, 64, 500])
+def test_a_chain_of_claims_takes_logarithmic_steps(spark, monkeypatch, n):
+    got, passes, steps = counted(spark, monkeypatch, chain(n))
+    assert got == posted_by_loop(chain(n))
+    assert passes <= 2
+    assert steps <= n.bit_length() + 3
+
+
+@pytest.mark.parametrize("fold", [0, 1000])
+@pytest.mark.parametrize("seed", range(3))
+def test_fold_and_rounds_agree_on_tangled_claims(spark, monkeypatch, fold, seed):
+    """Few products and numbers, so that every claim hangs on many others."""
+    monkeypatch.setattr(posting_operator, "FOLD", fold)
+    rng = random.Random(seed)
+    stocks = [rng.choice([1, 4, 9]) for _ in range(4)]
+    requests = []
+    for seq in range(60):
+        product = rng.randrange(4)
+        requests.append((seq, f"N{rng.randrange(12)}", product, rng.randrange(1, 5), stocks[product]))
+    got, passes, _ = counted(spark, monkeypatch, requests)
+    assert got == posted_by_loop(requests)
+    assert passes <= 12
+
+
+def test_a_number_and_a_product_may_hold_a_third(spark, monkeypatch):
+    monkeypatch.setattr(posting_operator, "FOLD", 200)
+    rng = random.Random(9)
+    requests = []
+    for seq in range(900):
+        product = 0 if rng.random() < 0.4 else rng.randrange(40)
+        number = "HOT" if rng.random() < 0.35 else f"N{rng.randrange(500)}"
+        requests.append((seq, number, product, rng.randrange(1, 9), 40))
+    got, _, _ = counted(spark, monkeypatch, requests)
+    assert got == posted_by_loop(requests)
+
+
+def test_no_requests(spark):
+    df = spark.createDataFrame([], "seq long, number string, product_id long, quantity int, stock int")
+    assert posting_operator.admit_with_numbers(df).collect() == []
