@@ -214,26 +214,30 @@ def _links(state: DataFrame) -> DataFrame:
 
 def _composed(links: DataFrame) -> DataFrame:
     """All claims as truth values ``claims``: every step puts a parent's own function in place of
-    the parent, so a chain of n links is settled in about log2(n) steps."""
-    while not links.where(F.col("parent").isNotNull()).isEmpty():
-        above = links.select(
+    the parent, so a chain of n links is settled in about log2(n) steps. Only claims that are
+    not settled yet are carried from step to step; ``links`` is a written table."""
+    settled = [links.where(F.col("parent").isNull()).drop("found")]
+    moving = links.where(F.col("parent").isNotNull()).drop("found")
+    while not moving.isEmpty():
+        known = reduce(DataFrame.unionByName, settled).unionByName(moving)
+        above = known.select(
             F.col("seq").alias("parent"), F.col("parent").alias("next"), F.col("f0").alias("p0"), F.col("f1").alias("p1")
         )
-        joined = links.join(above, "parent", "left")
 
-        def through(value: str, own: str) -> Column:
-            found = F.when(F.col(value), F.col("f1")).otherwise(F.col("f0"))
-            return F.when(F.col("parent").isNull(), F.col(own)).otherwise(found)
+        def through(value: str) -> Column:
+            return F.when(F.col(value), F.col("f1")).otherwise(F.col("f0"))
 
-        stepped = joined.select(
-            "seq", "product", "next", through("p0", "f0").alias("f0"), through("p1", "f1").alias("f1")
+        stepped = moving.join(above, "parent").select(
+            "seq", "product", "next", through("p0").alias("f0"), through("p1").alias("f1")
         )
-        links = materialise(
+        stepped = materialise(
             stepped.select(
                 "seq", "product", F.when(F.col("f0") != F.col("f1"), F.col("next")).alias("parent"), "f0", "f1"
             )
         )
-    return links.select("seq", "product", F.col("f0").alias("claims"))
+        settled.append(stepped.where(F.col("parent").isNull()))
+        moving = stepped.where(F.col("parent").isNotNull())
+    return reduce(DataFrame.unionByName, settled).select("seq", "product", F.col("f0").alias("claims"))
 
 
 def admit_with_numbers(requests: DataFrame) -> DataFrame:
@@ -298,30 +302,16 @@ class Posting(NamedTuple):
     stock: DataFrame
 
 
-def post_sales(
+def decide_sales(
     requests: DataFrame,
     customers: DataFrame,
     employees: DataFrame,
     products: DataFrame,
     posted: DataFrame,
-    last_id: int | Column = 0,
-    today: Column | None = None,
-    status: str = "pending",
-    payment: str = "card",
-) -> Posting:
-    """Decide on sale requests, in the order of ``seq``.
-
-    requests ``(seq, transaction_number, customer_email, employee_email,
-    brand_name, model_name, quantity, transaction_date)``; customers
-    ``(customer_id, email)``; employees ``(employee_id, email)``; products
-    ``(product_id, brand_name, model_name, unit_price, stock_quantity)``;
-    posted ``(transaction_number)``.
+) -> DataFrame:
+    """Every request with what it was resolved to and the ``reason`` of its refusal, if any.
 
-    A number is taken by a posted sale, or by the first request that is posted
-    under it. Headers are numbered in the order of ``seq`` behind ``last_id``; a
-    request without a date gets ``today``, and ``status`` and ``payment`` are those
-    of all headers. All outputs follow from one decision, whose inputs are written
-    out once; its rounds run before this returns.
+    Arguments are those of ``post_sales``. The result is a written table.
     """
     resolved = resolve(requests, customers, {"customer_email": "email"}, ["customer_id"], "left")
     resolved = resolve(resolved, employees, {"employee_email": "email"}, ["employee_id"], "left")
@@ -369,10 +359,28 @@ def post_sales(
         .when(~F.col("claims"), F.lit("transaction number already exists"))
         .when(~F.col("admitted"), F.lit("not enough stock")),
     )
-    decided = materialise(decided.drop("claims", "admitted", "stock_quantity"))
-    accepted = number_rows(
-        decided.where(F.col("reason").isNull()), [F.col("seq")], "sales_transaction_id", last_id, unique=True
-    )
+    return materialise(decided.drop("claims", "admitted", "stock_quantity"))
+
+
+def accepted_sales(decided: DataFrame, last_id: int | Column = 0) -> DataFrame:
+    """The accepted requests of a written decision, numbered in the order of ``seq`` behind ``last_id``."""
+    accepted = decided.where(F.col("reason").isNull())
+    return materialise(number_rows(accepted, [F.col("seq")], "sales_transaction_id", last_id, unique=True))
+
+
+def post_decided(
+    decided: DataFrame,
+    accepted: DataFrame,
+    products: DataFrame,
+    today: Column | None = None,
+    status: str = "pending",
+    payment: str = "card",
+) -> Posting:
+    """What a decision (see ``decide_sales`` and ``accepted_sales``) posts.
+
+    A request without a date gets ``today``, and ``status`` and ``payment`` are those of
+    all headers.
+    """
     headers = accepted.select(
         "sales_transaction_id",
         "transaction_number",
@@ -392,3 +400,29 @@ def post_sales(
         .drop("_sold")
     )
     return Posting(decided, headers, lines, stock)
+
+
+def post_sales(
+    requests: DataFrame,
+    customers: DataFrame,
+    employees: DataFrame,
+    products: DataFrame,
+    posted: DataFrame,
+    last_id: int | Column = 0,
+    today: Column | None = None,
+    status: str = "pending",
+    payment: str = "card",
+) -> Posting:
+    """Decide on sale requests, in the order of ``seq``, and post those that are accepted.
+
+    requests ``(seq, transaction_number, customer_email, employee_email,
+    brand_name, model_name, quantity, transaction_date)``; customers
+    ``(customer_id, email)``; employees ``(employee_id, email)``; products
+    ``(product_id, brand_name, model_name, unit_price, stock_quantity)``;
+    posted ``(transaction_number)``.
+
+    A number is taken by a posted sale, or by the first request that is posted
+    under it. All outputs follow from one decision, which is made before this returns.
+    """
+    decided = decide_sales(requests, customers, employees, products, posted)
+    return post_decided(decided, accepted_sales(decided, last_id), products, today, status, payment)

@@ -17,7 +17,7 @@ from ledgerlark.operators import joins, merge, policy, posting, quality
 from ledgerlark.operators.ordering import peer_numbers
 from ledgerlark.plans import rental_reports, sales_reports, table_functions
 from ledgerlark.plans.loading import load_favourites
-from ledgerlark.session import configure, materialise, shared_dir
+from ledgerlark.session import configure, materialise, shared_dir, written_once
 from ledgerlark.sources import bindings as b
 from ledgerlark.sources import inline, tables
 from ledgerlark.sources.tables import load, money
@@ -710,7 +710,7 @@ def column_change_rejects(spark, base):
     return _change_log(spark, base).decided.where(F.col("reason").isNotNull())
 
 
-def _posting(spark, base):
+def _decide(spark, base):
     products = b.store_products(spark, base)
     lines = load(spark, base, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
@@ -749,10 +749,23 @@ def _posting(spark, base):
     posted = load(spark, base, "orders").where(F.col("o_orderstatus") == "P").select(
         F.concat(F.lit("TX-"), F.col("o_orderkey").cast("string"), F.lit("-1")).alias("transaction_number")
     )
-    return posting.post_sales(
-        requests, customers, employees, products.where(F.col("category_name") != "PROMO"), posted,
-        last_id=load(spark, base, "orders").agg(F.max("o_orderkey")).scalar(),
-        today=F.lit(date(2026, 1, 1)).cast("timestamp_ntz"),
+    return posting.decide_sales(requests, customers, employees, _sold_products(spark, base), posted)
+
+
+def _sold_products(spark, base):
+    return b.store_products(spark, base).where(F.col("category_name") != "PROMO")
+
+
+def _posting(spark, base):
+    """One decision for all queries over the same tables."""
+    paths = [f"{base}/{name}.parquet" for name in ("lineitem", "orders", "part", "customer", "supplier")]
+    decided = written_once(spark, "decided sales", paths, lambda: _decide(spark, base))
+    last_id = load(spark, base, "orders").agg(F.max("o_orderkey")).scalar()
+    accepted = written_once(
+        spark, "accepted sales", paths, lambda: posting.accepted_sales(decided, last_id)
+    )
+    return posting.post_decided(
+        decided, accepted, _sold_products(spark, base), today=F.lit(date(2026, 1, 1)).cast("timestamp_ntz")
     )
 
 

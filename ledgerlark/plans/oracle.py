@@ -222,39 +222,47 @@ WITH numbered AS (
     FROM req
 )"""
 
-# Each pass decides the requests that may claim their number by the pass before it;
-# the first assumes that the first request under a number gets it. The passes stand
-# still long before the last one (tests/test_posting.py holds the result against a
-# loop over the requests).
-PASSES = 6
-
-
-def _pass(i: int) -> str:
-    claims = (
-        "seq = min(seq) OVER (PARTITION BY transaction_number)" if i == 0 else "holder IS NULL OR seq <= holder"
+# Request by request: a step takes the requests that are next both in their product and under
+# their number, and leaves what is left of the product's stock and whether the number is taken.
+_posting = _posting.replace("WITH ", "WITH RECURSIVE ", 1) + """
+, valid AS MATERIALIZED (
+    SELECT seq, transaction_number AS number, product_id AS product, quantity, stock,
+           row_number() OVER (PARTITION BY product_id ORDER BY seq) AS in_product,
+           row_number() OVER (PARTITION BY transaction_number ORDER BY seq) AS in_number
+    FROM checked WHERE reason0 IS NULL
+), steps AS (
+    SELECT 'product' AS kind, CAST(product AS VARCHAR) AS id, CAST(1 AS BIGINT) AS next,
+           CAST(any_value(stock) AS BIGINT) AS val, FALSE AS claims, FALSE AS admitted FROM valid GROUP BY product
+    UNION ALL
+    SELECT 'number', number, 1, 0, FALSE, FALSE FROM valid GROUP BY number
+    UNION ALL
+    SELECT * FROM (
+        WITH ready AS (
+            SELECT v.seq, v.number, v.product, p.next AS p_next, n.next AS n_next, p.val AS rest, v.quantity,
+                   n.val = 0 AS claims, n.val = 0 AND v.quantity <= p.val AS admitted
+            FROM valid v
+            JOIN steps p ON p.kind = 'product' AND p.id = CAST(v.product AS VARCHAR) AND p.next = v.in_product
+            JOIN steps n ON n.kind = 'number' AND n.id = v.number AND n.next = v.in_number
+        )
+        SELECT 'product' AS kind, p.id, p.next + CASE WHEN r.seq IS NULL THEN 0 ELSE 1 END AS next,
+               p.val - CASE WHEN r.admitted THEN r.quantity ELSE 0 END AS val, FALSE AS claims, FALSE AS admitted
+        FROM steps p LEFT JOIN ready r ON p.id = CAST(r.product AS VARCHAR)
+        WHERE p.kind = 'product' AND EXISTS (SELECT 1 FROM ready)
+        UNION ALL
+        SELECT 'number', n.id, n.next + CASE WHEN r.seq IS NULL THEN 0 ELSE 1 END,
+               CASE WHEN r.admitted THEN r.seq ELSE n.val END, FALSE, FALSE
+        FROM steps n LEFT JOIN ready r ON n.id = r.number
+        WHERE n.kind = 'number' AND EXISTS (SELECT 1 FROM ready)
+        UNION ALL
+        SELECT 'request', CAST(seq AS VARCHAR), seq, 0, claims, admitted FROM ready
     )
-    holder = "" if i == 0 else f" LEFT JOIN holders{i - 1} USING (transaction_number)"
-    return f"""
-, open{i} AS MATERIALIZED (
-    SELECT * FROM (SELECT c.*, {claims} AS claims FROM checked c{holder} WHERE reason0 IS NULL) WHERE claims
-), taken{i} AS MATERIALIZED (
-    SELECT unnest(state.taken) AS seq FROM (SELECT list_reduce(
-        list_prepend({{'seq': CAST(0 AS BIGINT), 'qty': CAST(0 AS BIGINT), 'left_': CAST(any_value(stock) AS BIGINT), 'taken': CAST([] AS BIGINT[])}},
-            list({{'seq': CAST(seq AS BIGINT), 'qty': CAST(quantity AS BIGINT), 'left_': CAST(0 AS BIGINT), 'taken': CAST([] AS BIGINT[])}} ORDER BY seq)),
-        lambda a, r: CASE WHEN r.qty <= a.left_
-            THEN {{'seq': r.seq, 'qty': r.qty, 'left_': a.left_ - r.qty, 'taken': list_append(a.taken, r.seq)}}
-            ELSE a END) AS state FROM open{i} GROUP BY product_id)
-), holders{i} AS MATERIALIZED (
-    SELECT transaction_number, min(seq) AS holder FROM checked JOIN taken{i} USING (seq) GROUP BY 1
-)"""
-
-
-_posting += "".join(map(_pass, range(PASSES))) + f"""
-, decided AS (
-    SELECT *, CASE WHEN reason0 IS NOT NULL THEN reason0
-        WHEN seq NOT IN (SELECT seq FROM open{PASSES - 1}) THEN 'transaction number already exists'
-        WHEN seq NOT IN (SELECT seq FROM taken{PASSES - 1}) THEN 'not enough stock' END AS reason
-    FROM checked
+), fate AS MATERIALIZED (
+    SELECT next AS seq, claims, admitted FROM steps WHERE kind = 'request'
+), decided AS (
+    SELECT checked.*, CASE WHEN reason0 IS NOT NULL THEN reason0
+        WHEN NOT fate.claims THEN 'transaction number already exists'
+        WHEN NOT fate.admitted THEN 'not enough stock' END AS reason
+    FROM checked LEFT JOIN fate ON checked.seq = fate.seq
 ), posted AS (
     SELECT *, (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY seq) AS sales_transaction_id
     FROM decided WHERE reason IS NULL

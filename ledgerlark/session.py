@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,3 +67,34 @@ def materialise(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_WRITTEN: dict[tuple, DataFrame] = {}
+
+
+def _versions(spark: SparkSession, paths: list[str]) -> tuple:
+    """Files of each path with their length and time of change, so that a rewritten table is told
+    from the one before."""
+    jvm, conf = spark._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for path in paths:
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        fs = root.getFileSystem(conf)
+        for status in fs.listStatus(root):
+            found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return tuple(sorted(found))
+
+
+def written_once(spark: SparkSession, name: str, paths: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """The written table that ``build`` returns, shared by all who ask for ``name`` over the same files.
+
+    It is built again if a file under ``paths`` changed or if its own files are gone.
+    """
+    key = (spark.sparkContext.applicationId, name, _versions(spark, paths))
+    known = _WRITTEN.get(key)
+    if known is not None:
+        root = spark._jvm.org.apache.hadoop.fs.Path(known.inputFiles()[0] if known.inputFiles() else "/")
+        if root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
+            return known.sparkSession.read.schema(known.schema).parquet(root.getParent().toString())
+    _WRITTEN[key] = build()
+    return _WRITTEN[key]
