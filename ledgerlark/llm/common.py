@@ -22,6 +22,21 @@ def texts_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     )
 
 
+#: What stands for a null id where rows pass through pandas, which would turn a column of
+#: whole numbers with a null in it into floating point and round large ids.
+NO_ID = -(1 << 63)
+
+
+def carried(rows: DataFrame, column: str = "doc_id") -> DataFrame:
+    """``rows`` with ids that pass through pandas as whole numbers; see ``given_back``."""
+    return rows.withColumn(column, F.coalesce(column, F.lit(NO_ID)))
+
+
+def given_back(rows: DataFrame, column: str = "doc_id") -> DataFrame:
+    """``rows`` with the null ids that ``carried`` replaced."""
+    return rows.withColumn(column, F.nullif(F.col(column), F.lit(NO_ID)))
+
+
 def whole_row(docs: DataFrame) -> Column:
     """All columns as one, ``row``, so that their names meet no others."""
     return F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ledgerlark.llm.common import chunked, rolled, texts_of, whole_row, whole_text, word_bounds, word_table
+from ledgerlark.llm.common import carried, chunked, given_back, rolled, texts_of, whole_row, whole_text, word_bounds, word_table
 
 WINDOW = 10
 K = 5
@@ -67,8 +67,8 @@ def fingerprints(
 
 def _item_rows(benchmark: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """One row per distinct item: id, words, and where its fingerprints stand."""
-    items = texts_of(benchmark, id_column, text_column).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("item_id"), "text"
+    items = benchmark.select(
+        F.coalesce(F.col(id_column).cast("string"), F.lit("")).alias("item_id"), whole_text(text_column).alias("text")
     ).distinct()
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -102,23 +102,26 @@ def find_contamination(
     A word is hit inside any occurrence of a window of an item: ``WINDOW``
     consecutive words, or all words of an item that has fewer. Null texts, and
     texts without words, have no windows. Repeated documents are judged row by
-    row; repeated items count once per id; a null item id counts as the empty
-    id. Extra columns are left out.
+    row; repeated items count once per id; item ids are taken as text, and a null one
+    counts as the empty id. Extra columns are left out.
     """
     whole = texts_of(docs, id_column, text_column).withColumn("text_hash", F.xxhash64("text"))
     hits = _hits(whole, benchmark, item_column, text_column, max_sent)
     same = F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash"))
-    return whole.join(hits, same, "left").select("doc_id", "text", "hits").mapInPandas(
+    return given_back(carried(whole.join(hits, same, "left").select("doc_id", "text", "hits")).mapInPandas(
         _extend, "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint,"
         " items_sha256 string, contaminated boolean",
-    )
+    ))
 
 
 def keep_clean(
     docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", item_column: str = "item_id",
     text_column: str = "text", max_sent: int = MAX_SENT,
 ) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that hold no window of an item."""
+    """The rows of ``docs``, with all their columns, that hold no window of an item.
+
+    Null and empty texts hold none, so their rows stay; repeated rows stay or go alike.
+    """
     whole = texts_of(docs, id_column, text_column).withColumn("text_hash", F.xxhash64("text"))
     found = _hits(whole, benchmark, item_column, text_column, max_sent)
     rows = docs.select(
@@ -169,15 +172,14 @@ def _hits(
                 })
 
     # A document is its id and text, so that rows that share an id stay apart.
-    return (
-        whole.mapInPandas(prints, f"doc_id bigint, text_hash bigint, {_PRINT}")
+    return given_back(
+        carried(whole).mapInPandas(prints, f"doc_id bigint, text_hash bigint, {_PRINT}")
         .join(marks.select("fp", "item_id", "words", "item_pos"), "fp")
         .groupBy("doc_id", "text_hash", "item_id", "words")
         .agg(F.collect_set(F.col("pos") - F.col("item_pos")).alias("diagonals"))
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_list(F.struct("item_id", "words", "diagonals")).alias("hits"))
-        .withColumnsRenamed({"doc_id": "hit_id", "text_hash": "hit_hash"})
-    )
+    ).withColumnsRenamed({"doc_id": "hit_id", "text_hash": "hit_hash"})
 
 
 def _extend(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import mixed, range_number, rolled, seeds, texts_of, word_table
+from ledgerlark.llm.common import given_back, mixed, range_number, rolled, seeds, texts_of, word_table
 
 SAMPLES = 64
 SHINGLE = 2
@@ -149,14 +149,13 @@ def _in_order(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         whole.join(F.broadcast(bridge), "place")
         .groupBy("into", "place")
         .agg(F.min("text").alias("text"))
-        .select(F.lit(None).cast("bigint").alias("doc_id"), "text", "place",
-                F.col("into").alias("span"), F.lit(True).alias("borrowed"))
+        .select("text", "place", F.col("into").alias("span"), F.lit(True).alias("borrowed"))
     )
     return (
-        ranged.withColumn("borrowed", F.lit(False)).unionByName(borrowed)
+        ranged.drop("doc_id").withColumn("borrowed", F.lit(False)).unionByName(borrowed)
         .repartition("span")
         .sortWithinPartitions("span", "borrowed", F.desc("place"), "text")
-        .select("span", "borrowed", "doc_id", "text")
+        .select("span", "borrowed", "place", "text")
     )
 
 
@@ -189,7 +188,7 @@ def fingerprints(
             again = sampler.sign(changed)
             here, after = signs[own], signs[[i + 1 for i in own]]
             return pd.DataFrame({
-                "doc_id": pd.array([held[i][2] for i in own], "Int64"),
+                "doc_id": [held[i][2] for i in own],
                 "n_chars": [len(held[i][3]) for i in own],
                 "edited_sha256": [hashlib.sha256(t.encode("utf-8")).hexdigest() for t in changed],
                 "fingerprint": as_text(here), "edited_fingerprint": as_text(again),
@@ -197,9 +196,8 @@ def fingerprints(
             })
 
         for frame in frames:
-            ids = frame.doc_id.astype("Int64")
-            for span, borrowed, doc_id, text in zip(frame.span, frame.borrowed, ids, frame.text):
-                held.append((span, borrowed, None if doc_id is pd.NA else doc_id, text))
+            for span, borrowed, place, text in zip(frame.span, frame.borrowed, frame.place, frame.text):
+                held.append((span, borrowed, place, text))
                 size += len(text)
                 if size >= STEP and len(held) > 1:
                     yield flush()
@@ -208,7 +206,7 @@ def fingerprints(
         if len(held) > 1:
             yield flush()
 
-    return _in_order(docs, id_column, text_column).mapInPandas(
+    return given_back(_in_order(docs, id_column, text_column).mapInPandas(
         sign, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string,"
         " edited_fingerprint string, near_edited double, near_next double",
-    )
+    ))

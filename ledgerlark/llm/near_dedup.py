@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from ledgerlark.llm.common import chunked, mixed, rolled, seeds, texts_of, whole_row, word_table
+from ledgerlark.llm.common import carried, chunked, given_back, mixed, rolled, seeds, texts_of, whole_row, word_table
 from ledgerlark.llm.components import components
 from ledgerlark.session import materialise
 
@@ -515,27 +515,28 @@ def _branch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and n_links of every document.
+    """doc_id, n_shingles, component_id, kept and n_tree_links of every document.
 
     Documents are linked if their shingle sets reach the similarity; the component
     is the least id reachable over links, and the document that has it is kept.
-    Texts without words, null ones included, are linked with nothing. ``n_links``
-    counts verified links of the document's class, not all that it has. Rows that
+    Texts without words, null ones included, are linked with nothing. ``n_tree_links``
+    counts the links of the document's class in a spanning forest of the confirmed links,
+    not all that it has. Rows that
     share an id are judged row by row; of repeated rows each is kept or not alike.
     A null id is never kept. Extra columns are left out.
     """
     return _judged(texts_of(docs, id_column, text_column)).select(
-        "doc_id", "n_shingles", "component_id", "kept", "n_links"
+        "doc_id", "n_shingles", "component_id", "kept", "n_tree_links"
     )
 
 
 def _judged(whole: DataFrame) -> DataFrame:
     """One row per document, with the hash of its text and the component's vertex."""
     sketch = materialise(
-        whole.withColumn("mark", F.xxhash64("text")).mapInPandas(
+        given_back(carried(whole.withColumn("mark", F.xxhash64("text"))).mapInPandas(
             _sketch, "doc_id bigint, mark bigint, n bigint, k1 bigint, k2 bigint,"
             " tokens binary, bits binary, paths array<bigint>",
-        ).withColumn("row", F.monotonically_increasing_id())
+        )).withColumn("row", F.monotonically_increasing_id())
     )
     join = _Join(whole, sketch)
     _run(join)
@@ -546,16 +547,16 @@ def _judged(whole: DataFrame) -> DataFrame:
     if join.labels is not None:
         known = join.labels.select(F.col("a").alias("v"), F.col("b").alias("found"))
         ends = join.links.select(F.col("a").alias("v")).union(join.links.select("b"))
-        degree = ends.groupBy("v").agg(F.count("*").alias("n_links"))
+        degree = ends.groupBy("v").agg(F.count("*").alias("n_tree_links"))
         rows = rows.join(known, "v", "left").join(degree, "v", "left")
-        rows = rows.select("doc_id", "mark", "n", F.coalesce("found", "v").alias("v"), "n_links")
+        rows = rows.select("doc_id", "mark", "n", F.coalesce("found", "v").alias("v"), "n_tree_links")
     else:
-        rows = rows.withColumn("n_links", F.lit(0))
+        rows = rows.withColumn("n_tree_links", F.lit(0))
     least = rows.groupBy("v").agg(F.min("doc_id").alias("component_id"))
     return rows.join(least, "v").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), "mark", "v",
+        F.coalesce("n_tree_links", F.lit(0)).cast("bigint").alias("n_tree_links"), "mark", "v",
     )
 
 

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import texts_of
+from ledgerlark.llm.common import carried, given_back, texts_of
 from ledgerlark.llm.token_ids import encoder_of
 from ledgerlark.session import materialise
 
@@ -77,7 +77,7 @@ def cut_pieces(
                         rows.append((doc_id, piece, start, len(some), zlib.crc32(some.tobytes())))
                 yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return texts_of(docs).mapInPandas(cut, PIECES)
+    return given_back(carried(texts_of(docs)).mapInPandas(cut, PIECES))
 
 
 def best_fit(lengths: np.ndarray, capacities: Capacities) -> tuple[np.ndarray, np.ndarray]:
@@ -139,8 +139,8 @@ def pack(pieces: DataFrame, capacities: Capacities = Capacities(), group: int =
         own = frame["_group"].to_numpy().astype(np.int64) << 32
         return frame.assign(sequence_id=own + sequence, offset=offset).drop(columns=["_row", "_group"])
 
-    return (
-        numbered.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
+    return given_back(
+        carried(numbered).withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(groups)))
         .groupBy("_group")
         .applyInPandas(place, PIECES + ", sequence_id bigint, offset bigint")
     )

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import chunked, texts_of
+from ledgerlark.llm.common import carried, chunked, given_back, texts_of
 from ledgerlark.llm.labelled import PER_LABEL, fold_of, sample, trained
 
 WIDTH, STRIDE, FILTERS = 8, 2, 16
@@ -185,7 +185,8 @@ def score_quality(
                     "score": net.scores(part.text.tolist()),
                 })
 
-    rows = texts_of(docs).withColumn("held_out", fold_of("doc_id", FOLDS) == HELD_OUT)
-    return rows.mapInPandas(score, "doc_id bigint, held_out boolean, score double").withColumn(
+    rows = carried(texts_of(docs).withColumn("held_out", fold_of("doc_id", FOLDS) == HELD_OUT))
+    scored = rows.mapInPandas(score, "doc_id bigint, held_out boolean, score double")
+    return given_back(scored).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )

@@ -125,7 +125,7 @@ rules(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'
                           ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 fits AS (
   SELECT page_id, host, path,
-         (SELECT max_by(h || p, length(h || p)) FROM rules
+         (SELECT max_by(h || p, 1000 * length(h || p) + length(h)) FROM rules
           WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule
   FROM cut)
 SELECT page_id, host, path, rule,

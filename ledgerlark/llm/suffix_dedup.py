@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlark.llm.common import mixed, seeds, texts_of
+from ledgerlark.llm.common import given_back, mixed, seeds, texts_of
 from ledgerlark.session import materialise
 
 LENGTH = 200
@@ -526,7 +526,7 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     unpack = zstandard.ZstdDecompressor()
     for frame in frames:
         rows = []
-        for doc_id, packed, spans in zip(frame.doc_id.astype("Int64"), frame.packed, frame.spans):
+        for place, packed, spans in zip(frame.place.tolist(), frame.packed, frame.spans):
             raw, removed, runs = unpack.decompress(packed), 0, 0
             kept = hashlib.sha256()
             at = 0
@@ -537,10 +537,8 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     kept.update(raw[at:a])
                     at, removed, runs = int(b), removed + int(b - a), runs + 1
             kept.update(raw[at:])
-            rows.append((None if doc_id is pd.NA else doc_id, len(raw), removed, runs, kept.hexdigest()))
-        out = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
-        out["doc_id"] = out["doc_id"].astype("Int64")
-        yield out
+            rows.append((place, len(raw), removed, runs, kept.hexdigest()))
+        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
 def _pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -571,7 +569,7 @@ def remove_repeats(
     if fan < 2:
         raise ValueError("at least two runs must meet")
     whole = texts_of(docs, id_column, text_column).select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("place"),
+        F.coalesce("doc_id", F.lit(-(2**63))).alias("place"),
         F.xxhash64("text").alias("mark"), F.col("text").cast("binary").alias("raw"),
     )
     keys = ["place", "mark"]
@@ -588,7 +586,7 @@ def remove_repeats(
         .agg(F.collect_list(F.col("region") * 2 + (F.col("n") > hot).cast("bigint")).alias("regions"))
     )
     packed = whole.mapInPandas(
-        _pack, "doc_id bigint, place bigint, mark bigint, packed binary"
+        _pack, "place bigint, mark bigint, packed binary"
     )
     parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = materialise(
@@ -603,6 +601,6 @@ def remove_repeats(
     if single is not None:
         ranges = ranges.unionByName(single)
     ranges = ranges.groupBy(*keys).agg(F.collect_list("span").alias("spans"))
-    return packed.join(ranges, keys, "left").select("doc_id", "packed", "spans").mapInPandas(
+    return given_back(packed.join(ranges, keys, "left").select("place", "packed", "spans").mapInPandas(
         _cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-    )
+    ))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from ledgerlark.llm.common import chunked, mixed, texts_of, whole_text, word_bounds
+from ledgerlark.llm.common import carried, chunked, given_back, mixed, texts_of, whole_text, word_bounds
 from ledgerlark.llm.labelled import fold_of, sample, trained
 
 WINDOW, HOP = 48, 36
@@ -262,8 +262,9 @@ def score_toxicity(
     """
     net = learned(docs, labels, label, per_label)
     score = scorer(net)
-    rows = texts_of(docs).withColumn("held_out", fold_of("doc_id", FOLDS) == HELD_OUT)
-    return rows.mapInPandas(score, "doc_id bigint, held_out boolean, score double").withColumn(
+    rows = carried(texts_of(docs).withColumn("held_out", fold_of("doc_id", FOLDS) == HELD_OUT))
+    scored = rows.mapInPandas(score, "doc_id bigint, held_out boolean, score double")
+    return given_back(scored).withColumn(
         "predicted", (F.col("score") >= threshold).cast("int")
     )
 

@@ -116,7 +116,7 @@ def filter_urls(
 
     ``rules`` has host, path and verdict (``allow`` or ``block``). A rule fits
     its host and all subdomains, if the URL's path starts with its path; the
-    longest rule string wins. URLs that no rule fits get ``default``: the method
+    longest rule string wins, and of equally long ones that with the longest host. URLs that no rule fits get ``default``: the method
     lists what is decided, and an unlisted URL is not held against its page.
     Null URLs, and URLs without ``://``, have an empty host and path and no rule.
     Repeated pages give repeated rows; columns other than id and URL are dropped.
@@ -124,16 +124,21 @@ def filter_urls(
     Up to ``max_sent_rules`` rules are sent to every task. A longer list is
     dealt out by digest, and each task maps only its part of it.
     """
+    kind = dict(pages.select(F.col(id_column).alias("id")).dtypes)["id"]
+    # Ids pass through pandas as text: a null beside whole numbers would make them floating point.
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
     read = pages.select(
-        F.col(id_column).alias("page_id"), host_of(url_column).alias("host"),
+        (F.col(id_column).cast("string") if whole else F.col(id_column)).alias("page_id"), host_of(url_column).alias("host"),
         path_of(url_column).alias("path"),
     )
     listed = _rule_rows(rules)
     lengths = sorted(row.n for row in listed.select("n").distinct().collect())
     few = listed.limit(max_sent_rules + 1).collect()
     if len(few) <= max_sent_rules:
-        return _sent(read, {row.rule: row.verdict for row in few}, lengths, default)
-    return _dealt(read, listed, lengths, default)
+        judged = _sent(read, {row.rule: row.verdict for row in few}, lengths, default)
+    else:
+        judged = _dealt(read, listed, lengths, default)
+    return judged.withColumn("page_id", F.col("page_id").cast(kind))
 
 
 def _sent(read: DataFrame, verdicts: dict[str, str], lengths: list[int], default: str) -> DataFrame:
@@ -149,6 +154,7 @@ def _sent(read: DataFrame, verdicts: dict[str, str], lengths: list[int], default
             hit = array.probe(strings)
             for j in np.flatnonzero(hit >= 0):
                 i, rule = owners[j], strings[j]
+                # Of equally long candidates the first has the longest host.
                 if i not in best or len(rule) > len(best[i]):
                     best[i] = rule
             rule, verdict = _decide(best, verdicts, len(frame), default)
@@ -175,7 +181,8 @@ def _dealt(read: DataFrame, listed: DataFrame, lengths: list[int], default: str)
         return F.pmod(F.xxhash64(column), F.lit(parts * 8))
 
     urls = read.select("host", "path").distinct()
-    asked = urls.select("host", "path", F.explode(cut("host", "path")).alias("rule"))
+    # Candidates stand in the order of their hosts, the longest first.
+    asked = urls.select("host", "path", F.posexplode(cut("host", "path")).alias("place", "rule"))
 
     def probe(wanted: pd.DataFrame, rules: pd.DataFrame) -> pd.DataFrame:
         array = DigestArray(list(rules.rule))
@@ -194,7 +201,7 @@ def _dealt(read: DataFrame, listed: DataFrame, lengths: list[int], default: str)
     best = (
         asked.join(hits, "rule")
         .groupBy("host", "path")
-        .agg(F.max(F.struct(F.length("rule").alias("n"), "rule", "verdict")).alias("best"))
+        .agg(F.max(F.struct(F.length("rule").alias("n"), -F.col("place"), "rule", "verdict")).alias("best"))
     )
     return read.join(best, ["host", "path"], "left").select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"),
