@@ -31,8 +31,10 @@ from ledgerlark.llm.common import given_back, mixed, range_number, rolled, seeds
 SAMPLES = 64
 SHINGLE = 2
 SEED = 9
-#: Rows of the table of triples.
+#: Values of the table of exponentials, picked by 16 bits of a hash each.
 TABLE = 1 << 16
+#: Terms whose draws are made at once.
+BLOCK = 1 << 14
 #: Characters worked on at once.
 STEP = 1_000_000
 
@@ -40,25 +42,52 @@ STEP = 1_000_000
 GAPS = np.zeros(256, bool)
 GAPS[[9, 10, 11, 12, 13, 32]] = True
 
-_LEAST, _SPREAD = -60.0, 2.0**32 / 80.0
-
 
 class Sampler:
     def __init__(self, samples: int = SAMPLES, seed: int = SEED, shingle: int = SHINGLE):
         self.samples, self.shingle = samples, shingle
-        uniform = (seeds(5 * TABLE, seed) >> np.uint64(11)).astype(np.float64) + 1.0
-        u = (uniform / (2.0**53 + 1)).reshape(5, TABLE)
-        # The sum of two exponentials is Gamma(2, 1).
-        self.r, self.log_c = -np.log(u[0] * u[1]), np.log(-np.log(u[2] * u[3]))
-        self.b = u[4]
-        self.once = self._place(self.log_c - self.r * (1.0 - self.b)) << np.uint64(32)
-        mix = seeds(2 * samples, seed + 1).astype(np.uint32)
-        self.xor, self.odd = mix[:samples], mix[samples:] | np.uint32(1)
+        self.exponential = -np.log((np.arange(TABLE) + 0.5) / TABLE).astype(np.float32)
+        mix = seeds(4 * samples, seed + 1).astype(np.uint32).reshape(4, samples)
+        self.xor, self.odd = mix[0], mix[1] | np.uint32(1)
+        self.xor_c, self.odd_c = mix[2], mix[3] | np.uint32(1)
+
+    def _draws(self, term: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """r, ln c and b of each term in the ``k``-th sample, from the term's whole hash.
+
+        The sum of two exponentials is Gamma(2, 1), and each exponential has 16 bits of
+        its own, so no two of even many millions of terms need share their draws. In a long
+        text the least value comes from a very large r, so the last step of the table goes
+        on with 16 more bits: behind any point an exponential starts anew.
+        """
+        x = self._mixed(term, self.xor[k], self.odd[k])
+        y = self._mixed(term, self.xor_c[k], self.odd_c[k])
+        low, high = np.uint32(0xFFFF), np.uint32(16)
+        one, two = x & low, x >> high
+        r = self.exponential[one] + self.exponential[two]
+        for step, shift in ((one, np.uint32(0)), (two, high)):
+            if np.count_nonzero(step) == len(step):
+                continue
+            at = np.flatnonzero(step == 0)
+            more = self._mixed(y[at], self.odd[k], self.odd_c[k]) >> shift & low
+            r[at] += np.float32(np.log(TABLE)) + self.exponential[more] - self.exponential[0]
+        log_c = np.log(self.exponential[y & low] + self.exponential[y >> high])
+        b = ((x * np.uint32(0x9E3779B1)) ^ y) * np.uint32(0xC2B2AE3D)
+        return r, log_c, (b >> np.uint32(8)).astype(np.float32) * np.float32(2.0**-24)
+
+    @staticmethod
+    def _mixed(term: np.ndarray, xor: np.uint32, odd: np.uint32) -> np.ndarray:
+        x = (term ^ xor) * odd
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0x85EBCA6B)
+        x ^= x >> np.uint32(13)
+        x *= np.uint32(0xC2B2AE35)
+        return x ^ (x >> np.uint32(16))
 
     @staticmethod
     def _place(log_a: np.ndarray) -> np.ndarray:
         """ln a in 32 bits, in the same order."""
-        return np.clip((log_a - _LEAST) * _SPREAD, 0, 2.0**32 - 1).astype(np.uint64)
+        bits = log_a.astype(np.float32).view(np.uint32)
+        return bits ^ ((bits.view(np.int32) >> 31).view(np.uint32) | np.uint32(1 << 31))
 
     def terms(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct terms of each text as 32-bit hashes, their weights, and where
@@ -94,20 +123,24 @@ class Sampler:
             return out
         term, weight, starts = self.terms(texts)
         heavy = np.flatnonzero(weight > 1)
-        log_w, low = np.log(weight[heavy]), term.astype(np.uint64)
+        log_w = np.log(weight[heavy]).astype(np.float32)
+        # Blocks of terms whose draws stay in the processor's cache.
+        blocks = [(lo, min(lo + BLOCK, len(term))) for lo in range(0, len(term), BLOCK)]
+        cuts = np.searchsorted(heavy, [lo for lo, _ in blocks] + [len(term)])
+        key = np.empty(len(term), np.uint64)
+        # Little-endian halves of each key: the place above, the draw below.
+        draw, place = key.view(np.uint32)[::2], key.view(np.uint32)[1::2]
         for k in range(self.samples):
-            x = (term ^ self.xor[k]) * self.odd[k]
-            x ^= x >> np.uint32(15)
-            x *= np.uint32(0x85EBCA6B)
-            row = (x >> np.uint32(16)).astype(np.int32)
-            key = self.once[row] | low
-            if len(heavy):
-                of = row[heavy]
-                r, b = self.r[of], self.b[of]
-                t = np.floor(log_w / r + b)
-                log_a = self.log_c[of] - r * (t - b) - r
-                drawn = term[heavy] + (t.astype(np.int64) * 0x9E3779B1).astype(np.uint32)
-                key[heavy] = (self._place(log_a) << np.uint64(32)) | drawn
+            draw[:] = term
+            for (lo, hi), first, last in zip(blocks, cuts, cuts[1:]):
+                r, log_c, b = self._draws(term[lo:hi], k)
+                place[lo:hi] = self._place(log_c - r * (1 - b))
+                if first < last:
+                    some = heavy[first:last]
+                    r, log_c, b = r[some - lo], log_c[some - lo], b[some - lo]
+                    t = np.floor(log_w[first:last] / r + b)
+                    place[some] = self._place(log_c - r * (t - b) - r)
+                    draw[some] += (t.astype(np.int64) * 0x9E3779B1).astype(np.uint32)
             least = np.minimum.reduceat(key, starts)
             out[:, k] = mixed(least & np.uint64(0xFFFFFFFF)) >> np.uint64(48)
         return out

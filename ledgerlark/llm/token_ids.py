@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from functools import lru_cache
 from string import punctuation
+from unicodedata import normalize
 
 import numpy as np
 
@@ -15,12 +16,17 @@ _STEP = 100_000
 def _cut(word: str) -> tuple[str, str]:
     """A word and the marks behind it, if their ids are those of the whole.
 
-    Letters end before marks in any case, and A-Z are lower-cased by the library.
+    Letters end before marks in any case, and A-Z are lower-cased by the library. Where its
+    normal form or lower case turns a letter into a letter and a mark, the word stays whole.
     """
     base = word.rstrip(punctuation)
     if not base.isalpha():
         return word, ""
-    return (base.lower() if base.isascii() else base), word[len(base) :]
+    if base.isascii():
+        return base.lower(), word[len(base) :]
+    if not normalize("NFC", base).lower().isalpha():
+        return word, ""
+    return base, word[len(base) :]
 
 
 @lru_cache(maxsize=1)

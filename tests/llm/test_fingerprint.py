@@ -66,3 +66,16 @@ def test_one_document_and_none(make, nothing):
     one = fingerprints(make(["only one text"])).collect()
     assert len(one) == 1 and one[0].near_next == 1.0
     assert fingerprints(nothing).collect() == []
+
+
+@pytest.mark.parametrize("n, seeds", [(2_000, 12), (200_000, 3)])
+def test_rate_is_the_generalised_jaccard_similarity(n, seeds):
+    """Weighted terms, in texts that have far more of them than any table has rows."""
+    found = []
+    for seed in range(seeds):
+        words = [f"w{seed}x{i}" for i in range(n)]
+        text, heavier = " ".join(words), " ".join([*words, *words[: n // 5] * 4])
+        sampler = Sampler(64 if n < 10_000 else 256, seed)
+        found.append(likeness(sampler.sign([text]), sampler.sign([heavier]))[0])
+    # n pairs of words against n with a fifth of them five times.
+    assert abs(np.mean(found) - 1 / 1.8) < 0.03
