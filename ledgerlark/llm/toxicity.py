@@ -68,6 +68,20 @@ class Words:
         index = begin[:, None] + np.arange(WINDOW)
         self.windows = np.where(index < stop[:, None], index, -1)
 
+    def only(self, windows: np.ndarray) -> Words:
+        """The words of these windows alone, which become its windows."""
+        used, place = np.unique(windows, return_inverse=True)
+        place = place.reshape(windows.shape)
+        spare = int(len(used) > 0 and used[0] < 0)
+        used = used[spare:]
+        few = object.__new__(Words)
+        few.n_texts, few.windows = self.n_texts, place - spare
+        few.rows, few.size = self.rows[used], self.size[used]
+        few.first = np.cumsum(few.size) - few.size
+        inside = np.arange(int(few.size.sum())) + np.repeat(self.first[used] - few.first, few.size)
+        few.grams = self.grams[inside]
+        return few
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
@@ -134,24 +148,27 @@ class BiGru:
     def text_logits(self, texts: list[str]) -> np.ndarray:
         """The logit of each text's most toxic window; all windows are scored."""
         words = Words(texts)
-        x = self.inputs(words)
-        logits = np.concatenate([
-            self.run(x, words.windows[lo : lo + 4096]) for lo in range(0, len(words.windows), 4096)
-        ])
+        logits = self.window_logits(self.inputs(words), words.windows)
         return np.maximum.reduceat(logits, np.cumsum(words.n_windows) - words.n_windows)
 
+    def window_logits(self, x: np.ndarray, windows: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.run(x, windows[lo : lo + 4096]) for lo in range(0, len(windows), 4096)])
+
     def scores(self, texts: list[str]) -> np.ndarray:
         if not texts:
             return np.zeros(0)
         return 1 / (1 + np.exp(-np.clip(self.text_logits(texts).astype(np.float64), -30, 30)))
 
     def gradients(self, words: Words, labels: np.ndarray) -> dict[str, np.ndarray]:
-        """Of the mean logistic loss of each text through its most toxic window."""
-        x = self.inputs(words)
-        logits = self.run(x, words.windows)
+        """Of the mean logistic loss of each text through its most toxic window.
+
+        All windows are scored, some at a time; the way back is held for one a text.
+        """
+        logits = self.window_logits(self.inputs(words), words.windows)
         order = np.lexsort((-logits, words.text_of))
         starts = np.cumsum(words.n_windows) - words.n_windows
-        windows = words.windows[order[starts]]
+        words = words.only(words.windows[order[starts]])
+        x, windows = self.inputs(words), words.windows
         logits, states, weight, pooled, kept, full = self.run(x, windows, keep=True)
         p = self.p
         delta = ((_sigmoid(logits) - labels) / len(labels)).astype(np.float32)
@@ -204,12 +221,6 @@ def _log_odds(texts: list[str], labels: np.ndarray) -> tuple[np.ndarray, np.ndar
     return odds.astype(np.float32), seen.sum(0) >= LEAST_TEXTS
 
 
-def _cut(text: str, most: int, rng: np.random.Generator) -> str:
-    spare = len(text) - most
-    begin = int(rng.integers(0, spare + 1)) if spare > 0 else 0
-    return text[begin : begin + most]
-
-
 def fit(texts: list[str], labels: list[int], epochs: int = 8, least_steps: int = 300,
         batch: int = 48, rate: float = 0.01, seed: int = SEED) -> BiGru:
     """A network trained by Adam. The first number of each word's embedding starts as
@@ -234,10 +245,8 @@ def fit(texts: list[str], labels: list[int], epochs: int = 8, least_steps: int =
         order = rng.permutation(len(y))
         for lo in range(0, len(y), batch):
             rows = order[lo : lo + batch]
-            # Of a long text that is not toxic another part is seen in every epoch;
-            # where a toxic one is so is not known, so it is seen whole.
-            some = [texts[i] if y[i] else _cut(texts[i], 6000, rng) for i in rows]
-            grad = net.gradients(Words(some), y[rows])
+            # Where a text is toxic is not known, so all of it is seen.
+            grad = net.gradients(Words([texts[i] for i in rows]), y[rows])
             grad["words"][~known] = 0
             step += 1
             pace = rate * (1 - 0.9 * step / steps)
@@ -292,7 +301,10 @@ def keep_clean(
     docs: DataFrame, labels: DataFrame, text_column: str = "text", per_label: int = PER_LABEL,
     threshold: float = THRESHOLD,
 ) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are not predicted toxic."""
+    """The rows of ``docs``, with all their columns, that are not predicted toxic.
+
+    Null texts are scored as empty ones, and repeated rows stay or go alike.
+    """
     net = learned(docs, labels, per_label=per_label)
 
     def score(texts: pd.Series) -> pd.Series:
