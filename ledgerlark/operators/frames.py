@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerlark.operators.parts import last_before
+from ledgerlark.session import materialise
+
 
 def running_sum(value: str, keys: list[str], order: str) -> Column:
     """Cumulative sum that restarts for every key (ROWS frame)."""
@@ -76,16 +79,14 @@ def previous(value: str, keys: list[str], order: str) -> Column:
 def widest_gap(df: DataFrame, keys: list[str], at: str, name: str) -> DataFrame:
     """Largest step between consecutive distinct values of ``at`` per key.
 
-    Distinct values first, so a hot key brings one row per calendar value;
-    a key with a single value has no step and is dropped.
+    Distinct values first; each part of them gets the last value before it, so a key
+    with any number of values is spread over tasks. A key with a single value has no step
+    and is dropped.
     """
-    steps = (
-        df.select(*keys, at)
-        .distinct()
-        .withColumn("_next", F.lead(at).over(Window.partitionBy(*keys).orderBy(at)))
-    )
+    values = materialise(df.select(*keys, at).where(F.col(at).isNotNull()).distinct())
+    steps = last_before(values, keys, [at], at, "_before")
     return (
-        steps.where(F.col("_next").isNotNull())
+        steps.where(F.col("_before").isNotNull())
         .groupBy(*keys)
-        .agg(F.max(F.col("_next") - F.col(at)).alias(name))
+        .agg(F.max(F.col(at) - F.col("_before")).alias(name))
     )

@@ -47,26 +47,49 @@ def with_child_counts(
 ) -> DataFrame:
     """Row count of each child per parent key.
 
-    Each child is counted before the join: no fan-out of one child by the
-    other, and a hot parent brings one row per map task. A child that has a
-    column ``weight`` is already counted in parts, which are added up.
+    The children are counted together, in one pass and one shuffle, before the join: no
+    fan-out of one child by the other, and a hot parent brings one row per map task. A
+    child that has a column ``weight`` is already counted in parts, which are added up.
     """
-    result = parent
-    for name, child in children.items():
-        count = F.sum(weight) if weight in child.columns else F.count("*")
-        counts = child.groupBy(key).agg(count.alias(name))
-        result = result.join(counts, key, how)
+    rows = reduce(DataFrame.unionByName, [
+        child.select(
+            key, F.lit(i).alias("_child"),
+            (F.col(weight) if weight in child.columns else F.lit(1)).cast("bigint").alias("_n"),
+        )
+        for i, child in enumerate(children.values())
+    ])
+    counts = rows.groupBy(key).agg(
+        *[F.sum(F.when(F.col("_child") == i, F.col("_n"))).alias(name) for i, name in enumerate(children)]
+    )
+    if how == "inner":
+        counts = counts.where(all_of([F.col(name).isNotNull() for name in children]))
+    result = parent.join(counts, key, how)
     return result.select(
         *parent.columns, *[F.coalesce(name, F.lit(0)).alias(name) for name in children]
     )
 
 
+def periods_seen(period: str, periods: list) -> Column:
+    """How many of the given periods, up to 63, a key has rows in, as an aggregate.
+
+    Each period is one bit, so rows combine before the shuffle and no distinct values
+    are shuffled or expanded.
+    """
+    wanted = sorted(set(periods))
+    if len(wanted) > 63:
+        raise ValueError("more than 63 periods")
+    bit = F.lit(0).cast("bigint")
+    for i, value in enumerate(wanted):
+        bit = F.when(F.col(period) == value, F.lit(1 << i).cast("bigint")).otherwise(bit)
+    return F.bit_count(F.bit_or(bit))
+
+
 def keys_in_all_periods(df: DataFrame, keys: list[str], period: str, periods: list) -> DataFrame:
     """Keys present in every one of the given periods."""
     return (
         df.where(F.col(period).isin(list(periods)))
         .groupBy(*keys)
-        .agg(F.countDistinct(period).alias("_periods"))
+        .agg(periods_seen(period, periods).alias("_periods"))
         .where(F.col("_periods") == len(set(periods)))
         .select(*keys)
     )

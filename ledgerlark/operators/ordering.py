@@ -1,4 +1,4 @@
-"""Top-n, ties, numbering and running totals that no single task has to hold.
+"""Ties, numbering and running totals that no single task has to hold.
 
 Spark runs an unpartitioned window in one task, and a window over a hot key in
 one task as well. The numbering helpers here cut the rows into parts by value
@@ -11,27 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Number of sub-groups a key is cut into where the top-n is too long for the
-# map-side cut of Spark.
-SALTS = 64
-
-
-def top_n(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
-    """The first ``n`` rows of each key; ``order`` must break all ties.
-
-    Up to the threshold below, Spark cuts each group before the shuffle
-    (WindowGroupLimit). A larger ``n`` is cut per salted sub-group first.
-    """
-    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
-    if n > threshold:
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
-        # Without this shuffle, rows already placed by key would stay there.
-        salted = salted.repartition(*keys, "_salt")
-        first = F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order))
-        df = salted.withColumn("_place", first).where(F.col("_place") <= n).drop("_salt", "_place")
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("place", place).where(F.col("place") <= n)
-
 
 def best_rows(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """All rows that share first place in their key (ties are kept).

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ledgerlark.functions import dates, formats
 from ledgerlark.functions.text import capitalised, joined, mapped, matches, merged, one_of
-from ledgerlark.operators import joins, merge, policy, posting, quality
+from ledgerlark.operators import joins, merge, parts, policy, posting, quality, references, text_index
 from ledgerlark.operators.ordering import peer_numbers
 from ledgerlark.plans import rental_reports, sales_reports, table_functions
 from ledgerlark.plans.loading import load_favourites
@@ -281,6 +281,56 @@ def groups_frame(spark, base):
     return sales_reports.year_group_sum(b.sales(spark, base), 1999, 2001)
 
 
+#: Order in which no two lines tie that differ in anything read here.
+LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "amount"]
+
+
+def _ordered_lines(spark, base):
+    return load(spark, base, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", money("l_extendedprice").alias("amount"),
+        dates.day("l_shipdate").alias("day"), "l_returnflag",
+        F.when(F.col("l_discount") > 0, money("l_extendedprice")).alias("reduced"),
+    )
+
+
+@query
+def rows_frame_of_lines(spark, base):
+    """Each line with the sum over itself and the two lines before it."""
+    lines = _ordered_lines(spark, base).select(*LINE_ORDER)
+    return parts.rows_frame(lines, LINE_ORDER, 2, 0, {"three_line_sum": F.sum("amount")})
+
+
+@query
+def range_frame_of_lines(spark, base):
+    """Each line with the sum and number of all lines shipped a day before or after it, or with it."""
+    lines = _ordered_lines(spark, base).select(*LINE_ORDER, "day")
+    sums = {"neighbour_days_sum": F.col("amount"), "neighbour_days_lines": F.lit(1)}
+    return parts.range_frame(lines, "day", "INTERVAL 1 DAY", "INTERVAL 1 DAY", sums)
+
+
+@query
+def groups_frame_of_lines(spark, base):
+    """Each line with the sum over its ship date and the ship date before that has lines."""
+    lines = _ordered_lines(spark, base).select(*LINE_ORDER, "day")
+    return parts.groups_frame(lines, "day", 1, 0, {"two_dates_sum": F.col("amount")})
+
+
+@query
+def last_reduced_price(spark, base):
+    """Each line with the last price at a discount before it under its flag, which a third of all lines share."""
+    lines = _ordered_lines(spark, base).select(*LINE_ORDER, "l_returnflag", "reduced")
+    found = parts.last_before(lines, ["l_returnflag"], LINE_ORDER, "reduced", "last_reduced")
+    return found.select(*LINE_ORDER, "l_returnflag", "last_reduced")
+
+
+@query
+def top5000_lines(spark, base):
+    """The 5,000 dearest lines of each flag."""
+    lines = _ordered_lines(spark, base).select(*LINE_ORDER, "l_returnflag")
+    order = [parts.By("amount", False), *map(parts.By, LINE_ORDER[:-1])]
+    return parts.top_n(lines, ["l_returnflag"], order, 5000)
+
+
 @query
 def latest_quarter(spark, base):
     return sales_reports.latest_quarter_sales(
@@ -306,9 +356,7 @@ def values_lookup(spark, base):
     )
     # A constant key picks one row, which every literal row is combined with.
     home = load(spark, base, "nation").where(F.col("n_name") == "NATION_0")
-    resolved = resolved.crossJoin(
-        F.broadcast(home.agg(F.min("n_nationkey").alias("home_nation")))
-    )
+    resolved = resolved.withColumn("home_nation", home.agg(F.min("n_nationkey")).scalar())
     nation = load(spark, base, "nation").select("n_nationkey", "n_regionkey")
     targets = resolved.join(nation, F.col("r_regionkey") == F.col("n_regionkey")).select(
         "n_nationkey", "r_name", "segment", "home_nation"
@@ -450,10 +498,19 @@ def _matching(spark, base, pattern):
     return table_functions.films_in_stock(
         b.film(spark, base),
         b.inventory(spark, base),
-        b.rental(spark, base).select("inventory_id", "customer_id", "rental_date"),
+        b.rental(spark, base).select("inventory_id", "film_id", "customer_id", "rental_date"),
         b.customer(spark, base),
         pattern,
         returns=b.copy_rentals(spark, base),
+        index=_title_index(spark, base),
+    )
+
+
+def _title_index(spark, base):
+    """The pieces of all titles, written once for all searches."""
+    return written_once(
+        spark, "title pieces", [f"{base}/part.parquet"],
+        lambda: materialise(text_index.gram_rows(b.film(spark, base), "film_id", "title")),
     )
 
 
@@ -889,6 +946,55 @@ def payments_of_a_month(spark, base):
     return written.where(F.col("month") == "1997-04").select("payment_id", "customer_id", "amount", "month")
 
 
+@query
+def changed_months(spark, base):
+    """Payments by month, of which one month is changed and another deleted in part; other
+    months keep their files."""
+    payments = b.payment(spark, base).withColumn("month", dates.month_label("payment_date"))
+    path = _fresh(spark)
+    tables.create_table_as(payments.select("payment_id", "customer_id", "amount", "month"), path, ["month"])
+    customers = b.customer(spark, base).where(F.col("country_id") < 5).select("customer_id")
+
+    def raise_amounts(rows):
+        changes = rows.join(customers, "customer_id", "left_semi").select(
+            "payment_id", (F.col("amount") + 1).cast("decimal(18,2)").alias("amount")
+        )
+        return merge.update_from(rows, changes, "payment_id", ["amount"]).table
+
+    tables.change_partitions(spark, path, "month", ["1997-04"], raise_amounts)
+    table = tables.change_partitions(
+        spark, path, "month", ["1998-05", "1998-06"],
+        lambda rows: merge.delete_where(rows, (F.col("month") == "1998-06") | (F.col("customer_id") % 2 == 0)).table,
+    )
+    return table.groupBy("month").agg(F.count("*").alias("payments"), F.sum("amount").alias("amount"))
+
+
+BUCKETS = 16
+
+
+def _bucketed(spark, base, name, key, columns):
+    """A table bucketed by ``key``, written once for all queries over the same files."""
+    def write():
+        path = _fresh(spark)
+        made = load(spark, base, name).select(*columns)
+        return tables.create_bucketed(made, f"bucketed_{uuid.uuid4().hex}", path, key, BUCKETS)
+
+    return written_once(spark, f"bucketed {name}", [f"{base}/{name}.parquet"], write, as_table=True)
+
+
+@query
+def bucketed_priority_revenue(spark, base):
+    """Lines joined to their orders and summed per order, all by the layout of the tables."""
+    orders = _bucketed(spark, base, "orders", "o_orderkey", ["o_orderkey", "o_orderpriority"])
+    lines = _bucketed(spark, base, "lineitem", "l_orderkey", ["l_orderkey", "l_extendedprice"])
+    per_order = lines.groupBy("l_orderkey").agg(
+        F.count("*").alias("lines"), F.sum(money("l_extendedprice")).alias("amount")
+    )
+    return per_order.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "o_orderkey", "o_orderpriority", "lines", "amount"
+    )
+
+
 @query
 def store_revenue_chain(spark, base):
     """Payments to stores over rental, copy, store and address."""
@@ -1033,6 +1139,65 @@ def dq_orphans_self(spark, base):
     return quality.orphans(offices, "head_office", offices, "s_suppkey")
 
 
+@query
+def dq_orphans_self_parts(spark, base):
+    """The same among parts, many of whose heads are too small to be there."""
+    kept = load(spark, base, "part").where(F.col("p_size") > 10)
+    heads = kept.select("p_partkey", F.expr("nullif(p_partkey div 10, 0)").alias("head"))
+    return quality.orphans(heads, "head", heads, "p_partkey")
+
+
+#: Declared keys of the given tables, and of suppliers to their head office.
+KEYS = [
+    references.Key("nation", "n_regionkey", "region", "r_regionkey"),
+    references.Key("customer", "c_nationkey", "nation", "n_nationkey"),
+    references.Key("supplier", "s_nationkey", "nation", "n_nationkey"),
+    references.Key("supplier", "head_office", "supplier", "s_suppkey"),
+    references.Key("orders", "o_custkey", "customer", "c_custkey"),
+    references.Key("lineitem", "l_orderkey", "orders", "o_orderkey"),
+    references.Key("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+]
+KEYED = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey",
+         "supplier": "s_suppkey", "orders": "o_orderkey"}
+
+
+def _keyed_tables(spark, base):
+    found = {name: load(spark, base, name) for name in [*KEYED, "lineitem"]}
+    found["supplier"] = found["supplier"].withColumn("head_office", F.expr("nullif(s_suppkey div 4, 0)"))
+    return {
+        "region": found["region"].select("r_regionkey"),
+        "nation": found["nation"].select("n_nationkey", "n_regionkey"),
+        "customer": found["customer"].select("c_custkey", "c_nationkey"),
+        "supplier": found["supplier"].select("s_suppkey", "s_nationkey", "head_office"),
+        "orders": found["orders"].select("o_orderkey", "o_custkey"),
+        "lineitem": found["lineitem"].select("l_orderkey", "l_suppkey"),
+    }
+
+
+def _cascade_counts(deleted):
+    return reduce(DataFrame.unionByName, [
+        deleted.doomed[name].agg(
+            F.lit(step).alias("step"), F.lit(name).alias("table_name"), F.count("*").alias("deleted_rows")
+        ).select("*", deleted.left[name].agg(F.count("*")).scalar().alias("rows_left"))
+        for step, name in enumerate(deleted.order)
+    ])
+
+
+@query
+def delete_nation_cascade(spark, base):
+    """What a nation takes along, over four levels of tables and the offices below its suppliers."""
+    roots = load(spark, base, "nation").where(F.col("n_name") == "NATION_3").select(F.col("n_nationkey").alias("id"))
+    return _cascade_counts(references.delete_cascade(_keyed_tables(spark, base), KEYED, KEYS, "nation", roots))
+
+
+@query
+def offices_below(spark, base):
+    """The offices below the first supplier, and how far below."""
+    supplier = _keyed_tables(spark, base)["supplier"]
+    roots = supplier.agg(F.min("s_suppkey").alias("id")).select(F.greatest("id", F.lit(1)).alias("id"))
+    return references.descendants(supplier, "s_suppkey", "head_office", roots).withColumnRenamed("id", "s_suppkey")
+
+
 @query
 def fk_set_null(spark, base):
     child = load(spark, base, "customer").select("c_custkey", "c_nationkey")

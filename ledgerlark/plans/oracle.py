@@ -463,6 +463,36 @@ WITH c AS (
 SELECT y AS calendar_year, ch AS channel_desc, {_double('a')} AS amount_sold,
        CAST(sum(a) OVER (ORDER BY y GROUPS BETWEEN 1 PRECEDING AND CURRENT ROW) AS DOUBLE) AS current_and_previous_year_sales
 FROM c
+""",
+    "rows_frame_of_lines": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_double(f'CAST(l_extendedprice AS {MONEY})')} AS amount,
+       {_double(f'sum(CAST(l_extendedprice AS {MONEY})) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)')} AS three_line_sum
+FROM lineitem
+""",
+    "range_frame_of_lines": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_double(f'CAST(l_extendedprice AS {MONEY})')} AS amount,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day,
+       {_double(f'sum(CAST(l_extendedprice AS {MONEY})) OVER r')} AS neighbour_days_sum,
+       count(*) OVER r AS neighbour_days_lines
+FROM lineitem WINDOW r AS (ORDER BY CAST(l_shipdate AS DATE)
+    RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND INTERVAL 1 DAY FOLLOWING)
+""",
+    "groups_frame_of_lines": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_double(f'CAST(l_extendedprice AS {MONEY})')} AS amount,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS day,
+       {_double(f'sum(CAST(l_extendedprice AS {MONEY})) OVER (ORDER BY CAST(l_shipdate AS DATE) GROUPS BETWEEN 1 PRECEDING AND CURRENT ROW)')} AS two_dates_sum
+FROM lineitem
+""",
+    "last_reduced_price": f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_double(f'CAST(l_extendedprice AS {MONEY})')} AS amount, l_returnflag,
+       {_double(f'last_value(CASE WHEN l_discount > 0 THEN CAST(l_extendedprice AS {MONEY}) END IGNORE NULLS) OVER (PARTITION BY l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)')} AS last_reduced
+FROM lineitem
+""",
+    "top5000_lines": f"""
+SELECT * FROM (
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, {_double(f'CAST(l_extendedprice AS {MONEY})')} AS amount, l_returnflag,
+           CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY CAST(l_extendedprice AS {MONEY}) DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS INTEGER) AS place
+    FROM lineitem) WHERE place <= 5000
 """,
     "latest_quarter": f"""
 WITH q AS (SELECT CAST(date_trunc('quarter', max(o_orderdate)) AS DATE) AS start FROM orders)
@@ -717,6 +747,18 @@ SELECT count(*) AS before, 0 AS truncated, count(*) FILTER (l_linenumber = 1) AS
     "payments_of_a_month": f"""
 SELECT o_orderkey AS payment_id, o_custkey AS customer_id, {_double(f'CAST(o_totalprice AS {MONEY})')} AS amount,
        '1997-04' AS month FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1997-04'
+""",
+    "changed_months": f"""
+WITH p AS (
+    SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month, CAST(o_totalprice AS {MONEY}) AS amount, c_nationkey
+    FROM orders LEFT JOIN customer ON o_custkey = c_custkey)
+SELECT month, count(*) AS payments,
+       {_double("sum(amount + CASE WHEN month = '1997-04' AND c_nationkey < 5 THEN 1 ELSE 0 END)")} AS amount
+FROM p WHERE month <> '1998-06' AND NOT (month = '1998-05' AND o_custkey % 2 = 0) GROUP BY month
+""",
+    "bucketed_priority_revenue": f"""
+SELECT o_orderkey, o_orderpriority, count(*) AS lines, {_double(f'sum(CAST(l_extendedprice AS {MONEY}))')} AS amount
+FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2
 """,
     "store_revenue_chain": f"""
 WITH r AS (SELECT l_orderkey, (min({{'p': l_partkey, 's': l_suppkey}})).s AS store_id FROM lineitem GROUP BY 1)
@@ -768,6 +810,33 @@ SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus <> 'P'
     "dq_orphans_self": """
 WITH o AS (SELECT s_suppkey, nullif(s_suppkey // 10, 0) AS head_office FROM supplier WHERE s_acctbal >= 0)
 SELECT * FROM o WHERE head_office NOT IN (SELECT s_suppkey FROM o)
+""",
+    "dq_orphans_self_parts": """
+WITH o AS (SELECT p_partkey, nullif(p_partkey // 10, 0) AS head FROM part WHERE p_size > 10)
+SELECT * FROM o WHERE head NOT IN (SELECT p_partkey FROM o)
+""",
+    "delete_nation_cascade": """
+WITH RECURSIVE s AS (SELECT *, nullif(s_suppkey // 4, 0) AS head FROM supplier),
+n AS (SELECT n_nationkey AS k FROM nation WHERE n_name = 'NATION_3'),
+su AS (SELECT s_suppkey AS k FROM s WHERE s_nationkey IN (FROM n)
+       UNION SELECT s_suppkey FROM s JOIN su ON head = k),
+c AS (SELECT c_custkey AS k FROM customer WHERE c_nationkey IN (FROM n)),
+o AS (SELECT o_orderkey AS k FROM orders WHERE o_custkey IN (FROM c)),
+l AS (SELECT * FROM lineitem WHERE l_orderkey IN (FROM o) OR l_suppkey IN (FROM su)),
+t AS (
+    SELECT 0 AS step, 'lineitem' AS table_name, (SELECT count(*) FROM l) AS d, (SELECT count(*) FROM lineitem) AS n
+    UNION ALL SELECT 1, 'supplier', (SELECT count(*) FROM su), (SELECT count(*) FROM supplier)
+    UNION ALL SELECT 2, 'orders', (SELECT count(*) FROM o), (SELECT count(*) FROM orders)
+    UNION ALL SELECT 3, 'customer', (SELECT count(*) FROM c), (SELECT count(*) FROM customer)
+    UNION ALL SELECT 4, 'nation', (SELECT count(*) FROM n), (SELECT count(*) FROM nation)
+    UNION ALL SELECT 5, 'region', 0, (SELECT count(*) FROM region))
+SELECT step, table_name, d AS deleted_rows, n - d AS rows_left FROM t
+""",
+    "offices_below": """
+WITH RECURSIVE s AS (SELECT s_suppkey, nullif(s_suppkey // 4, 0) AS head FROM supplier),
+b AS (SELECT greatest(min(s_suppkey), 1) AS s_suppkey, 0 AS depth FROM s
+      UNION ALL SELECT s.s_suppkey, depth + 1 FROM s JOIN b ON s.head = b.s_suppkey)
+SELECT s_suppkey, depth FROM b
 """,
     "fk_set_null": """
 SELECT c_custkey, CASE WHEN r_name <> 'ASIA' THEN c_nationkey END AS c_nationkey

@@ -18,9 +18,10 @@ from pyspark.sql import functions as F
 from ledgerlark.functions import dates, formats
 from ledgerlark.functions.text import one_of, same_text
 from ledgerlark.operators import frames
-from ledgerlark.operators.joins import keys_in_all_periods
-from ledgerlark.operators.ordering import top_n
+from ledgerlark.operators.joins import keys_in_all_periods, periods_seen
+from ledgerlark.operators.parts import By, top_n
 from ledgerlark.operators.pivot import crosstab, sum_columns
+from ledgerlark.session import materialise
 
 
 def regional_customers(
@@ -37,13 +38,15 @@ def top_customers_by_channel(sales: DataFrame, customers: DataFrame, n: int = 5)
     """The ``n`` best customers of each channel and their share of its sales.
 
     Channel totals are an aggregate of the customers' sums, not a window over all
-    customers of a channel; both read the same shuffle.
+    customers of a channel.
     """
     per_customer = sales.groupBy("channel_id", "channel_desc", "cust_id").agg(
         F.sum("amount_sold").alias("total_sales")
     )
+    # Written: it is sampled, counted and ranked.
+    per_customer = materialise(per_customer)
     best = top_n(
-        per_customer, ["channel_id", "channel_desc"], [F.desc("total_sales"), F.asc("cust_id")], n
+        per_customer, ["channel_id", "channel_desc"], [By("total_sales", False), By("cust_id")], n
     )
     totals = per_customer.groupBy("channel_id").agg(F.sum("total_sales").alias("channel_total"))
     share = F.col("total_sales").cast("double") / F.col("channel_total").cast("double") * 100
@@ -98,14 +101,14 @@ def top_in_all_years(
         .agg(F.sum("amount_sold").alias("total_sales"))
     )
     best = top_n(
-        per_year, ["channel_desc", "calendar_year"], [F.desc("total_sales"), F.asc("cust_id")], n
+        materialise(per_year), ["channel_desc", "calendar_year"], [By("total_sales", False), By("cust_id")], n
     )
     # The yearly rows of a qualifying customer are summed in the same pass in
     # which the years are counted.
     steady = (
         best.groupBy("channel_desc", "cust_id")
         .agg(
-            F.countDistinct("calendar_year").alias("_years"),
+            periods_seen("calendar_year", years).alias("_years"),
             F.sum("total_sales").alias("amount_sold"),
         )
         .where(F.col("_years") == len(set(years)))
@@ -133,7 +136,7 @@ def top_in_all_years_by_join(
         .agg(F.sum("amount_sold").alias("total_sales"))
     )
     best = top_n(
-        per_year, ["channel_desc", "calendar_year"], [F.desc("total_sales"), F.asc("cust_id")], n
+        materialise(per_year), ["channel_desc", "calendar_year"], [By("total_sales", False), By("cust_id")], n
     )
     steady = keys_in_all_periods(best, ["channel_desc", "cust_id"], "calendar_year", years)
     return (

@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlark.functions import dates
-from ledgerlark.functions.text import capitalised, joined, matches
+from ledgerlark.functions.text import capitalised, joined
 from ledgerlark.operators.joins import or_info_row
 from ledgerlark.operators.ordering import best_rows, latest_rows, peer_numbers
+from ledgerlark.operators.text_index import matching
+from ledgerlark.session import materialise
 from ledgerlark.sources.inline import clean_names
 
 # Fixed value: the row shown when no film matches.
@@ -164,34 +166,50 @@ def films_in_stock(
     customer: DataFrame,
     pattern: str | None = "%",
     returns: DataFrame | None = None,
+    index: DataFrame | None = None,
 ) -> DataFrame:
     """Films in stock whose title matches, with their latest rentals.
 
     film ``(film_id, title, language_name)``. Rentals tied for latest give one
     row each, with a shared number. A film never rented shows a blank customer
     and ``-`` as date. No match gives one informational row.
-    ``returns`` may give ``(inventory_id, return_date)`` of the rentals where that
-    is cheaper to read than ``rental``.
+    ``returns`` may give ``(inventory_id, film_id, return_date)`` of the rentals where that
+    is cheaper to read than ``rental``, and ``index`` the pieces of all titles (see
+    ``operators.text_index``). The titles are searched before this returns: all else is
+    read for the films found alone, and not at all if there are none.
     """
     if pattern is None or not pattern.strip(" "):
         raise ValueError("the search pattern is blank")
+    info = film.sparkSession.range(1).select(
+        F.lit(1).cast("bigint").alias("row_num"),
+        F.lit(NOT_FOUND).alias("film_title"),
+        *[F.lit("-").alias(name) for name in ("language", "customer_name", "rental_date")],
+    )
+    titled = materialise(
+        matching(film.select("film_id", "title", "language_name"), "film_id", "title", pattern, index)
+    )
+    if titled.isEmpty():
+        return info
+    wanted = titled.select("film_id")
+    copies_of = inventory.select("inventory_id", "film_id").join(wanted, "film_id", "left_semi")
     returns = rental if returns is None else returns
+    if "film_id" in returns.columns:
+        returns = returns.join(wanted, "film_id", "left_semi")
     out = returns.where(F.col("return_date").isNull()).select("inventory_id")
-    free = inventory.join(out, "inventory_id", "left_anti")
-    matched = film.where(matches("title", pattern)).join(
-        free.select("film_id"), "film_id", "left_semi"
-    )
+    free = copies_of.join(out, "inventory_id", "left_anti")
+    matched = materialise(titled.join(free.select("film_id"), "film_id", "left_semi"))
     # One row per film and customer before anything is compared.
-    rented = (
-        rental.join(inventory.select("inventory_id", "film_id"), "inventory_id")
-        .join(matched.select("film_id"), "film_id", "left_semi")
-        .groupBy("film_id", "customer_id")
-        .agg(F.max("rental_date").alias("rental_date"))
+    if "film_id" in rental.columns:
+        known = rental.join(matched.select("film_id"), "film_id", "left_semi")
+    else:
+        known = rental.join(copies_of, "inventory_id").join(matched.select("film_id"), "film_id", "left_semi")
+    rented = materialise(
+        known.groupBy("film_id", "customer_id").agg(F.max("rental_date").alias("rental_date"))
     )
     last = latest_rows(rented, ["film_id"], "rental_date").join(
         customer.select("customer_id", "first_name", "last_name"), "customer_id", "left"
     )
-    rows = (
+    rows = materialise(
         matched.select("film_id", "title", "language_name")
         .join(last, "film_id", "left")
         .select(
@@ -211,11 +229,6 @@ def films_in_stock(
         "customer_name",
         "rental_date",
     )
-    info = film.sparkSession.range(1).select(
-        F.lit(1).cast("bigint").alias("row_num"),
-        F.lit(NOT_FOUND).alias("film_title"),
-        *[F.lit("-").alias(name) for name in ("language", "customer_name", "rental_date")],
-    )
     return or_info_row(result, matched, info).orderBy("row_num")
 
 

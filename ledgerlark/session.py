@@ -85,9 +85,13 @@ def _versions(spark: SparkSession, paths: list[str]) -> tuple:
     return tuple(sorted(found))
 
 
-def written_once(spark: SparkSession, name: str, paths: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+def written_once(
+    spark: SparkSession, name: str, paths: list[str], build: Callable[[], DataFrame], as_table: bool = False
+) -> DataFrame:
     """The written table that ``build`` returns, shared by all who ask for ``name`` over the same files.
 
+    ``as_table`` says that it is a named table, whose layout is to be kept.
+
     It is built again if a file under ``paths`` changed or if its own files are gone.
     """
     key = (spark.sparkContext.applicationId, name, _versions(spark, paths))
@@ -95,6 +99,8 @@ def written_once(spark: SparkSession, name: str, paths: list[str], build: Callab
     if known is not None:
         root = spark._jvm.org.apache.hadoop.fs.Path(known.inputFiles()[0] if known.inputFiles() else "/")
         if root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root):
+            if as_table:
+                return known
             return known.sparkSession.read.schema(known.schema).parquet(root.getParent().toString())
     _WRITTEN[key] = build()
     return _WRITTEN[key]

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlark.session import materialise
+
 MONEY = "decimal(18,2)"
 
 
@@ -70,6 +74,39 @@ def append(df: DataFrame, path: str, defaults: dict | None = None) -> None:
     fit_to(df, target, defaults).write.mode("append").parquet(path)
 
 
+def change_partitions(
+    spark: SparkSession,
+    path: str,
+    column: str,
+    values: list,
+    change: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Copy on write: ``change`` makes new rows of the partitions ``values`` of a table that is
+    partitioned by ``column``; all others keep their files.
+
+    Only these partitions are read and written. A row must stay in one of them; otherwise
+    nothing is written and ``ValueError`` is raised. A partition that keeps no row goes.
+    """
+    if not values:
+        return spark.read.parquet(path)
+    table = spark.read.parquet(path)
+    # Written first: the rows are computed once, and are there whatever happens to the old files.
+    changed = materialise(change(table.where(F.col(column).isin(values))).select(*table.columns))
+    left = {row[0] for row in changed.select(column).distinct().limit(len(values) + 1).collect()}
+    if not left <= set(values):
+        raise ValueError(f"rows would leave the partitions of {column}: {sorted(map(str, left - set(values)))[:3]}")
+    if left:
+        (
+            changed.hint("rebalance", column).write.mode("overwrite").partitionBy(column)
+            .option("partitionOverwriteMode", "dynamic").parquet(path)
+        )
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for value in set(values) - left:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, f"{column}={value}"), True)
+    return spark.read.parquet(path)
+
+
 def truncate(spark: SparkSession, path: str) -> DataFrame:
     """Leave the table at ``path`` with its schema and without rows."""
     schema = spark.read.parquet(path).schema

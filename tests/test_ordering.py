@@ -104,28 +104,6 @@ def test_peer_numbers_equal_the_window_count(spark, spread):
     assert bag(got) == bag(want)
 
 
-@pytest.mark.parametrize("n,threshold", [(3, "1000"), (3, "1"), (200, "10")])
-def test_top_n(spark, conf, n, threshold):
-    conf(spark__sql__optimizer__windowGroupLimitThreshold=threshold)
-    data = hot_rows()
-    df = spark.createDataFrame(data, "k int, i int, v int")
-    got = ordering.top_n(df, ["k"], [F.desc("v"), F.asc("i")], n)
-    want = []
-    groups = defaultdict(list)
-    for row in data:
-        groups[row[0]].append(row)
-    for members in groups.values():
-        members.sort(key=lambda r: (-r[2], r[1]))
-        want += [(*row, place) for place, row in enumerate(members[:n], 1)]
-    assert bag(got.select("k", "i", "v", "place")) == sorted(want, key=repr)
-
-
-def test_top_n_is_cut_before_the_shuffle(spark):
-    df = spark.createDataFrame(hot_rows(), "k int, i int, v int")
-    plan = ordering.top_n(df, ["k"], [F.desc("v"), F.asc("i")], 5)._jdf.queryExecution().executedPlan()
-    assert plan.toString().count("WindowGroupLimit") == 2
-
-
 def test_best_rows_keeps_ties(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (2, 1, "d")], "k int, v int, t string")
     assert bag(ordering.best_rows(df, ["k"], [F.desc("v")])) == [(1, 5, "a"), (1, 5, "b"), (2, 1, "d")]
