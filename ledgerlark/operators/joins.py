@@ -58,11 +58,17 @@ def with_child_counts(
         )
         for i, child in enumerate(children.values())
     ])
-    counts = rows.groupBy(key).agg(
-        *[F.sum(F.when(F.col("_child") == i, F.col("_n"))).alias(name) for i, name in enumerate(children)]
-    )
+
+    def total(i: int, child: DataFrame) -> Column:
+        own = F.when(F.col("_child") == i, F.col("_n"))
+        return F.sum(own) if weight in child.columns else F.count(own)
+
+    counts = rows.groupBy(key).agg(*[total(i, child).alias(name) for i, (name, child) in enumerate(children.items())])
     if how == "inner":
-        counts = counts.where(all_of([F.col(name).isNotNull() for name in children]))
+        counts = counts.where(all_of([
+            F.col(name).isNotNull() if weight in child.columns else F.col(name) > 0
+            for name, child in children.items()
+        ]))
     result = parent.join(counts, key, how)
     return result.select(
         *parent.columns, *[F.coalesce(name, F.lit(0)).alias(name) for name in children]
