@@ -1,16 +1,18 @@
 """Personal data: fixed patterns, and spans that boosted trees add to them.
 
 Everything runs as DataFrame and SQL functions. The fixed patterns give the base
-spans of a text. Wider patterns propose candidate spans, which may overlap; format
-and context put each into a cell of a bounded grid, and the counts of the cells
-over the whole corpus are all that the trees are trained on: gradient boosting with
-logistic loss, where a candidate counts as positive if it meets a base span of its
-kind or a cue word stands before it. Half of the documents train, the other half
-sets each kind's threshold at the wanted precision. Candidates above it that meet
-no base span are added.
+spans of a text. Wider patterns propose candidate spans, which may overlap each other but no
+base span, and touch no letter or digit; format and context put each into a cell of a
+bounded grid, and the counts of the cells over the whole corpus are all that the trees are
+trained on, by gradient boosting with logistic loss. What they are to tell apart is what
+they may add: positives are base spans rewritten in ways that hide them from their pattern
+(an address with ``(at)``, a number without its ``+`` or with a wrong check digit), each in
+the context where it was found; negatives are the candidates as they are. Half of the
+documents train, the other half sets each kind's threshold at the wanted precision. A kind
+that never reaches it adds nothing.
 
 A match never needs a position of its own: the lengths of the pieces between the
-matches and of the matches themselves add up to it.
+matches and of the matches themselves add up to it, and the pieces hold its context.
 """
 
 from __future__ import annotations
@@ -55,33 +57,66 @@ BINS = {
     "digits": [0, 6, 9, 11, 13, 15, 16, 19],
     "marks": [0, 1, 2, 3],
     "opens": [0, 1],
+    "cue": [0],
     "before": [0, 1],
     "after": [0, 1],
     "longest": [0, 3, 4, 9, 13],
     "plain": [0],
 }
 
-_SPAN = "array<struct<s:int,e:int,v:string>>"
+_SPAN = "array<struct<s:int,e:int,v:string,b:string,a:string>>"
+_CONTEXT = 24
+_BLOCK = 256
 
 
-def _found(kind: str, pattern: str) -> Column:
-    """All matches of ``text`` with their places, left to right."""
-    hits = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    pieces = F.split("text", pattern, -1)
-    empty = F.array().cast(_SPAN)
+def _with_found(rows: DataFrame, kind: str, pattern: str, name: str) -> DataFrame:
+    """``rows`` with all matches of ``text``, left to right, as ``name``: place, value, and the
+    characters before and after.
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["p"])
-        end = start + F.length(x["h"])
-        one = F.array(F.struct(start.alias("s"), end.alias("e"), x["h"].alias("v")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], one).alias("out"))
-
-    walked = F.aggregate(
-        F.zip_with(hits, F.slice(pieces, F.lit(1), F.size(hits)),
-                   lambda h, p: F.struct(h.alias("h"), p.alias("p"))),
-        F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"],
+    The ends of the matches are running sums of lengths, taken in blocks, so that a text with
+    any number of matches costs in proportion. Each step is a column that is read more than
+    once, which keeps Spark from computing it again for every element.
+    """
+    hits, pieces, sizes, blocks = F.col("_hits"), F.col("_pieces"), F.col("_sizes"), F.col("_blocks")
+    n, blank = F.size(hits), F.array(F.lit(""))
+    nothing = F.array().cast("array<string>")
+    needed = F.col("text").rlike(_NEEDS[kind])
+    rows = rows.withColumn(
+        "_hits", F.when(needed, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(nothing)
+    ).withColumn("_pieces", F.when(needed, F.split("text", pattern, -1)).otherwise(nothing))
+    rows = rows.withColumn("_sizes", F.zip_with(
+        F.slice(pieces, F.lit(1), n), hits, lambda p, h: F.length(p) + F.length(h)
+    ))
+    rows = rows.withColumn("_blocks", F.transform(
+        F.sequence(F.lit(0), F.expr(f"(size(_sizes) - 1) div {_BLOCK}").cast("int")),
+        lambda i: F.slice(sizes, i * _BLOCK + 1, F.lit(_BLOCK)),
+    ))
+    rows = rows.withColumn("_before", F.aggregate(
+        F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda acc, x: acc + x)),
+        F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)),
+    ))
+    ends = F.flatten(F.zip_with(
+        blocks, F.slice("_before", F.lit(1), F.size(blocks)),
+        lambda block, before: F.aggregate(
+            block, F.array().cast("array<int>"),
+            lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), before) + x)),
+        ),
+    ))
+    # Each match between the piece and the match before it and those behind it.
+    around = F.arrays_zip(
+        hits.alias("h"), F.slice(pieces, F.lit(1), n).alias("p"), F.slice(pieces, F.lit(2), n).alias("q"),
+        F.slice(F.concat(blank, hits), F.lit(1), n).alias("before"),
+        F.slice(F.concat(hits, blank), F.lit(2), n).alias("behind"), ends.alias("e"),
     )
-    return F.when(F.col("text").rlike(_NEEDS[kind]), walked).otherwise(empty)
+
+    def placed(x: Column) -> Column:
+        return F.struct(
+            (x["e"] - F.length(x["h"])).alias("s"), x["e"].alias("e"), x["h"].alias("v"),
+            F.right(F.concat(F.right(x["before"], F.lit(1)), x["p"]), F.lit(_CONTEXT)).alias("b"),
+            F.left(F.concat(x["q"], x["behind"]), F.lit(1)).alias("a"),
+        )
+
+    return rows.withColumn(name, F.transform(around, placed)).drop("_hits", "_pieces", "_sizes", "_blocks", "_before")
 
 
 def _digits(value: Column) -> Column:
@@ -132,67 +167,125 @@ def _side(char: Column) -> Column:
     return F.when(char.rlike(r"^\s*$"), 0).when(char.rlike(r"^[\p{L}\p{N}]"), 1).otherwise(2)
 
 
-def _candidate(kind: str, c: Column, base: Column) -> Column:
+def _candidate(kind: str, c: Column, label: int) -> Column:
     """A candidate with its cell and its label."""
-    text, value = F.col("text"), c["v"]
+    value = c["v"]
     groups = F.filter(F.split(value, "[^0-9]+"), lambda g: g != "")
     opens = F.when(value.rlike(r"^(?:\+|00)"), 2).when(value.startswith("("), 1).otherwise(0)
-    met = F.exists(base, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]))
-    context = F.substring(text, F.greatest(c["s"] - 23, F.lit(1)), F.least(c["s"], F.lit(24)))
-    cue = F.when(c["s"] > 0, context.rlike(CUES)).otherwise(False)
-    previous = F.when(c["s"] > 0, F.substring(text, c["s"], F.lit(1))).otherwise("")
     return F.struct(
-        c["s"].alias("s"), c["e"].alias("e"), F.lit(KINDS.index(kind)).alias("k"), met.alias("met"),
-        (met | cue).cast("int").alias("label"),
+        c["s"].alias("s"), c["e"].alias("e"), F.lit(KINDS.index(kind)).alias("k"), F.lit(label).alias("label"),
         _bin("digits", F.length(_digits(value))).alias("digits"),
         _bin("marks", F.length(F.regexp_replace(value, "[A-Za-z0-9]", ""))).alias("marks"),
         _bin("opens", opens).alias("opens"),
-        _bin("before", _side(previous)).alias("before"),
-        _bin("after", _side(F.substring(text, c["e"] + 1, F.lit(1)))).alias("after"),
+        _bin("cue", c["b"].rlike(CUES).cast("int")).alias("cue"),
+        _bin("before", _side(F.right(c["b"], F.lit(1)))).alias("before"),
+        _bin("after", _side(c["a"])).alias("after"),
         _bin("longest", F.coalesce(F.array_max(F.transform(groups, F.length)), F.lit(0))).alias("longest"),
         _bin("plain", value.contains("@").cast("int")).alias("plain"),
     )
 
 
+def _rewritten(kind: str, value: Column) -> Column:
+    """A base match in a form that its pattern does not find, one of two by the match's own hash."""
+    even = F.pmod(F.xxhash64(value), F.lit(2)) == 0
+    last = F.right(value, F.lit(1)).cast("int")
+    wrong = F.concat(F.substr(value, F.lit(1), F.length(value) - 1), ((last + 1) % 10).cast("string"))
+    return {
+        "email": F.when(even, F.regexp_replace(value, "@", " (at) ")).otherwise(
+            F.regexp_replace(F.regexp_replace(value, "@", " [at] "), r"\.(?=[A-Za-z0-9-]+$)", " [dot] ")),
+        "ip": F.regexp_replace(value, r"\.", ":"),
+        "card": F.when(even & value.rlike("[ -]"), F.regexp_replace(value, "[ -]", ".")).otherwise(wrong),
+        "phone": F.regexp_replace(value, r"^\+", F.when(even, F.lit("")).otherwise(F.lit("00"))),
+    }[kind]
+
+
 def _check(kind: str):
     return lambda c: _valid(kind, c["v"])
 
 
-def _long_enough(kind: str):
-    return lambda c: F.length(_digits(c["v"])).between(*_DIGITS[kind])
+def _possible(kind: str):
+    """A candidate of a length that the kind can have, and no piece of a longer word or number."""
+    side = r"^[\p{L}\p{N}]"
+    return lambda c: (
+        F.length(_digits(c["v"])).between(*_DIGITS[kind])
+        & ~F.right(c["b"], F.lit(1)).rlike(side) & ~c["a"].rlike(side)
+    )
+
+
+def _clear(base: Column, wide: Column) -> Column:
+    """The candidates that meet no base span, by one walk over both in the order of their starts.
+
+    A candidate is held until something starts behind it, since a base span may begin
+    inside it; candidates of one kind never overlap, so one is held at a time.
+    """
+    place = F.struct(F.lit(None).cast("int").alias("s"), F.lit(None).cast("int").alias("e"),
+                     F.lit("").alias("v"), F.lit("").alias("b"), F.lit("").alias("a"))
+    both = F.array_sort(F.concat(
+        F.transform(base, lambda x: F.struct(x["s"].alias("s"), F.lit(0).alias("t"), x["e"].alias("e"), place.alias("c"))),
+        F.transform(wide, lambda x: F.struct(x["s"].alias("s"), F.lit(1).alias("t"), x["e"].alias("e"), x.alias("c"))),
+    ))
+
+    def step(acc: Column, x: Column) -> Column:
+        is_base = x["t"] == 0
+        held = acc["held"]["s"].isNotNull()
+        none = place
+        keeps = held & is_base & (x["s"] >= acc["held"]["e"])
+        gives = held & (~is_base | keeps)
+        return F.struct(
+            F.when(is_base, F.greatest(acc["reach"], x["e"])).otherwise(acc["reach"]).alias("reach"),
+            F.when(is_base | (acc["reach"] > x["s"]), none).otherwise(x["c"]).alias("held"),
+            F.when(gives, F.concat(acc["out"], F.array(acc["held"]))).otherwise(acc["out"]).alias("out"),
+        )
+
+    def end(acc: Column) -> Column:
+        return F.when(acc["held"]["s"].isNotNull(), F.concat(acc["out"], F.array(acc["held"]))).otherwise(acc["out"])
+
+    start = F.struct(F.lit(0).alias("reach"), place.alias("held"), F.array().cast(_SPAN).alias("out"))
+    return F.aggregate(both, start, step, end)
+
+
+def _described(kind: str, label: int):
+    return lambda c: _candidate(kind, c, label)
+
 
+def _hidden(kind: str):
+    def rewrite(c: Column) -> Column:
+        return F.struct(c["s"].alias("s"), c["e"].alias("e"), _rewritten(kind, c["v"]).alias("v"),
+                        c["b"].alias("b"), c["a"].alias("a"))
 
-def _described(kind: str):
-    return lambda c: _candidate(kind, c, F.col(kind))
+    return F.transform(F.transform(F.col(kind), rewrite), _described(kind, 1))
 
 
 def find_spans(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", whole_rows: bool = False
 ) -> DataFrame:
-    """``doc_id``, base spans per kind, and candidates, for every row; with
-    ``whole_rows`` also the ``text`` and the whole ``row``."""
+    """``doc_id``, base spans per kind, candidates that meet none, and base spans as they would
+    look in hiding, for every row; with ``whole_rows`` also the whole ``row``."""
     if whole_rows:
         out = docs.select(F.lit(None).cast("bigint").alias("doc_id"), whole_text(text_column).alias("text"),
                           whole_row(docs))
     else:
         out = texts_of(docs, id_column, text_column)
     for kind in KINDS:
-        out = out.withColumn(f"raw_{kind}", _found(kind, BASE[kind]))
+        out = _with_found(out, kind, BASE[kind], f"raw_{kind}")
         out = out.withColumn(kind, F.filter(f"raw_{kind}", _check(kind)))
-    for kind in KINDS:
-        out = out.withColumn(f"wide_{kind}", F.filter(_found(kind, WIDE[kind]), _long_enough(kind)))
-        out = out.withColumn(f"wide_{kind}", F.transform(f"wide_{kind}", _described(kind)))
 
     def plain(kind: str) -> Column:
         number = F.lit(KINDS.index(kind))
         return F.transform(kind, lambda c: F.struct(c["s"].alias("s"), number.alias("k"), c["e"].alias("e")))
 
+    out = out.withColumn("base", F.array_sort(F.concat(*map(plain, KINDS))))
+    for kind in KINDS:
+        out = _with_found(out, kind, WIDE[kind], f"near_{kind}")
+        out = out.withColumn(f"wide_{kind}", F.filter(f"near_{kind}", _possible(kind)))
+        out = out.withColumn(f"clear_{kind}", _clear(F.col("base"), F.col(f"wide_{kind}")))
     return out.select(
         "doc_id", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"),
         *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in KINDS],
-        F.array_sort(F.concat(*map(plain, KINDS))).alias("base"),
-        F.concat(*[f"wide_{kind}" for kind in KINDS]).alias("wide"),
-        *(["text", "row"] if whole_rows else []),
+        "base",
+        F.concat(*[F.transform(f"clear_{kind}", _described(kind, 0)) for kind in KINDS]).alias("wide"),
+        F.concat(*map(_hidden, KINDS)).alias("hidden"),
+        *(["row"] if whole_rows else []),
     )
 
 
@@ -305,8 +398,8 @@ def train(cells: list[Row], rounds: int = 24, depth: int = 3, rate: float = 0.3,
 
 
 def _cells(spans: DataFrame) -> DataFrame:
-    """Candidates per cell and half; at most the product of the bins, 117,000 rows."""
-    one = spans.select("fold", F.explode("wide").alias("c"))
+    """Candidates and hidden base spans per cell and half; at most the product of the bins, 233,000 rows."""
+    one = spans.select("fold", F.explode(F.concat("wide", "hidden")).alias("c"))
     return one.groupBy("fold", *[F.col(f"c.{name}").alias(name) for name in FEATURES]).agg(
         F.count("*").alias("n"), F.sum("c.label").alias("positive")
     )
@@ -340,12 +433,9 @@ def find_personal_data(
 
 
 def _added(model: Model) -> Column:
-    """The candidates that the model selects and that meet no base span."""
-    clear = F.filter("wide", lambda c: model.selects(c) & ~F.exists(
-        "base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])
-    ))
+    """The candidates that the model selects; none of them meets a base span."""
     return F.array_distinct(F.transform(
-        clear, lambda c: F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e"))
+        F.filter("wide", model.selects), lambda c: F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e"))
     ))
 
 
@@ -353,11 +443,13 @@ def redact(docs: DataFrame, text_column: str = "text", precision: float = 0.95)
     """The rows of ``docs`` with every span replaced by its kind, as in ``[email]``.
 
     Spans that overlap are replaced together, by the kind of the first. Where a
-    column ``n_chars`` counted the text, it counts the new one. Rows without spans
-    stay as they are.
+    column ``n_chars`` counted the text, it counts the new one. Rows without spans, null
+    texts among them, stay as they are, and repeated rows are changed alike.
     """
-    model = train(_cells(find_spans(docs, text_column=text_column)).collect(), precision=precision)
-    found = find_spans(docs, text_column=text_column, whole_rows=True)
+    # Written: the spans are found once, and the texts read again with them.
+    found = materialise(find_spans(docs, text_column=text_column, whole_rows=True))
+    model = train(_cells(found).collect(), precision=precision)
+    found = found.withColumn("text", whole_text(F.col("row").getField(text_column)))
     names = F.array(*[F.lit(f"[{kind}]") for kind in KINDS])
 
     def step(acc: Column, c: Column) -> Column:

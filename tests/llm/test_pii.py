@@ -135,3 +135,41 @@ def test_digits_are_ascii_only(make):
 
 def test_kinds_stand_in_order():
     assert list(pii.BASE) == KINDS == ["email", "ip", "card", "phone"]
+
+
+def test_no_piece_of_a_longer_word_is_added(make):
+    """Digit runs in hex strings are no candidates, whatever the trees say."""
+    rng = random.Random(9)
+    texts = [f"call +1 (988) 555-{i:04d} now" for i in range(1000, 1150)]
+    texts += ["".join(rng.choice("0123456789abcdef") for _ in range(64)) for _ in range(100)]
+    got = find_personal_data(make(texts)).collect()
+    assert all(r.n_added == 0 for r in got if r.doc_id >= 150)
+
+
+def test_hidden_forms_are_found_and_numbers_are_left(make):
+    rng = random.Random(5)
+    texts = [f"call +1 (988) 555-{i:04d} or mail me{i}@x.org" for i in range(1000, 1300)]
+    texts += [f"row {rng.randrange(10**8)} of {rng.randrange(10**9)} {rng.randrange(10**7)}" for _ in range(300)]
+    hidden = [f"call 1 (988) 555-{i:04d} or mail me{i} (at) x.org" for i in range(2000, 2040)]
+    got = {r.doc_id: r for r in find_personal_data(make(texts + hidden)).collect()}
+    assert sum(got[i].n_added for i in range(300, 600)) <= 3
+    assert sum(got[i].n_added for i in range(600, 640)) >= 70
+
+
+def test_a_candidate_meets_no_base_span(spark):
+    """Against every pair, with base spans that begin before, in and behind a candidate."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    span = "struct<s:int,e:int,v:string,b:string,a:string>"
+    rows = []
+    for i in range(60):
+        ends = sorted(rng.sample(range(60), 10))
+        wide = [(a, b, "v", "", "") for a, b in zip(ends[::2], ends[1::2])]
+        base = sorted((s, 0, s + rng.randrange(1, 12)) for s in rng.sample(range(60), rng.randrange(5)))
+        rows.append((i, base, wide))
+    df = spark.createDataFrame(rows, f"i int, base array<struct<s:int,k:int,e:int>>, wide array<{span}>")
+    got = df.select("i", pii._clear(F.col("base"), F.col("wide")).alias("c")).collect()
+    for i, base, wide in rows:
+        want = [w for w in wide if not any(b[0] < w[1] and w[0] < b[2] for b in base)]
+        assert [tuple(c) for c in got[i].c] == want
