@@ -69,45 +69,44 @@ _CONTEXT = 24
 _BLOCK = 256
 
 
-def _with_found(rows: DataFrame, kind: str, pattern: str, name: str) -> DataFrame:
-    """``rows`` with all matches of ``text``, left to right, as ``name``: place, value, and the
-    characters before and after.
+def _with_found(rows: DataFrame, patterns: dict[str, str], prefix: str) -> DataFrame:
+    """``rows`` with all matches of ``text`` for each kind, left to right, as ``prefix`` and the
+    kind: place, value, and the characters before and after.
 
     The ends of the matches are running sums of lengths, taken in blocks, so that a text with
     any number of matches costs in proportion. Each step is a column that is read more than
     once, which keeps Spark from computing it again for every element.
     """
-    hits, pieces, sizes, blocks = F.col("_hits"), F.col("_pieces"), F.col("_sizes"), F.col("_blocks")
-    n, blank = F.size(hits), F.array(F.lit(""))
     nothing = F.array().cast("array<string>")
-    needed = F.col("text").rlike(_NEEDS[kind])
-    rows = rows.withColumn(
-        "_hits", F.when(needed, F.regexp_extract_all("text", F.lit(pattern), F.lit(0))).otherwise(nothing)
-    ).withColumn("_pieces", F.when(needed, F.split("text", pattern, -1)).otherwise(nothing))
-    rows = rows.withColumn("_sizes", F.zip_with(
-        F.slice(pieces, F.lit(1), n), hits, lambda p, h: F.length(p) + F.length(h)
-    ))
-    rows = rows.withColumn("_blocks", F.transform(
-        F.sequence(F.lit(0), F.expr(f"(size(_sizes) - 1) div {_BLOCK}").cast("int")),
-        lambda i: F.slice(sizes, i * _BLOCK + 1, F.lit(_BLOCK)),
-    ))
-    rows = rows.withColumn("_before", F.aggregate(
-        F.transform(blocks, lambda block: F.aggregate(block, F.lit(0), lambda acc, x: acc + x)),
-        F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)),
-    ))
-    ends = F.flatten(F.zip_with(
-        blocks, F.slice("_before", F.lit(1), F.size(blocks)),
-        lambda block, before: F.aggregate(
-            block, F.array().cast("array<int>"),
-            lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), before) + x)),
-        ),
-    ))
-    # Each match between the piece and the match before it and those behind it.
-    around = F.arrays_zip(
-        hits.alias("h"), F.slice(pieces, F.lit(1), n).alias("p"), F.slice(pieces, F.lit(2), n).alias("q"),
-        F.slice(F.concat(blank, hits), F.lit(1), n).alias("before"),
-        F.slice(F.concat(hits, blank), F.lit(2), n).alias("behind"), ends.alias("e"),
-    )
+    blank = F.array(F.lit(""))
+    kept = rows.columns
+
+    def each(name: str, make) -> dict[str, Column]:
+        return {f"{name}_{kind}": make(kind) for kind in patterns}
+
+    def needed(kind: str, value: Column) -> Column:
+        return F.when(F.col("text").rlike(_NEEDS[kind]), value).otherwise(nothing)
+
+    def firsts(kind: str, values: Column, start: int = 1) -> Column:
+        return F.slice(values, F.lit(start), F.size(f"_hits_{kind}"))
+
+    def ends(kind: str) -> Column:
+        return F.flatten(F.zip_with(
+            F.col(f"_blocks_{kind}"), F.slice(f"_before_{kind}", F.lit(1), F.size(f"_blocks_{kind}")),
+            lambda block, before: F.aggregate(
+                block, F.array().cast("array<int>"),
+                lambda acc, x: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), before) + x)),
+            ),
+        ))
+
+    def around(kind: str) -> Column:
+        """Each match between the piece and the match before it and those behind it."""
+        hits, pieces = F.col(f"_hits_{kind}"), F.col(f"_pieces_{kind}")
+        return F.arrays_zip(
+            hits.alias("h"), firsts(kind, pieces).alias("p"), firsts(kind, pieces, 2).alias("q"),
+            firsts(kind, F.concat(blank, hits)).alias("before"),
+            firsts(kind, F.concat(hits, blank), 2).alias("behind"), ends(kind).alias("e"),
+        )
 
     def placed(x: Column) -> Column:
         return F.struct(
@@ -116,7 +115,22 @@ def _with_found(rows: DataFrame, kind: str, pattern: str, name: str) -> DataFram
             F.left(F.concat(x["q"], x["behind"]), F.lit(1)).alias("a"),
         )
 
-    return rows.withColumn(name, F.transform(around, placed)).drop("_hits", "_pieces", "_sizes", "_blocks", "_before")
+    rows = rows.withColumns(
+        each("_hits", lambda kind: needed(kind, F.regexp_extract_all("text", F.lit(patterns[kind]), F.lit(0))))
+        | each("_pieces", lambda kind: needed(kind, F.split("text", patterns[kind], -1)))
+    )
+    rows = rows.withColumns(each("_sizes", lambda kind: F.zip_with(
+        firsts(kind, F.col(f"_pieces_{kind}")), F.col(f"_hits_{kind}"), lambda p, h: F.length(p) + F.length(h)
+    )))
+    rows = rows.withColumns(each("_blocks", lambda kind: F.transform(
+        F.sequence(F.lit(0), F.expr(f"(size(_sizes_{kind}) - 1) div {_BLOCK}").cast("int")),
+        lambda i: F.slice(f"_sizes_{kind}", i * _BLOCK + 1, F.lit(_BLOCK)),
+    )))
+    rows = rows.withColumns(each("_before", lambda kind: F.aggregate(
+        F.transform(f"_blocks_{kind}", lambda block: F.aggregate(block, F.lit(0), lambda acc, x: acc + x)),
+        F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)),
+    )))
+    return rows.select(*kept, *[F.transform(around(kind), placed).alias(f"{prefix}_{kind}") for kind in patterns])
 
 
 def _digits(value: Column) -> Column:
@@ -266,19 +280,17 @@ def find_spans(
                           whole_row(docs))
     else:
         out = texts_of(docs, id_column, text_column)
-    for kind in KINDS:
-        out = _with_found(out, kind, BASE[kind], f"raw_{kind}")
-        out = out.withColumn(kind, F.filter(f"raw_{kind}", _check(kind)))
+    out = _with_found(out, BASE, "raw")
+    out = out.withColumns({kind: F.filter(f"raw_{kind}", _check(kind)) for kind in KINDS})
 
     def plain(kind: str) -> Column:
         number = F.lit(KINDS.index(kind))
         return F.transform(kind, lambda c: F.struct(c["s"].alias("s"), number.alias("k"), c["e"].alias("e")))
 
     out = out.withColumn("base", F.array_sort(F.concat(*map(plain, KINDS))))
-    for kind in KINDS:
-        out = _with_found(out, kind, WIDE[kind], f"near_{kind}")
-        out = out.withColumn(f"wide_{kind}", F.filter(f"near_{kind}", _possible(kind)))
-        out = out.withColumn(f"clear_{kind}", _clear(F.col("base"), F.col(f"wide_{kind}")))
+    out = _with_found(out, WIDE, "near")
+    out = out.withColumns({f"wide_{kind}": F.filter(f"near_{kind}", _possible(kind)) for kind in KINDS})
+    out = out.withColumns({f"clear_{kind}": _clear(F.col("base"), F.col(f"wide_{kind}")) for kind in KINDS})
     return out.select(
         "doc_id", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("fold"),
         *[F.size(kind).cast("bigint").alias(f"n_{kind}") for kind in KINDS],
