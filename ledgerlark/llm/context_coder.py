@@ -6,8 +6,11 @@ same id, last time; order 0 keeps the ids seen most, in a table of ``SEEN`` plac
 Whether a guess is right is one decision, whose probability mixes what all three
 orders say about the guessed id, in the logistic domain, by weights that learn from
 every answer. An id that is not guessed is given by its place in the order-0 table
-if it has one, and in full if not, which is a decision as well. Everything goes
-through one range coder.
+if it has one, and in full if not, which is a decision as well. Places, and the upper
+bits of ids in full, are coded in digits of three bits, each by a distribution that
+follows the order-0 counts of the digits met behind the same digits before; only the
+lower bits of an id that has no place are coded as they are. Everything goes through
+one range coder.
 
 Blocks know nothing of each other, so many are coded in lockstep, one numpy lane
 each; every array below has one row per lane. All arithmetic is on integers, so a
@@ -24,8 +27,14 @@ import numpy as np
 #: Ids of a block, and blocks coded in lockstep.
 BLOCK, LANES = 2048, 2048
 #: Places of the order-1 and order-2 tables, and of the order-0 table, per lane.
-CONTEXTS, SEEN = 2048, 512
-_SEEN_BITS = SEEN.bit_length() - 1
+CONTEXTS, SEEN = 2048, 512  # SEEN is 2**_SPELLED
+#: Digits of a spelled value, their bits, and the nodes of the tree of its digits.
+DIGITS, DIGIT_BITS = 3, 3
+_SPELLED = DIGITS * DIGIT_BITS
+_NODES = sum(1 << DIGIT_BITS * i for i in range(DIGITS))
+# Distributions are in 1/2**14. A digit keeps more than _FLOOR - 2**_SLOWEST of it.
+_UNIT, _FLOOR, _SLOWEST = 14, 48, 5
+_BASE = 1 << DIGIT_BITS
 # The coder keeps 48 bits and gives out 16 whenever its range falls below 32.
 _TOP, _LEAST = np.uint64(48), np.uint64(1 << 32)
 _MASK = np.uint64((1 << 48) - 1)
@@ -44,6 +53,22 @@ STRETCH = np.array(
     np.int32,
 )
 
+#: By the digit met, where each digit's share would start if it were all that is met.
+STARTS = np.array(
+    [[_FLOOR * k + (k > digit) * ((1 << _UNIT) - _FLOOR * _BASE) for k in range(_BASE)]
+     for digit in range(_BASE)],
+    np.int16,
+)
+
+
+def _share(starts: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the share of each lane's digit starts, and its size."""
+    flat = np.append(starts.ravel(), np.int16(0))
+    cell = np.arange(0, starts.size, _BASE) + digit
+    first = flat.take(cell)
+    end = np.where(digit < _BASE - 1, flat.take(cell + 1), np.int16(1 << _UNIT))
+    return first.astype(np.uint64), (end - first).astype(np.uint64)
+
 
 class Encoder:
     def __init__(self, lanes: int, room: int):
@@ -84,6 +109,13 @@ class Encoder:
         self._settle(at, self.low[at] + span * value.astype(np.uint64), span)
         return value
 
+    def digit(self, at: np.ndarray, starts: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """Code one digit of each lane; ``starts`` has where the digits' shares start."""
+        unit = self.range[at] >> np.uint64(_UNIT)
+        first, size = _share(starts, value)
+        self._settle(at, self.low[at] + unit * first, unit * size)
+        return value
+
     def finish(self) -> list[bytes]:
         lanes = np.arange(len(self.n))
         for shift in (32, 16, 0):
@@ -126,6 +158,14 @@ class Decoder:
         self._settle(at, code - value * span, span)
         return value.astype(np.int64)
 
+    def digit(self, at: np.ndarray, starts: np.ndarray, value: None = None) -> np.ndarray:
+        unit, code = self.range[at] >> np.uint64(_UNIT), self.code[at]
+        place = np.minimum(code // unit, np.uint64((1 << _UNIT) - 1)).astype(np.int16)
+        value = (np.ascontiguousarray(starts.T)[1:] <= place).sum(axis=0, dtype=np.int8).astype(np.int64)
+        first, size = _share(starts, value)
+        self._settle(at, code - unit * first, unit * size)
+        return value
+
 
 def _place(ids: np.ndarray) -> np.ndarray:
     return (ids.astype(np.int64) * 0x9E3779B1 >> 12) & (SEEN - 1)
@@ -149,6 +189,11 @@ class Model:
         self.chance = np.full((2, 3, lanes * 17), 1 << 14, np.int32)
         self.weight = np.full((2, 3, lanes), 1 << 15, np.int32)
         self.has_place = np.full(lanes, 1 << 15, np.int32)
+        # Order 0 of places and of the upper bits of ids: by the digits before, where the
+        # share of each digit starts, and how often the node was met.
+        self.starts = np.empty((2, lanes * _NODES, _BASE), np.int16)
+        self.starts[:] = np.arange(_BASE) << (_UNIT - DIGIT_BITS)
+        self.met = np.zeros((2, lanes * _NODES), np.int16)
 
     def _order_0(self, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
         cell = at * SEEN + _place(ids)
@@ -172,6 +217,24 @@ class Model:
             self.weight[question, i][at] = np.clip(weight, -(1 << 18), 1 << 18)
         return yes
 
+    def _digits(self, coder, book: int, at: np.ndarray, value: np.ndarray | None) -> np.ndarray:
+        """A value of ``_SPELLED`` bits, digit by digit."""
+        starts, met, root = self.starts[book], self.met[book], at * _NODES
+        halves = starts.view(np.int64)  # four digits at once, for fast writing
+        node = out = np.zeros(len(at), np.int64)
+        for left in range(_SPELLED - DIGIT_BITS, -1, -DIGIT_BITS):
+            cell = root + node
+            known, times = starts.take(cell, axis=0), met.take(cell)
+            digit = coder.digit(at, known, None if value is None else (value >> left) & (_BASE - 1))
+            rate = np.minimum(2 + (times >> 1), _SLOWEST)
+            known += (STARTS.take(digit, axis=0) - known) >> rate[:, None]
+            for i, half in enumerate(known.view(np.int64).T):
+                halves[:, i][cell] = half
+            met[cell] = np.minimum(times + 1, 8)
+            node = (node << DIGIT_BITS) + 1 + digit
+            out = (out << DIGIT_BITS) | digit
+        return out
+
     def _spell(self, coder, at: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
         """An id by its place in the order-0 table, or in full."""
         p = self.has_place[at]
@@ -186,12 +249,12 @@ class Model:
         some = np.flatnonzero(placed)
         if len(some):
             at_some = at[some]
-            place = coder.plain(at_some, _SEEN_BITS, None if ids is None else place[some])
+            place = self._digits(coder, 0, at_some, None if ids is None else place[some])
             out[some] = self.seen[at_some * SEEN + place]
         some = np.flatnonzero(~placed)
         if len(some):
-            at_some, left = at[some], self.id_bits
-            value = np.zeros(len(some), np.int64)
+            at_some, left = at[some], max(self.id_bits - _SPELLED, 0)
+            value = self._digits(coder, 1, at_some, None if ids is None else ids[some] >> left)
             while left:
                 n = min(left, 16)
                 left -= n
@@ -265,8 +328,9 @@ def encode_ids(ids: np.ndarray, id_bits: int = 16, block: int = BLOCK, lanes: in
         sizes[-1] = len(part) - block * (hi - lo - 1)
         table = np.zeros((hi - lo) * block, np.int64)
         table[: len(part)] = part
-        # At worst an id takes its bits and three decisions of 8 bits against it.
-        coder = Encoder(hi - lo, -(-(id_bits + 26) // 16) * min(block, int(sizes.max())) + 8)
+        # At worst an id takes its lower bits, three digits of 10 bits and three decisions
+        # of 8 bits against it.
+        coder = Encoder(hi - lo, -(-(max(id_bits - _SPELLED, 0) + 56) // 16) * min(block, int(sizes.max())) + 8)
         _run(coder, sizes, id_bits, table.reshape(hi - lo, block))
         for code, size in zip(coder.finish(), sizes):
             heads.append((int(size), len(code), zlib.crc32(code)))

@@ -38,6 +38,31 @@ def test_adapts():
     assert len(encode_ids(noise)) < 1.1 * 2 * len(noise)
 
 
+def test_order_0_predicts():
+    """Ids drawn one by one, so that only how often each is met can be learned."""
+    rng = np.random.default_rng(4)
+    share = 1 / np.arange(1, 65) ** 2
+    share /= share.sum()
+    ids = rng.permutation(49408)[:64][rng.choice(64, 20_000, p=share)].astype(np.uint32)
+    entropy = -(share * np.log2(share)).sum()
+    assert 8 * len(encode_ids(ids, block=10_000)) / len(ids) < entropy + 1
+    # Rare ids share their upper bits.
+    near = (40_000 + rng.integers(0, 128, 8192)).astype(np.uint32)
+    data = encode_ids(near)
+    assert (decode_ids(data) == near).all()
+    assert 8 * len(data) / len(near) < 10.5
+
+
+@pytest.mark.parametrize("id_bits", [3, 9, 10, 16, 31])
+def test_any_width_at_its_worst(id_bits):
+    """Ids that always go against what was learned do not outgrow the room kept for them."""
+    rng = np.random.default_rng(id_bits)
+    top = (1 << id_bits) - 1
+    ids = np.where(np.arange(4096) % 256 < 250, 0, rng.integers(0, top + 1, 4096)).astype(np.uint32)
+    for values in (ids, rng.integers(0, top + 1, 4096).astype(np.uint32), np.full(4096, top, np.uint32)):
+        assert (decode_ids(encode_ids(values, id_bits=id_bits)) == values).all()
+
+
 def test_blocks_are_independent():
     rng = np.random.default_rng(2)
     ids = rng.integers(0, 300, 1000).astype(np.uint32)
