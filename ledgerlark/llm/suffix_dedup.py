@@ -31,6 +31,7 @@ so gives on at most one occurrence of a string, and the runs of a part are merge
 from __future__ import annotations
 
 import hashlib
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,6 +53,8 @@ STEP = 1 << 19
 HOT = 100_000
 #: Bytes of text whose regions are sorted into one run.
 RUN_BYTES = 24 << 20
+#: Bytes of regions, before they are front-coded, that are merged in one task.
+PART_BYTES = 64 << 20
 #: Runs of single strings that meet in one task.
 FAN = 64
 #: Ranges of single strings that are given out together.
@@ -262,8 +265,8 @@ def _runs(parts: int, length: int, gram: int):
     ranges of single strings that are repeated within their run."""
 
     def make(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_runs: list[dict] = [{} for _ in range(parts)]
-        single: list[dict] = [{} for _ in range(parts)]
+        open_runs: dict[int, dict] = defaultdict(dict)
+        single: dict[int, dict] = defaultdict(dict)
         given: list[tuple] = []
         context = TaskContext.get()
         number = (context.partitionId() if context else 0) << 32
@@ -271,10 +274,9 @@ def _runs(parts: int, length: int, gram: int):
 
         def close() -> Iterator[pd.DataFrame]:
             for some, n in ((open_runs, -1), (single, number)):
-                full = [p for p in range(parts) if some[p]]
+                full = sorted(p for p, run in some.items() if run)
                 yield _written(full, n, [encode_run(some[p]) for p in full])
-                for p in full:
-                    some[p] = {}
+                some.clear()
 
         unpack = zstandard.ZstdDecompressor()
         for frame in frames:
@@ -547,6 +549,17 @@ def _pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield frame.drop(columns="raw").assign(packed=[packer.compress(raw) for raw in frame.raw])
 
 
+def _number_of_parts(repeated: DataFrame, length: int, gram: int, part_bytes: int) -> int:
+    """As many parts as the regions of all repeated anchors fill.
+
+    A region is at most ``2 * length - gram`` bytes. Those behind frequent anchors are
+    counted as well, although their strings are merged in rounds of ``fan`` runs.
+    """
+    regions = repeated.agg(F.sum("n")).first()[0] or 0
+    least = 2 * int(repeated.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-regions * (2 * length - gram) // part_bytes))
+
+
 def remove_repeats(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -555,6 +568,7 @@ def remove_repeats(
     gram: int = GRAM,
     hot: int = HOT,
     fan: int = FAN,
+    part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """n_bytes, n_removed, n_spans and kept_sha256 of every document.
 
@@ -588,7 +602,7 @@ def remove_repeats(
     packed = whole.mapInPandas(
         _pack, "place bigint, mark bigint, packed binary"
     )
-    parts = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = _number_of_parts(repeated, length, gram, part_bytes)
     runs = materialise(
         packed.select(*keys, "packed").join(found, keys)
         .mapInPandas(_runs(parts, length, gram), RUNS)

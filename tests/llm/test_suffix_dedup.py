@@ -10,6 +10,7 @@ import pytest
 import zstandard
 
 from ledgerlark.llm.suffix_dedup import HOT, LoserTree, decode_run, encode_run, regions, remove_repeats, united
+from ledgerlark.llm.suffix_dedup import _number_of_parts as number_of_parts
 from ledgerlark.llm.suffix_dedup import _runs as make_runs
 
 
@@ -98,6 +99,17 @@ def test_frequent_strings_meet_in_rounds(make, copies, fan):
     assert Counter(map(tuple, got.collect())) == brute(enumerate(texts), 20)
 
 
+def test_parts_grow_with_the_regions(spark, make):
+    anchors = spark.createDataFrame([(1, 900), (2, 100)], "h bigint, n bigint")
+    least = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert number_of_parts(anchors, 200, 64, 336 * 1000) == least
+    assert number_of_parts(anchors, 200, 64, 336) == 1000
+    assert number_of_parts(anchors.limit(0), 200, 64, 336) == least
+    texts = corpus(5, "abcd")
+    got = remove_repeats(make(texts), length=20, gram=8, part_bytes=64)
+    assert Counter(map(tuple, got.collect())) == brute(enumerate(texts), 20)
+
+
 def test_at_least_two_runs_meet(make):
     with pytest.raises(ValueError):
         remove_repeats(make(["x"]), fan=1)
