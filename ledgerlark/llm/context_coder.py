@@ -189,11 +189,11 @@ class Model:
         self.chance = np.full((2, 3, lanes * 17), 1 << 14, np.int32)
         self.weight = np.full((2, 3, lanes), 1 << 15, np.int32)
         self.has_place = np.full(lanes, 1 << 15, np.int32)
-        # Order 0 of places and of the upper bits of ids: by the digits before, where the
+        # Order 0 of the upper bits of ids and of places: by the digits before, where the
         # share of each digit starts, and how often the node was met.
-        self.starts = np.empty((2, lanes * _NODES, _BASE), np.int16)
+        self.starts = np.empty((2 * lanes * _NODES, _BASE), np.int16)
         self.starts[:] = np.arange(_BASE) << (_UNIT - DIGIT_BITS)
-        self.met = np.zeros((2, lanes * _NODES), np.int16)
+        self.met = np.zeros(2 * lanes * _NODES, np.int16)
 
     def _order_0(self, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
         cell = at * SEEN + _place(ids)
@@ -217,9 +217,9 @@ class Model:
             self.weight[question, i][at] = np.clip(weight, -(1 << 18), 1 << 18)
         return yes
 
-    def _digits(self, coder, book: int, at: np.ndarray, value: np.ndarray | None) -> np.ndarray:
-        """A value of ``_SPELLED`` bits, digit by digit."""
-        starts, met, root = self.starts[book], self.met[book], at * _NODES
+    def _digits(self, coder, at: np.ndarray, placed: np.ndarray, value: np.ndarray | None) -> np.ndarray:
+        """A place, or the upper bits of an id, digit by digit."""
+        starts, met, root = self.starts, self.met, (2 * at + placed) * _NODES
         halves = starts.view(np.int64)  # four digits at once, for fast writing
         node = out = np.zeros(len(at), np.int64)
         for left in range(_SPELLED - DIGIT_BITS, -1, -DIGIT_BITS):
@@ -245,22 +245,16 @@ class Model:
             placed = None
         placed = coder.bits(at, np.clip(p >> 4, 16, 4080), placed)
         self.has_place[at] = p + ((placed * np.int32(65535) - p) >> 5)
-        out = np.zeros(len(at), np.int64)
+        left = max(self.id_bits - _SPELLED, 0)
+        out = self._digits(coder, at, placed, None if ids is None else np.where(placed, place, ids >> left))
         some = np.flatnonzero(placed)
-        if len(some):
-            at_some = at[some]
-            place = self._digits(coder, 0, at_some, None if ids is None else place[some])
-            out[some] = self.seen[at_some * SEEN + place]
+        out[some] = self.seen[at[some] * SEEN + out[some]]
         some = np.flatnonzero(~placed)
-        if len(some):
-            at_some, left = at[some], max(self.id_bits - _SPELLED, 0)
-            value = self._digits(coder, 1, at_some, None if ids is None else ids[some] >> left)
-            while left:
-                n = min(left, 16)
-                left -= n
-                part = None if ids is None else (ids[some] >> left) & ((1 << n) - 1)
-                value = (value << n) | coder.plain(at_some, n, part)
-            out[some] = value
+        while left and len(some):
+            n = min(left, 16)
+            left -= n
+            part = None if ids is None else (ids[some] >> left) & ((1 << n) - 1)
+            out[some] = (out[some] << n) | coder.plain(at[some], n, part)
         return out
 
     def step(self, coder, at: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
