@@ -53,3 +53,16 @@ def test_found_reads_the_titles_found_alone(spark):
     parts = spark.read.parquet(f"{SMALL}/part.parquet").where(F.upper("p_name").like("%RING%"))
     names = {r.p_name for r in parts.collect()}
     assert {r.film_title for r in rows.collect()} <= names
+
+
+def test_a_task_sorts_a_bounded_number_of_pieces(spark, monkeypatch):
+    """However well the pieces compress; and an id that comes twice finds its rows."""
+    monkeypatch.setattr(text_index, "ROWS_A_TASK", 1000)
+    many = spark.range(3000).select((F.col("id") % 2000).alias("film_id"), F.concat(F.lit("ring "), "id").alias("title"))
+    index = text_index.gram_rows(many, "film_id", "title")
+    sizes = [r["count"] for r in index.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) > 12_000 and max(sizes) < 2000
+    assert "HashAggregate" not in index._jdf.queryExecution().executedPlan().toString()
+    for pattern in ("%ring 1%9%", "%ring 2999%"):
+        got = text_index.matching(many, "film_id", "title", pattern, index)
+        assert bag(got) == bag(many.where(matches("title", pattern)))
