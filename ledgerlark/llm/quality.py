@@ -102,9 +102,12 @@ class ByteNet:
         data, n_chunks = laid_out(texts)
         start = self.chunk_starts(n_chunks)
         total = int(((CHUNK - 1) * n_chunks + 1).sum())
-        responses = self.responses(data, 0, total)
-        at = responses.argmax(1)  # position in each block
-        blocks = np.take_along_axis(responses, at[:, None], 1)[:, 0]
+        at = np.empty((total, FILTERS), np.uint8)  # position in each block
+        blocks = np.empty((total, FILTERS), self.tables.dtype)
+        for lo in range(0, total, 512):
+            responses = self.responses(data, lo, min(lo + 512, total))
+            at[lo : lo + 512] = best_at = responses.argmax(1)
+            blocks[lo : lo + 512] = np.take_along_axis(responses, best_at[:, None], 1)[:, 0]
         stacked = np.stack([blocks[start + i] for i in range(CHUNK)])
         which = stacked.argmax(0)
         pooled = np.maximum(stacked.max(0) + self.bias, 0)

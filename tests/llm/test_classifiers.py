@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -150,6 +151,16 @@ def test_convolution_gradients():
             assert abs(numeric(loss, getattr(net, name), at, 1e-5) - grad[at]) < 1e-2 * abs(grad[at]) + 1e-5
 
 
+def test_quality_holds_no_responses_of_a_whole_batch():
+    net, texts, y = quality.ByteNet(), ["ab cd " * 500_000, "efg " * 9], np.array([0.0, 1.0], np.float32)
+    tracemalloc.start()
+    grads = net.gradients(texts, y)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10 * len(texts[0])  # the responses alone are 32 times the text
+    assert all(np.isfinite(grad).all() for grad in grads)
+
+
 def test_quality_trains_on_whole_texts(monkeypatch):
     seen, gradients = [], quality.ByteNet.gradients
 
