@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerlark.operators import quality
+from ledgerlark.plans import catalog, loading
 from ledgerlark.plans.loading import load_favourites
-from tests.conftest import at, bag
+from tests.conftest import SMALL, at, bag
 
 NOW = date(2026, 1, 1)
 
@@ -103,3 +104,21 @@ def test_a_second_run_changes_nothing(first, sources):
         assert second.affected[name].count() == 0, name
     for name in ("film", "rental", "payment", "customer"):
         assert bag(second.tables[name]) == bag(first.tables[name])
+
+
+@pytest.mark.parametrize("name", ["load_steps", "load_tables"])
+def test_the_pairs_of_the_lines_are_found_once(spark, monkeypatch, name):
+    """And no table is copied between two runs, nor the lines read by what follows."""
+    made, written, keep = [], [], loading.materialise
+
+    def spy(df):
+        written.append(set(df.columns))
+        made.append([f for f in df.inputFiles() if "lineitem" in f])
+        return keep(df)
+
+    for module in (catalog, loading):
+        monkeypatch.setattr(module, "materialise", spy)
+    result = catalog.QUERIES[name](spark, SMALL)
+    assert sum(map(bool, made)) == 1
+    assert not [f for f in result.inputFiles() if "lineitem" in f]
+    assert len(written) <= 26
