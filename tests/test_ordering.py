@@ -123,3 +123,30 @@ def test_first_k_varying(spark):
     df = spark.createDataFrame(data, "k int, most int, i long")
     got = ordering.first_k_varying(df, ["k"], "i", "most")
     assert bag(got) == sorted([r for r in data if r[2] < r[1]], key=repr)
+
+
+def test_cuts_compare_as_few_fields_as_tell_them_apart(spark, spread):
+    df = spark.range(500).select((F.col("id") * 7 % 500).alias("i"), F.lit(1).alias("same"))
+    df = df.localCheckpoint()
+
+    def plan(keys, order):
+        placed = df.select(ordering.part_numbers(df, keys, order).alias("part"))
+        return placed._jdf.queryExecution().optimizedPlan().toString()
+
+    assert "struct" not in plan([], ["i", "same"]) and "CASE" in plan([], ["i", "same"])
+    assert "struct" in plan(["same"], ["i"])
+
+
+def test_numbers_where_the_first_field_is_null_or_no_number(spark, spread):
+    values = [None, float("nan"), float("-inf"), -0.0, 0.0, 1.5, float("inf")]
+    df = spark.range(700).select(
+        F.array(*[F.lit(v).cast("double") for v in values])[(F.col("id") % 7).cast("int")].alias("v"),
+        (F.col("id") * 3 % 700).alias("i"),
+    )
+    want = [row.i for row in df.orderBy("v", "i").collect()]
+    got = ordering.number_rows(df, [F.col("v"), F.col("i")], "n", unique=True).orderBy("n").collect()
+    assert [row.n for row in got] == list(range(1, 701))
+    assert [row.i for row in got] == want
+    few = spark.createDataFrame([(None, 1), (1.0, 2), (2.0, 3), (float("nan"), 4)], "v double, i int")
+    assert sorted(rows(ordering.number_rows(few, [F.col("v")], "n", unique=True).select("n", "i"))) == [
+        (1, 1), (2, 2), (3, 3), (4, 4)]
