@@ -1,20 +1,19 @@
 """Token ids in blocks of an adaptive, context-mixing range coder.
 
-A block starts from nothing and can be read alone. In it three predictors work on
-the next id. Order 2 and order 1 guess the id that followed the same two ids, or the
-same id, last time; order 0 keeps the ids seen most, in a table of ``SEEN`` places.
-Whether a guess is right is one decision, whose probability mixes what all three
-orders say about the guessed id, in the logistic domain, by weights that learn from
-every answer. An id that is not guessed is given by its place in the order-0 table
-if it has one, and in full if not, which is a decision as well. Places, and the upper
-bits of ids in full, are coded in digits of three bits, each by a distribution that
-follows the order-0 counts of the digits met behind the same digits before; only the
-lower bits of an id that has no place are coded as they are. Everything goes through
-one range coder.
-
-Blocks know nothing of each other, so many are coded in lockstep, one numpy lane
-each; every array below has one row per lane. All arithmetic is on integers, so a
-block reads the same everywhere.
+A block starts from nothing and can be read alone. Order 2 and order 1 guess the id that
+followed the same two ids, or the same id, last time, and the better trusted guess is put
+forward if it was right before. Whether it is right is one decision, whose probability
+mixes what all three orders say about the guessed id, in the logistic domain, by weights
+that learn from every answer; order 0 says how often the id was seen.
+
+Ids that are not guessed are spelled by order 0: the head of a block lists those that are
+spelled more than once, with their counts, and each is coded by its share of the counts.
+Of those that are spelled once only the upper bits have counts, and the lower bits are kept
+as they are in the head. Spelled ids hang on these counts alone, so they are coded apart
+from the decisions, and no lane waits for another that spells.
+
+Blocks know nothing of each other, so many are coded in lockstep, one numpy lane each. All
+arithmetic is on integers, so a block reads the same everywhere.
 """
 
 from __future__ import annotations
@@ -26,287 +25,371 @@ import numpy as np
 
 #: Ids of a block, and blocks coded in lockstep.
 BLOCK, LANES = 2048, 2048
-#: Places of the order-1 and order-2 tables, and of the order-0 table, per lane.
-CONTEXTS, SEEN = 2048, 512  # SEEN is 2**_SPELLED
-#: Digits of a spelled value, their bits, and the nodes of the tree of its digits.
-DIGITS, DIGIT_BITS = 3, 3
-_SPELLED = DIGITS * DIGIT_BITS
-_NODES = sum(1 << DIGIT_BITS * i for i in range(DIGITS))
-# Distributions are in 1/2**14. A digit keeps more than _FLOOR - 2**_SLOWEST of it.
-_UNIT, _FLOOR, _SLOWEST = 14, 48, 5
-_BASE = 1 << DIGIT_BITS
-# The coder keeps 48 bits and gives out 16 whenever its range falls below 32.
-_TOP, _LEAST = np.uint64(48), np.uint64(1 << 32)
-_MASK = np.uint64((1 << 48) - 1)
-_NONE = -1
-MAGIC = b"CMRC\x01"
-
-
-def _squash(x: float) -> int:
-    return max(1, min(4095, round(4096 / (1 + math.exp(-x / 256)))))
-
-
-#: Probabilities of 12 bits and their logits, scaled by 256.
-SQUASH = np.array([_squash(x) for x in range(-2047, 2048)], np.int32)
-STRETCH = np.array(
-    [max(-2047, min(2047, round(256 * math.log((p + 0.5) / (4095.5 - p))))) for p in range(4096)],
+#: Bits of the places of the order-1 and order-2 tables, and of the order-0 table, per lane.
+CONTEXT_BITS, SEEN_BITS = 11, 9
+#: Bits of an id spelled once that have counts.
+UPPER_BITS = 4
+# The coder keeps 64 bits and gives out 32 whenever its range falls below 32.
+_FULL, _LEAST, _LOW = np.uint64((1 << 64) - 1), np.uint64(1 << 32), np.uint64((1 << 32) - 1)
+_32 = np.uint64(32)
+# An entry of a table is an id and one, 0 if there is none, over so many bits of trust.
+_TRUST = 4
+_MOST = (1 << _TRUST) - 1
+_ORDERS = np.arange(3)[:, None] << _TRUST
+_HASH, _HASH_2 = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
+_SEEN, _CONTEXT = np.uint32(32 - SEEN_BITS), np.uint32(32 - CONTEXT_BITS)
+_FAR = 1400
+MAGIC = b"CMRC\x02"
+
+
+def _logit(share: float) -> int:
+    return round(256 * math.log(share / (1 - share)))
+
+
+#: Probabilities of 12 bits by their logits, scaled by 256, from -_FAR on.
+SQUASH = np.array([round(4096 / (1 + math.exp(-x / 256))) for x in range(-_FAR, _FAR + 1)], np.int32)
+#: What orders 2, 1 and 0 say, by how much they trust the guess.
+LOGITS = np.array(
+    [_logit(low) if not t else _logit(min(most, start + step * t))
+     for low, start, step, most in ((0.2, 0.12, 0.1, 0.93), (0.15, 0.1, 0.05, 0.8), (0.12, 0.1, 0.02, 0.4))
+     for t in range(_MOST + 1)],
     np.int32,
 )
-
-#: By the digit met, where each digit's share would start if it were all that is met.
-STARTS = np.array(
-    [[_FLOOR * k + (k > digit) * ((1 << _UNIT) - _FLOOR * _BASE) for k in range(_BASE)]
-     for digit in range(_BASE)],
-    np.int16,
+#: How trust changes, by itself and whether the guess was right.
+CHANGES = np.array(
+    [(t >> 1) - t for t in range(_MOST + 1)] + [int(t < _MOST) for t in range(_MOST + 1)], np.int32
 )
 
 
-def _share(starts: np.ndarray, digit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where the share of each lane's digit starts, and its size."""
-    flat = np.append(starts.ravel(), np.int16(0))
-    cell = np.arange(0, starts.size, _BASE) + digit
-    first = flat.take(cell)
-    end = np.where(digit < _BASE - 1, flat.take(cell + 1), np.int16(1 << _UNIT))
-    return first.astype(np.uint64), (end - first).astype(np.uint64)
-
-
 class Encoder:
     def __init__(self, lanes: int, room: int):
+        self.lane = np.arange(lanes)
         self.low = np.zeros(lanes, np.uint64)
-        self.range = np.full(lanes, _MASK)
-        self.out = np.zeros((lanes, room), np.uint16)
+        self.range = np.full(lanes, _FULL)
+        self.out = np.zeros((lanes, room), np.uint32)
         self.n = np.zeros(lanes, np.int64)
 
-    def _settle(self, at: np.ndarray, low: np.ndarray, span: np.ndarray) -> None:
-        over = low > _MASK
-        if over.any():
-            lanes = at[over]
-            place = self.n[lanes] - 1
-            while len(lanes):
-                full = self.out[lanes, place] == 0xFFFF
-                self.out[lanes, place] += 1
-                lanes, place = lanes[full], place[full] - 1
-            low = low & _MASK
-        small = np.flatnonzero(span < _LEAST)
+    def _settle(self, at: np.ndarray, low: np.ndarray, add: np.ndarray, span: np.ndarray) -> None:
+        """Move the lanes ``at`` up by ``add``; ``low`` and ``span`` are changed in place."""
+        low += add
+        lanes = at[low < add]
+        place = self.n[lanes] - 1
+        while len(lanes):
+            self.out[lanes, place] += 1
+            full = self.out[lanes, place] == 0
+            lanes, place = lanes[full], place[full] - 1
+        small = (span < _LEAST).nonzero()[0]
         if len(small):
             lanes, first = at[small], low[small]
-            self.out[lanes, self.n[lanes]] = first >> np.uint64(32)
-            self.n[lanes] += 1
-            low[small] = (first << np.uint64(16)) & _MASK
-            span[small] <<= np.uint64(16)
-        self.low[at], self.range[at] = low, span
-
-    def bits(self, at: np.ndarray, p: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        """Code one decision of each lane in ``at``; ``p`` of 4096 that it is yes."""
+            place = self.n[lanes]
+            self.out[lanes, place] = first >> _32
+            self.n[lanes] = place + 1
+            low[small] = first << _32
+            span[small] <<= _32
+
+    def bits(self, at: np.ndarray, p: np.ndarray, yes: np.ndarray) -> np.ndarray:
+        """Code a decision of each lane in ``at``; ``p`` of 4096 that it is yes."""
         low, span = self.low[at], self.range[at]
         bound = (span >> np.uint64(12)) * p.astype(np.uint64)
-        self._settle(at, np.where(bit, low, low + bound), np.where(bit, bound, span - bound))
-        return bit
-
-    def plain(self, at: np.ndarray, n: int, value: np.ndarray) -> np.ndarray:
-        """Code ``n`` bits, 16 at most, as they are."""
-        span = self.range[at] >> np.uint64(n)
-        self._settle(at, self.low[at] + span * value.astype(np.uint64), span)
-        return value
-
-    def digit(self, at: np.ndarray, starts: np.ndarray, value: np.ndarray) -> np.ndarray:
-        """Code one digit of each lane; ``starts`` has where the digits' shares start."""
-        unit = self.range[at] >> np.uint64(_UNIT)
-        first, size = _share(starts, value)
-        self._settle(at, self.low[at] + unit * first, unit * size)
-        return value
+        span = np.where(yes, bound, span - bound)
+        self._settle(at, low, bound * ~yes, span)
+        self.low[at], self.range[at] = low, span
+        return yes
+
+    def shares(self, places: np.ndarray, total: np.ndarray) -> None:
+        """Code where among ``total`` equal shares the first lanes' symbols are: ``places`` has
+        the first share of each over its number of shares."""
+        span = self.range[: len(total)]
+        unit = span // total
+        np.multiply(unit, places & _LOW, out=span)
+        self._settle(self.lane[: len(total)], self.low[: len(total)], unit * (places >> _32), span)
 
     def finish(self) -> list[bytes]:
-        lanes = np.arange(len(self.n))
-        for shift in (32, 16, 0):
-            self.out[lanes, self.n] = (self.low >> np.uint64(shift)) & np.uint64(0xFFFF)
+        for shift in (_32, np.uint64(0)):
+            self.out[self.lane, self.n] = (self.low >> shift) & _LOW
             self.n += 1
-        return [row[:n].astype(">u2").tobytes() for row, n in zip(self.out, self.n)]
+        return [row[:n].astype(">u4").tobytes() for row, n in zip(self.out, self.n.tolist())]
 
 
 class Decoder:
     def __init__(self, blocks: list[bytes]):
-        room = max(map(len, blocks)) // 2 + 4
-        self.data = np.zeros((len(blocks), room), np.uint64)
+        self.lane = np.arange(len(blocks))
+        self.data = np.zeros((len(blocks), max(map(len, blocks)) // 4 + 2), np.uint32)
         for row, block in zip(self.data, blocks):
-            row[: len(block) // 2] = np.frombuffer(block, ">u2")
-        self.range = np.full(len(blocks), _MASK)
-        self.code = np.zeros(len(blocks), np.uint64)
-        for i in range(3):
-            self.code = (self.code << np.uint64(16)) | self.data[:, i]
-        self.n = np.full(len(blocks), 3, np.int64)
+            row[: len(block) // 4] = np.frombuffer(block, ">u4")
+        self.range = np.full(len(blocks), _FULL)
+        self.code = (self.data[:, 0].astype(np.uint64) << _32) | self.data[:, 1]
+        self.n = np.full(len(blocks), 2, np.int64)
 
     def _settle(self, at: np.ndarray, code: np.ndarray, span: np.ndarray) -> None:
-        small = np.flatnonzero(span < _LEAST)
+        small = (span < _LEAST).nonzero()[0]
         if len(small):
             lanes = at[small]
-            code[small] = (code[small] << np.uint64(16)) | self.data[lanes, self.n[lanes]]
-            self.n[lanes] += 1
-            span[small] <<= np.uint64(16)
-        self.code[at], self.range[at] = code, span
+            place = self.n[lanes]
+            code[small] = (code[small] << _32) | self.data[lanes, place]
+            self.n[lanes] = place + 1
+            span[small] <<= _32
 
-    def bits(self, at: np.ndarray, p: np.ndarray, bit: None = None) -> np.ndarray:
+    def bits(self, at: np.ndarray, p: np.ndarray, yes: None = None) -> np.ndarray:
         code, span = self.code[at], self.range[at]
         bound = (span >> np.uint64(12)) * p.astype(np.uint64)
         yes = code < bound
-        self._settle(at, np.where(yes, code, code - bound), np.where(yes, bound, span - bound))
+        code -= bound * ~yes
+        span = np.where(yes, bound, span - bound)
+        self._settle(at, code, span)
+        self.code[at], self.range[at] = code, span
         return yes
 
-    def plain(self, at: np.ndarray, n: int, value: None = None) -> np.ndarray:
-        span, code = self.range[at] >> np.uint64(n), self.code[at]
-        value = code // span
-        self._settle(at, code - value * span, span)
-        return value.astype(np.int64)
-
-    def digit(self, at: np.ndarray, starts: np.ndarray, value: None = None) -> np.ndarray:
-        unit, code = self.range[at] >> np.uint64(_UNIT), self.code[at]
-        place = np.minimum(code // unit, np.uint64((1 << _UNIT) - 1)).astype(np.int16)
-        value = (np.ascontiguousarray(starts.T)[1:] <= place).sum(axis=0, dtype=np.int8).astype(np.int64)
-        first, size = _share(starts, value)
-        self._settle(at, code - unit * first, unit * size)
-        return value
-
-
-def _place(ids: np.ndarray) -> np.ndarray:
-    return (ids.astype(np.int64) * 0x9E3779B1 >> 12) & (SEEN - 1)
+    def shares(self, places: np.ndarray, base: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """The first shares of the first lanes' symbols; ``places`` has, from each lane's
+        ``base`` on, for every share what the symbol's place is."""
+        code, span = self.code[: len(total)], self.range[: len(total)]
+        unit = span // total
+        place = places.take(base + (code // unit).view(np.int64))
+        first = place >> _32
+        code -= unit * first
+        np.multiply(unit, place & _LOW, out=span)
+        self._settle(self.lane[: len(total)], code, span)
+        return first
 
 
 class Model:
     """What the lanes have learned of their blocks so far."""
 
     def __init__(self, lanes: int, id_bits: int):
-        self.id_bits = id_bits
-        self.lane = np.arange(lanes)
-        # By hashed context: the guess, and how often it was right of late.
-        self.guess = np.full((2, lanes * CONTEXTS), _NONE, np.int32)
-        self.trust = np.zeros((2, lanes * CONTEXTS), np.uint8)
-        # Order 0: the id in each place, and how often it was seen of late.
-        self.seen = np.full(lanes * SEEN, _NONE, np.int32)
-        self.often = np.zeros(lanes * SEEN, np.uint8)
-        self.last = np.zeros((2, lanes), np.int64)
-        # Per question and predictor, the probability of yes by what it says: 0 to 15
-        # how much it trusts the guess, 16 that it says something else.
-        self.chance = np.full((2, 3, lanes * 17), 1 << 14, np.int32)
-        self.weight = np.full((2, 3, lanes), 1 << 15, np.int32)
-        self.has_place = np.full(lanes, 1 << 15, np.int32)
-        # Order 0 of the upper bits of ids and of places: by the digits before, where the
-        # share of each digit starts, and how often the node was met.
-        self.starts = np.empty((2 * lanes * _NODES, _BASE), np.int16)
-        self.starts[:] = np.arange(_BASE) << (_UNIT - DIGIT_BITS)
-        self.met = np.zeros(2 * lanes * _NODES, np.int16)
-
-    def _order_0(self, at: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        cell = at * SEEN + _place(ids)
-        return np.where(self.seen[cell] == ids, self.often[cell], 16)
-
-    def _ask(self, coder, question: int, at: np.ndarray, says: list[np.ndarray], answer):
-        """Whether the guess is right, for the lanes in ``at``."""
-        base = at * 17
-        cells = [base + x for x in says]
-        chance = [self.chance[question, i][cell] for i, cell in enumerate(cells)]
-        inputs = [STRETCH[c >> 4] for c in chance]
-        weights = [self.weight[question, i][at] for i in range(3)]
-        mixed = (weights[0] * inputs[0] + weights[1] * inputs[1] + weights[2] * inputs[2]) >> 16
-        p = SQUASH[np.clip(mixed, -1400, 1400) + 2047]
-        yes = coder.bits(at, p, answer)
-        target = yes * np.int32(65535)
-        wrong = (target >> 4) - p
-        for i, cell in enumerate(cells):
-            self.chance[question, i][cell] = chance[i] + ((target - chance[i]) >> 4)
-            weight = weights[i] + ((inputs[i] * wrong) >> 6)
-            self.weight[question, i][at] = np.clip(weight, -(1 << 18), 1 << 18)
-        return yes
-
-    def _digits(self, coder, at: np.ndarray, placed: np.ndarray, value: np.ndarray | None) -> np.ndarray:
-        """A place, or the upper bits of an id, digit by digit."""
-        starts, met, root = self.starts, self.met, (2 * at + placed) * _NODES
-        halves = starts.view(np.int64)  # four digits at once, for fast writing
-        node = out = np.zeros(len(at), np.int64)
-        for left in range(_SPELLED - DIGIT_BITS, -1, -DIGIT_BITS):
-            cell = root + node
-            known, times = starts.take(cell, axis=0), met.take(cell)
-            digit = coder.digit(at, known, None if value is None else (value >> left) & (_BASE - 1))
-            rate = np.minimum(2 + (times >> 1), _SLOWEST)
-            known += (STARTS.take(digit, axis=0) - known) >> rate[:, None]
-            for i, half in enumerate(known.view(np.int64).T):
-                halves[:, i][cell] = half
-            met[cell] = np.minimum(times + 1, 8)
-            node = (node << DIGIT_BITS) + 1 + digit
-            out = (out << DIGIT_BITS) | digit
-        return out
-
-    def _spell(self, coder, at: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """An id by its place in the order-0 table, or in full."""
-        p = self.has_place[at]
-        if ids is not None:
-            place = _place(ids)
-            placed = self.seen[at * SEEN + place] == ids
-        else:
-            placed = None
-        placed = coder.bits(at, np.clip(p >> 4, 16, 4080), placed)
-        self.has_place[at] = p + ((placed * np.int32(65535) - p) >> 5)
-        left = max(self.id_bits - _SPELLED, 0)
-        out = self._digits(coder, at, placed, None if ids is None else np.where(placed, place, ids >> left))
-        some = np.flatnonzero(placed)
-        out[some] = self.seen[at[some] * SEEN + out[some]]
-        some = np.flatnonzero(~placed)
-        while left and len(some):
-            n = min(left, 16)
-            left -= n
-            part = None if ids is None else (ids[some] >> left) & ((1 << n) - 1)
-            out[some] = (out[some] << n) | coder.plain(at[some], n, part)
-        return out
-
-    def step(self, coder, at: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-        """Code the next id of the lanes in ``at``."""
-        a, b = self.last[0][at], self.last[1][at]
-        base = at * CONTEXTS
-        one = base + ((a * 0x9E3779B1 >> 7) & (CONTEXTS - 1))
-        two = base + (((a * 0x9E3779B1 + b * 0x85EBCA6B) >> 9) & (CONTEXTS - 1))
-        guess_1, guess_2 = self.guess[0][one], self.guess[1][two]
-        trust_1, trust_2 = self.trust[0][one], self.trust[1][two]
-        out = np.full(len(at), _NONE, np.int64)
-        left = np.arange(len(at))
-        for question, (guess, trust, other, beside) in enumerate(
-            ((guess_2, trust_2, guess_1, trust_1), (guess_1, trust_1, guess_2, trust_2))
-        ):
-            what = guess[left]
-            asked = what != _NONE
-            if question:
-                asked &= what != other[left]
-            some, what = left[asked], what[asked]
-            if not len(some):
-                continue
-            says = [trust[some], np.where(other[some] == what, beside[some], 16),
-                    self._order_0(at[some], what)]
-            answer = None if ids is None else ids[some] == what
-            yes = self._ask(coder, question, at[some], says, answer)
-            out[some[yes]] = what[yes]
-            left = np.flatnonzero(out == _NONE)
-        if len(left):
-            out[left] = self._spell(coder, at[left], None if ids is None else ids[left])
-        for i, (cell, guess, trust) in enumerate(((one, guess_1, trust_1), (two, guess_2, trust_2))):
-            right = guess == out
-            weak = ~right & (trust <= 1)
-            self.trust[i][cell] = np.where(right, np.minimum(trust + 1, 15), np.maximum(trust >> 1, weak))
-            self.guess[i][cell[weak]] = out[weak]
-        cell = at * SEEN + _place(out)
-        right, often = self.seen[cell] == out, self.often[cell]
-        weak = ~right & (often <= 1)
-        self.often[cell] = np.where(right, np.minimum(often + 1, 15), np.maximum(often, 1) - 1 + weak)
-        self.seen[cell[weak]] = out[weak]
-        self.last[1][at], self.last[0][at] = a, out
-        return out
-
-
-def _run(coder, sizes: np.ndarray, id_bits: int, ids: np.ndarray | None) -> np.ndarray:
-    """Lanes sorted by falling size, so that the first ones go on the longest."""
-    model = Model(len(sizes), id_bits)
-    out = np.zeros((len(sizes), int(sizes.max())), np.int64)
-    for t in range(int(sizes.max())):
-        at = model.lane[: int(np.searchsorted(-sizes, -t, side="left"))]
-        out[at, t] = model.step(coder, at, None if ids is None else ids[at, t])
-    return out
+        lane = np.arange(lanes)
+        kind = np.int32 if id_bits < 31 - _TRUST else np.int64
+        # Order 2 and order 1, by hashed context, and how often ids were seen, by hashed id.
+        self.known = np.zeros(lanes << CONTEXT_BITS + 1, kind)
+        self.often = np.zeros(lanes << SEEN_BITS, np.uint8)
+        self.base = np.stack([lane << CONTEXT_BITS, (lanes + lane) << CONTEXT_BITS])
+        self.seen = lane << SEEN_BITS
+        self.cells = self.base.copy()
+        self.weight = np.full((3, lanes), 1 << 15, np.int32)
+        self.hash = np.zeros((2, lanes), np.uint32)
+        self.steps = 0
+
+    def asked(self) -> np.ndarray:
+        """The lanes that ask whether their guess is right: it was right before."""
+        self.entries = entries = self.known.take(self.cells)
+        self.trust = trust = entries & _MOST
+        two = trust[0] >= trust[1] >> 1
+        self.best = np.where(two, entries[0], entries[1])
+        return (self.best & _MOST > 1).nonzero()[0]
+
+    def ask(self, coder: Encoder | Decoder, at: np.ndarray, entry: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """The guesses of the lanes in ``at``, as id and one, and whether they are right."""
+        guess = self.best[at] >> _TRUST
+        hashed = guess.astype(np.uint32) * _HASH >> _SEEN
+        # Another guess says as much as one that is not trusted.
+        says = np.empty((3, len(at)), np.int64)
+        np.multiply(self.trust[:, at], self.entries[:, at] >> _TRUST == guess, out=says[:2])
+        says[2] = self.often.take(self.seen[at] + hashed)
+        says += _ORDERS
+        inputs, weight = LOGITS.take(says), self.weight[:, at]
+        mixed = (weight * inputs).sum(axis=0, dtype=np.int32) >> 16
+        p = SQUASH.take(mixed + _FAR, mode="clip")
+        yes = coder.bits(at, p, None if entry is None else guess == entry[at])
+        weight += inputs * (yes * np.int32(4095) - p) >> 7
+        self.weight[:, at] = np.clip(weight, -(1 << 18), 1 << 18)
+        return guess, yes
+
+    def learn(self, entry: np.ndarray) -> None:
+        """What came next, as id and one."""
+        entries, trust = self.entries, self.trust
+        fresh = entry << _TRUST
+        right = entries ^ fresh <= _MOST
+        kept = entries + CHANGES.take(trust + (right << _TRUST))
+        self.known[self.cells] = np.where(right | (trust > 1), kept, fresh | 1)
+        last = entry.astype(np.uint32) * _HASH
+        cell = self.seen + (last >> _SEEN)
+        self.often[cell] = np.minimum(self.often.take(cell) + np.uint8(1), _MOST)
+        self.hash[0] += last
+        self.hash[1] = last
+        np.add(self.base, self.hash >> _CONTEXT, out=self.cells)
+        self.hash[0] = entry.astype(np.uint32) * _HASH_2
+
+
+def _kept(n: int, width: int | np.ndarray) -> tuple | np.ndarray:
+    """Where the last ``width`` bits of ``n`` numbers of 32 bits are."""
+    if isinstance(width, int):
+        return np.s_[:, 32 - width :]
+    return np.arange(32) >= 32 - width[:, None]
+
+
+def _bits(values: np.ndarray, width: int | np.ndarray) -> np.ndarray:
+    """The last ``width`` bits of each value, one after the other."""
+    whole = np.unpackbits(values.astype(">u4").view(np.uint8)).reshape(-1, 32)
+    return whole[_kept(len(values), width)].ravel()
+
+
+def _values(bits: np.ndarray, n: int, width: int | np.ndarray) -> np.ndarray:
+    whole = np.zeros((n, 32), np.uint8)
+    if isinstance(width, int):
+        whole[:, 32 - width :] = bits[: n * width].reshape(n, width)
+    else:
+        whole[_kept(n, width)] = bits[: int(width.sum())]
+    return np.packbits(whole.ravel()).view(">u4").astype(np.int64)
+
+
+def _lower_bits(n: int, id_bits: int) -> int:
+    """Bits of each of ``n`` listed ids that are kept as they are."""
+    return max(0, id_bits - n.bit_length())
+
+
+def _spelling(ids: np.ndarray, counts: np.ndarray, upper: np.ndarray, singles: np.ndarray, id_bits: int) -> bytes:
+    """The head of a block: the ids spelled more than once, ascending, and their counts, how
+    many ids spelled once have which upper bits, and these ids, whose lower bits are kept."""
+    n = len(ids)
+    lower = _lower_bits(n, id_bits)
+    numbers = np.concatenate([counts - 1, upper + 1])
+    widths = np.frexp(numbers)[1]
+    # The upper bits of listed ids, and the widths of numbers, are the zeros before each one.
+    steps = np.concatenate([np.diff(ids >> lower, prepend=0) + 1, widths])
+    ones = np.zeros(int(steps.sum()), np.uint8)
+    ones[np.cumsum(steps) - 1] = 1
+    rest = _bits(singles, max(id_bits - UPPER_BITS, 0))
+    data = np.packbits(np.concatenate([_bits(ids, lower), ones, _bits(numbers, widths - 1), rest])).tobytes()
+    return np.array([n, len(data)], "<u4").tobytes() + data
+
+
+def _read_spelling(data: bytes, id_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Symbols and their counts, the lower bits of ids spelled once, and where the code starts.
+    A symbol is a listed id, or the upper bits of others behind all ids."""
+    n, size = np.frombuffer(data[:8], "<u4").tolist()
+    bits = np.unpackbits(np.frombuffer(data[8 : 8 + size], np.uint8))
+    lower = _lower_bits(n, id_bits)
+    ids = _values(bits, n, lower)
+    bits = bits[n * lower :]
+    ones = bits.nonzero()[0][: 2 * n + (1 << UPPER_BITS)]
+    steps = np.diff(ones, prepend=-1)
+    ids += np.cumsum(steps[:n] - 1) << lower
+    widths = steps[n:] - 1
+    bits = bits[int(ones[-1]) + 1 :]
+    numbers = _values(bits, len(widths), widths) + (1 << widths)
+    counts, upper = numbers[:n] + 1, numbers[n:] - 1
+    singles = _values(bits[int(widths.sum()) :], int(upper.sum()), max(id_bits - UPPER_BITS, 0))
+    some = upper.nonzero()[0]
+    return np.append(ids, some + (1 << id_bits)), np.append(counts, upper[some]), singles, 8 + size
+
+
+def _by_length(n: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Lanes by falling ``n``, and how many of them have more than 0, 1, 2... each."""
+    order = np.argsort(-n, kind="stable")
+    return order, np.searchsorted(-n[order], -np.arange(int(n.max())), side="left").tolist()
+
+
+def _spelled(ids: np.ndarray, spelled: np.ndarray, id_bits: int) -> tuple[np.ndarray, list[bytes]]:
+    """Of each spelled id, lane by lane, its first share over its number of shares, and the
+    heads of the blocks."""
+    lanes, n = len(ids), spelled.sum(axis=1)
+    own, ends = ids[spelled], np.cumsum(n)
+    place_bits = int(n.max()).bit_length()
+    rows = np.full((lanes, int(n.max())), np.iinfo(np.int64).max)
+    filled = np.arange(rows.shape[1]) < n[:, None]
+    rows[filled] = own << place_bits | np.broadcast_to(np.arange(rows.shape[1]), rows.shape)[filled]
+    rows.sort(axis=1)
+    rows = rows[filled]
+    ids, lane = rows >> place_bits, np.repeat(np.arange(lanes), n)
+    place = (rows & (1 << place_bits) - 1) + (ends - n)[lane]
+    # Runs of equal ids; no run crosses lanes.
+    starts = np.append(True, ids[1:] != ids[:-1]) if len(ids) else np.zeros(0, bool)
+    starts[(ends - n)[n > 0]] = True
+    runs = np.flatnonzero(starts)
+    size = np.diff(runs, append=len(ids))
+    once = size == 1
+    rest = max(id_bits - UPPER_BITS, 0)
+    cell = (lane[runs] << UPPER_BITS) + (ids[runs] >> rest)
+    upper = np.bincount(cell[once], minlength=lanes << UPPER_BITS)
+    listed = np.where(once, 0, size)
+    total = np.bincount(lane[runs], listed, lanes).astype(np.int64)
+    many = np.cumsum(listed) - listed
+    before = np.cumsum(upper).reshape(lanes, -1) - upper.reshape(lanes, -1)
+    before += (total - before[:, 0])[:, None]
+    first = np.where(once, before.ravel()[cell], many - (np.cumsum(total) - total)[lane[runs]])
+    size[once] = upper[cell[once]]
+    places = np.empty(len(ids), np.uint64)
+    places[place] = np.repeat(first << 32 | size, np.diff(runs, append=len(ids)))
+    alone = np.zeros(len(ids), bool)
+    alone[place[runs[once]]] = True
+    cuts = [0, *np.cumsum(np.bincount(lane[runs[~once]], minlength=lanes)).tolist()]
+    ones = [0, *np.cumsum(np.bincount(lane[runs[once]], minlength=lanes)).tolist()]
+    kept, counts, singles = ids[runs[~once]], size[~once], own[alone]
+    return places, [
+        _spelling(kept[a:b], counts[a:b], some, singles[c:d], id_bits)
+        for a, b, c, d, some in zip(cuts, cuts[1:], ones, ones[1:], upper.reshape(lanes, -1))
+    ]
+
+
+def _encode_blocks(ids: np.ndarray, sizes: np.ndarray, id_bits: int) -> list[bytes]:
+    """Blocks of the rows of ``ids``, of which the first ``sizes`` count."""
+    lanes, block = ids.shape
+    model = Model(lanes, id_bits)
+    # At most a decision takes 8 bits against it, and an id its share of the counts.
+    coder = Encoder(lanes, -(-block * 9 // 32) + 4)
+    spelled = np.ones((block, lanes), bool)
+    least = int(sizes.min())
+    for t, entry in enumerate(np.ascontiguousarray(ids.T).astype(model.known.dtype) + 1):
+        at = model.asked()
+        if t >= least:
+            at = at[t < sizes[at]]
+        _, right = model.ask(coder, at, entry)
+        spelled[t, at[right]] = False
+        model.learn(entry)
+    spelled[np.arange(block)[:, None] >= sizes] = False
+    decisions = coder.finish()
+    spelled = np.ascontiguousarray(spelled.T)
+    places, heads = _spelled(ids, spelled, id_bits)
+    n = spelled.sum(axis=1)
+    order, active = _by_length(n)
+    coder = Encoder(lanes, -(-block * (1 + block.bit_length()) // 32) + 4)
+    total, begin = n[order].astype(np.uint64), (np.cumsum(n) - n)[order]
+    for t, m in enumerate(active):
+        coder.shares(places.take(begin[:m] + t), total[:m])
+    codes = coder.finish()
+    return [head + codes[i] + decision for head, i, decision in zip(heads, np.argsort(order).tolist(), decisions)]
+
+
+def _decode_blocks(blocks: list[bytes], sizes: np.ndarray, id_bits: int) -> np.ndarray:
+    lanes, block = len(blocks), int(sizes.max())
+    heads = [_read_spelling(data, id_bits) for data in blocks]
+    n = np.array([counts.sum() for _, counts, _, _ in heads])
+    symbols = np.concatenate([x[0] for x in heads])
+    counts = np.concatenate([x[1] for x in heads])
+    starts, base = np.cumsum(counts) - counts, np.cumsum(n) - n
+    first = starts - np.repeat(base, [len(x[0]) for x in heads])
+    places = np.repeat((first << 32 | counts).astype(np.uint64), counts)
+    order, active = _by_length(n)
+    codes = [data[x[3] :] for data, x in zip(blocks, heads)]
+    coder = Decoder([codes[i] for i in order.tolist()])
+    total, begin = n[order].astype(np.uint64), base[order]
+    found = np.zeros(len(places), np.int64)
+    for t, m in enumerate(active):
+        found[begin[:m] + t] = coder.shares(places, begin[:m], total[:m])
+    # The decisions begin where the shares end.
+    ends = np.empty(lanes, np.int64)
+    ends[order] = 4 * coder.n
+    own = np.repeat(symbols, counts).take(found + np.repeat(base, n))
+    once = np.flatnonzero(own >> id_bits)
+    own[once] = (own[once] - (1 << id_bits) << max(id_bits - UPPER_BITS, 0)) | np.concatenate([x[2] for x in heads])
+    model = Model(lanes, id_bits)
+    own = np.append(own, 0).astype(model.known.dtype) + 1
+    coder = Decoder([code[end:] for code, end in zip(codes, ends.tolist())])
+    least = int(sizes.min())
+    out = np.empty((block, lanes), np.uint32)
+    for t in range(block):
+        at = model.asked()
+        if t >= least:
+            at = at[t < sizes[at]]
+        guess, yes = model.ask(coder, at, None)
+        entry = own.take(base, mode="clip")
+        base += 1
+        right = at[yes]
+        entry[right] = guess[yes]
+        base[right] -= 1
+        out[t] = entry
+        model.learn(entry)
+    return (out - np.uint32(1)).T
 
 
 def encode_ids(ids: np.ndarray, id_bits: int = 16, block: int = BLOCK, lanes: int = LANES) -> bytes:
@@ -322,11 +405,7 @@ def encode_ids(ids: np.ndarray, id_bits: int = 16, block: int = BLOCK, lanes: in
         sizes[-1] = len(part) - block * (hi - lo - 1)
         table = np.zeros((hi - lo) * block, np.int64)
         table[: len(part)] = part
-        # At worst an id takes its lower bits, three digits of 10 bits and three decisions
-        # of 8 bits against it.
-        coder = Encoder(hi - lo, -(-(max(id_bits - _SPELLED, 0) + 56) // 16) * min(block, int(sizes.max())) + 8)
-        _run(coder, sizes, id_bits, table.reshape(hi - lo, block))
-        for code, size in zip(coder.finish(), sizes):
+        for code, size in zip(_encode_blocks(table.reshape(hi - lo, block)[:, : int(sizes.max())], sizes, id_bits), sizes):
             heads.append((int(size), len(code), zlib.crc32(code)))
             codes.append(code)
     head = np.array([len(ids), block, id_bits, n_blocks], "<u8").tobytes()
@@ -349,13 +428,13 @@ def decode_ids(data: bytes, lanes: int = LANES) -> np.ndarray:
     codes = [data[e - n : e] for e, n in zip(ends.tolist(), table[:, 1].tolist())]
     if any(zlib.crc32(code) != crc for code, crc in zip(codes, table[:, 2].tolist())):
         raise ValueError("a block is damaged")
-    parts = [np.zeros(0, np.int64)]
+    parts = [np.zeros(0, np.uint32)]
     for lo in range(0, n_blocks, lanes):
         sizes = table[lo : lo + lanes, 0]
-        out = _run(Decoder(codes[lo : lo + lanes]), sizes, id_bits, None)
-        parts.append(out.ravel()[: int(sizes.sum())] if sizes.min() == sizes.max()
+        out = _decode_blocks(codes[lo : lo + lanes], sizes, id_bits)
+        parts.append(out.ravel() if sizes.min() == out.shape[1]
                      else np.concatenate([row[:n] for row, n in zip(out, sizes)]))
     ids = np.concatenate(parts)
     if len(ids) != total:
         raise ValueError("ids are missing")
-    return ids.astype(np.uint32)
+    return ids

@@ -96,7 +96,7 @@ def write_tokens(
 
     return materialise(
         whole.withColumn("span", range_number(whole, "place", ranges))
-        .repartition("span").sortWithinPartitions("span", "place", "text")
+        .repartitionById(ranges, "span").sortWithinPartitions("span", "place", "text")
         .mapInPandas(code, "span int, file int, n_ids bigint, data binary")
     )
 
