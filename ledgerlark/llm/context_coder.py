@@ -26,7 +26,7 @@ import numpy as np
 #: Ids of a block, and blocks coded in lockstep.
 BLOCK, LANES = 2048, 2048
 #: Bits of the places of the order-1 and order-2 tables, and of the order-0 table, per lane.
-CONTEXT_BITS, SEEN_BITS = 11, 9
+CONTEXT_BITS, SEEN_BITS = 10, 9
 #: Bits of an id spelled once that have counts.
 UPPER_BITS = 4
 # The coder keeps 64 bits and gives out 32 whenever its range falls below 32.

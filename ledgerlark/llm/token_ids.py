@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import compress
 from string import punctuation
 from unicodedata import normalize
 
@@ -54,7 +55,8 @@ class WordEncoder:
     No rule of the vocabularies used here reaches across a space or a line end,
     so the ids of a text are those of its stretches between them. A stretch is
     encoded by the library when it is first met and kept in a table of at most
-    about ``most`` stretches, which starts again when it is full. Vocabularies of which
+    about ``most`` stretches; when it is full, only those are kept that were looked up in
+    more than one step, or none if these are too many. Vocabularies of which
     that does not hold (byte-level ones, where a space belongs to the word behind
     it) take ``by_word=False`` and are encoded text by text.
     """
@@ -76,6 +78,28 @@ class WordEncoder:
         self.flat, self.used = np.zeros(1 << 18, np.uint32), 0
         # Where the ids of each stretch start, and how many there are.
         self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        # In how many steps each was looked up, 2 at most.
+        self.met = np.zeros(1 << 16, np.uint8)
+
+    def _forget(self) -> None:
+        """Keep the stretches that were looked up in more than one step."""
+        again = self.met[: len(self.places)] > 1
+        kept = np.flatnonzero(again)
+        words, (ids, counts) = list(compress(self.places, again.tolist())), self._gather(kept)
+        self._clear()
+        if len(kept) > self.most // 2:
+            return
+        self.places.update(zip(words, range(len(words))))
+        self._grow()
+        self._add(np.arange(len(words)), ids, counts)
+        self.met[: len(words)] = 1
+
+    def _grow(self) -> None:
+        """Room for all stretches."""
+        while len(self.places) > len(self.start):
+            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+            self.met = np.concatenate([self.met, np.zeros_like(self.met)])
 
     def _ids(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all stretches, one after the other, and the number of each."""
@@ -102,19 +126,20 @@ class WordEncoder:
         new, places.fresh = places.fresh, []
         letters, others, joint, parts = [], [], [], []
         for word in new:
+            if word.isalpha() and (word.islower() or not word.isascii()):
+                letters.append(word)
+                continue
             base, tail = _cut(word)
             if tail or base != word:
                 joint.append(places[word])
                 parts += (places[base], places[tail])
             else:
-                (letters if word.isalpha() else others).append(word)
+                others.append(word)
         # Words and marks that were only met as parts.
         for word in places.fresh:
             (letters if word.isalpha() else others).append(word)
         places.fresh = []
-        while len(places) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        self._grow()
         # Letters alone are one word to the library, so their ids end where a word ends.
         for i in range(0, len(letters), 5000):
             some = letters[i : i + 5000]
@@ -158,8 +183,9 @@ class WordEncoder:
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.places) > self.most:
-            self._clear()
+            self._forget()
         found = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
         if self.places.fresh:
             self._learn()
+        self.met[found] = np.minimum(self.met[found] + np.uint8(1), 2)
         return self._gather(found)

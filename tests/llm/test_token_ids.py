@@ -31,3 +31,22 @@ def test_ids_of_letters_that_change_under_normal_forms():
         ids, counts = encoder.encode(part)
         want = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
+def test_words_met_again_are_kept():
+    """A full table keeps what was looked up more than once, and ids stay those of the library."""
+    path = vocabulary("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(path), WordEncoder(path, most=200)
+    rng = random.Random(9)
+    often = ["the", "House,", "élan", "x1", "Öl!", "of"]
+    for i in range(60):
+        texts = [" ".join(often + ["".join(rng.choices("abcdeé", k=6)) for _ in range(20)]) + "." for _ in range(2)]
+        ids, counts = encoder.encode(texts)
+        want = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+        assert len(encoder.places) < 400
+        assert i == 0 or all(word in encoder.places for word in often)
+    encoder.places.fresh.clear()
+    before = len(encoder.places)
+    encoder._forget()
+    assert set(often) <= set(encoder.places) and len(encoder.places) < before
