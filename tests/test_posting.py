@@ -1,6 +1,8 @@
 """Sale posting against a plain loop."""
 
+import os
 import random
+import time
 from datetime import date
 from decimal import Decimal
 
@@ -287,3 +289,97 @@ def test_a_decision_is_written_once_per_version_of_its_input(spark, tmp_path):
     spark.range(1).write.mode("append").parquet(source)
     assert len(bag(written_once(spark, "twice", [source], build))) == 4
     assert len(built) == 2
+
+
+def written_tables(spark):
+    from ledgerlark.session import shared_dir
+
+    folder = shared_dir(spark).removeprefix("file:")
+    return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+
+def shuffle_bytes(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    sizes = {}
+    for path in blocks.split("\n"):
+        if "shuffle_" in path and os.path.exists(path):
+            sizes[path] = os.path.getsize(path)
+    return sizes
+
+
+def many_requests(spark, n):
+    rng = random.Random(3)
+    rows = [
+        (seq, f"N{rng.randrange(n)}", f" C{rng.randrange(9)}@x.org", f"E{rng.randrange(7)}@x.org", f"B{rng.randrange(4)}",
+         "m", rng.randrange(0, 9), None)
+        for seq in range(n)
+    ]
+    requests = spark.createDataFrame(
+        rows, "seq long, transaction_number string, customer_email string, employee_email string,"
+        " brand_name string, model_name string, quantity int, transaction_date date",
+    )
+    return (
+        requests,
+        spark.createDataFrame([(i, f"c{i}@x.org") for i in range(8)], "customer_id long, email string"),
+        spark.createDataFrame([(i, f"e{i}@x.org") for i in range(6)], "employee_id long, email string"),
+        spark.createDataFrame(
+            [(i, f"b{i}", "m", Decimal("1.00"), 60) for i in range(3)],
+            "product_id long, brand_name string, model_name string, unit_price decimal(10,2), stock_quantity int",
+        ),
+        spark.createDataFrame([("N3",)], "transaction_number string"),
+    )
+
+
+@pytest.mark.parametrize("fold", [5, 1000])
+def test_posting_leaves_no_other_tables_than_its_results(spark, monkeypatch, fold):
+    monkeypatch.setattr(posting_operator, "FOLD", fold)
+    tables, before = many_requests(spark, 120), written_tables(spark)
+    posting = post_sales(*tables)
+    assert len(written_tables(spark) - before) == 2
+    assert posting.decided.count() == 120 and posting.headers.count() > 5
+
+
+def test_shuffle_files_are_freed_when_a_table_is_written(spark):
+    """Not only when the driver collects garbage; the settings for it are taken back."""
+    codec, rng = spark.conf.get("spark.sql.parquet.compression.codec"), random.Random(1)
+    rows = [(seq, f"{rng.getrandbits(8000):x}") for seq in range(1000)]
+    decided = spark.createDataFrame(rows, "seq long, transaction_number string").withColumn(
+        "reason", F.lit(None).cast("string")
+    )
+    before = shuffle_bytes(spark)
+    accepted = posting_operator.accepted_sales(decided)
+    for _ in range(40):
+        left = sum(size for path, size in shuffle_bytes(spark).items() if path not in before)
+        if left < 100_000:
+            break
+        time.sleep(0.25)
+    # What stays is of the sample that cuts the parts: numbers alone, not the 2 MB of the rows.
+    assert left < 100_000
+    assert accepted.count() == 1000
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == codec
+
+
+def test_slices_are_decided_as_the_whole(spark):
+    tables = many_requests(spark, 120)
+    whole = posting_operator.decide_sales(*tables)
+    assert {row.reason for row in whole.select("reason").distinct().collect()} >= {
+        None, "not enough stock", "transaction number already exists", "customer not found", "product not found",
+    }
+    for ends in ([59], [10, 20, 100, 500]):
+        assert bag(posting_operator.decide_sales(*tables, ends)) == bag(whole)
+
+
+def test_registered_query_moves_no_more_than_a_slice_of_the_requests(spark, monkeypatch):
+    from ledgerlark import session
+    from ledgerlark.plans import catalog
+    from tests.conftest import SMALL
+
+    whole = bag(catalog.QUERIES["post_sales"](spark, SMALL))
+    monkeypatch.setattr(session, "_WRITTEN", {})
+    monkeypatch.setattr(catalog, "SLICE", 2500)
+    pieces, original = [], posting_operator.materialise_pieces
+    monkeypatch.setattr(
+        posting_operator, "materialise_pieces", lambda many: original(pieces.append(p.count()) or p for p in many)
+    )
+    assert bag(catalog.QUERIES["post_sales"](spark, SMALL)) == whole
+    assert max(pieces) <= 2500 and sum(pieces) == 2 * len(whole)
