@@ -383,3 +383,31 @@ def test_registered_query_moves_no_more_than_a_slice_of_the_requests(spark, monk
     )
     assert bag(catalog.QUERIES["post_sales"](spark, SMALL)) == whole
     assert max(pieces) <= 2500 and sum(pieces) == 2 * len(whole)
+
+
+def test_passes_keep_no_tables_that_nothing_reads_any_more(spark, monkeypatch):
+    """Each pass leaves its verdicts and what it was wrong about; states and links give way to the next."""
+    from ledgerlark.session import alone
+
+    rng = random.Random(0)
+    stocks = [rng.choice([1, 4, 9]) for _ in range(4)]
+    requests = []
+    for seq in range(40):
+        product = rng.randrange(4)
+        requests.append((seq, f"N{rng.randrange(9)}", product, rng.randrange(1, 5), stocks[product]))
+    df = spark.createDataFrame(requests, "seq long, number string, product_id long, quantity int, stock int")
+    before, left, passes = written_tables(spark), [], []
+    fates = posting_operator._fates
+    monkeypatch.setattr(posting_operator, "_fates", lambda *a: passes.append(1) or fates(*a))
+
+    def build():
+        verdicts = posting_operator.admit_with_numbers(df)
+        left.append(len(written_tables(spark) - before))
+        return posting_operator.materialise(verdicts)
+
+    got = {row.seq: (row.claims, row.admitted) for row in alone(build).collect()}
+    assert got == posted_by_loop(requests)
+    assert len(passes) >= 2
+    # Besides these: the requests with their flags, and claims, state and links of the last pass.
+    assert left[0] <= 2 * len(passes) - 1 + 4
+    assert len(written_tables(spark) - before) == 1
